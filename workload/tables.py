@@ -91,7 +91,7 @@ ZOOP_GROUP = """CASE p_type WHEN 'ECONOMY' THEN 'Copepod' WHEN 'SMALL' THEN 'Cil
     WHEN 'MEDIUM' THEN 'Copepod' WHEN 'PROMO' THEN 'Foraminifera' WHEN 'STANDARD' THEN 'Ciliate'
     ELSE CASE p_partkey % 2 WHEN 0 THEN 'Other' ELSE 'Jelly' END END"""
 CELLS = "CASE WHEN l_suppkey % 17 = 0 THEN 0 ELSE l_quantity END"
-VOLUME = nullif("l_suppkey % 13 = 0", "CAST(round(l_extendedprice * 100) AS BIGINT)")
+VOLUME = nullif("l_suppkey % 13 = 0", "CAST(round(l_extendedprice * 4) AS BIGINT)")
 COPEPOD = "CASE WHEN p_type IN ('LARGE', 'STANDARD') THEN 'NON-COPEPOD' ELSE 'COPEPOD' END"
 METHOD = "CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linestatus = 'F' THEN 'LM' ELSE 'SEM' END"
 SAMPLE = "'S' || CAST({k} AS STRING)"
@@ -103,7 +103,7 @@ def _phyto(key: str, key_name: str, method: str, cells: str, volume: str) -> str
     return f"""
 SELECT {key} AS {key_name}, taxon_name, max({GROUP}) AS taxon_group, genus, species, {select_method}
        CAST(sum({CELLS}) AS DOUBLE) AS {cells},
-       CAST(sum({VOLUME}) AS DOUBLE) / CAST(100 AS DOUBLE) AS {volume},
+       CAST(sum({VOLUME}) AS DOUBLE) / CAST(4 AS DOUBLE) AS {volume},
        max(CASE WHEN l_orderkey % 10 = 0 AND l_linenumber > 3 THEN CAST(5 AS DOUBLE) ELSE CAST(2.5 AS DOUBLE) END) AS sampvol_m3
 FROM {{lineitem}} JOIN {{taxon}} ON p_partkey = l_partkey
 GROUP BY {key}, taxon_name, genus, species{group_method}
