@@ -174,7 +174,8 @@ def all_link_faults(tables: Mapping[str, DataFrame]) -> DataFrame | None:
     return reduce(DataFrame.unionByName, found) if found else None
 
 
-def message(df: DataFrame) -> Column:
+def message() -> Column:
+    """A fault as one line of text."""
     cell = F.coalesce(F.col("value"), F.lit("NULL"))
     return F.concat(F.col("rule"), F.lit(' in "'), F.col("column"), F.lit('": '), cell)
 
@@ -196,7 +197,7 @@ def report(faults: DataFrame, tables: DataFrame, shown: int = SHOWN) -> DataFram
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= shown)
         .groupBy("table")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", message(faults).alias("m")))).alias("top"))
+        .agg(F.array_sort(F.collect_list(F.struct("rank", message().alias("m")))).alias("top"))
         .select("table", F.transform("top", lambda t: t["m"]).alias("messages"))
     )
     return (

@@ -54,6 +54,12 @@ class Table:
     def struct(self) -> T.StructType:
         return T.StructType([T.StructField(f.name, f.spark_type) for f in self.fields])
 
+    def only(self, *names: str) -> Table:
+        """The same table cut down to some of its fields; the key stays if it is covered."""
+        fields = tuple(f for f in self.fields if f.name in names)
+        key = self.key if set(self.key) <= set(names) else ()
+        return Table(self.name, fields, key, self.missing, self.skip)
+
     def __getitem__(self, name: str) -> Field:
         return next(f for f in self.fields if f.name == name)
 

@@ -16,17 +16,25 @@ def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    if name in BASE:
-        return base(spark, sf_dir, name)
-    sql = TABLES[name]
-    return spark.sql(sql, **{n: derived(spark, sf_dir, n) for n in reads(sql)})
+def derived(
+    spark: SparkSession, sf_dir: str, name: str, seen: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """A base or derived table; ``seen`` keeps frames already built for the same query."""
+    seen = {} if seen is None else seen
+    if name not in seen:
+        if name in BASE:
+            seen[name] = base(spark, sf_dir, name)
+        else:
+            sql = TABLES[name]
+            seen[name] = spark.sql(sql, **{n: derived(spark, sf_dir, n, seen) for n in reads(sql)})
+    return seen[name]
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     """A catalog whose raw tables are the derived ones, each built when first used."""
     tune(spark)
-    return Catalog(spark, {n: (lambda n=n: derived(spark, sf_dir, n)) for n in TABLES})
+    seen: dict[str, DataFrame] = {}
+    return Catalog(spark, {n: (lambda n=n: derived(spark, sf_dir, n, seen)) for n in TABLES})
 
 
 def map_text(column: str):

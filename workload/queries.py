@@ -27,3 +27,8 @@ def _product(name: str) -> Query:
 for _name in PRODUCTS:
     QUERIES[_name] = _product(_name)
     SQL[_name] = oracle.product_sql(_name)
+
+from . import operators  # noqa: E402
+
+QUERIES.update(operators.QUERIES)
+SQL.update(operators.SQL)

@@ -53,10 +53,11 @@ FROM {{orders}}
 
 # One taxon per part. The species text runs through every form the name rules tell apart.
 TABLES["taxon"] = """
-SELECT p_partkey, p_size, p_type, adjective, noun, genus, species,
+SELECT p_partkey, p_size, adjective, noun, genus, species,
+       CAST((length(adjective) * 5 + least(p_size % 12, 10)) % 10 AS INT) AS code,
        coalesce(genus, 'Unknown ' || adjective) || ' ' || coalesce(species, 'sp') AS taxon_name
 FROM (
-    SELECT p_partkey, p_size, p_type, adjective, noun,
+    SELECT p_partkey, p_size, adjective, noun,
            CASE WHEN p_size % 12 = 0 AND p_partkey % 2 = 0 THEN NULL
                 WHEN p_partkey % 15 = 0 THEN 'cf. ' || adjective
                 WHEN p_size % 3 = 0 THEN adjective || 'ella'
@@ -75,24 +76,22 @@ FROM (
                 WHEN 9 THEN noun || ' (small)'
                 ELSE noun END AS species
     FROM (
-        SELECT p_partkey, p_size, p_type,
+        SELECT p_partkey, p_size,
                split_part(p_name, ' ', 1) AS adjective, split_part(p_name, ' ', 2) AS noun
         FROM {part}
     ) words
 ) named
 """
 
-GROUP = """CASE p_type WHEN 'ECONOMY' THEN 'Dinoflagellate' WHEN 'SMALL' THEN 'Ciliate'
-    WHEN 'MEDIUM' THEN 'Cyanobacteria' WHEN 'PROMO' THEN 'Centric diatom'
-    WHEN 'STANDARD' THEN 'Pennate diatom'
-    ELSE CASE p_partkey % 5 WHEN 0 THEN 'Other' WHEN 1 THEN 'Foraminifera' WHEN 2 THEN 'Radiozoa'
-         WHEN 3 THEN 'Coccolithophore' ELSE 'Silicoflagellate' END END"""
-ZOOP_GROUP = """CASE p_type WHEN 'ECONOMY' THEN 'Copepod' WHEN 'SMALL' THEN 'Ciliophora'
-    WHEN 'MEDIUM' THEN 'Copepod' WHEN 'PROMO' THEN 'Foraminifera' WHEN 'STANDARD' THEN 'Ciliate'
-    ELSE CASE p_partkey % 2 WHEN 0 THEN 'Other' ELSE 'Jelly' END END"""
+# Both follow from the taxon name alone, so grouping by them adds no groups.
+GROUP = """CASE code WHEN 0 THEN 'Dinoflagellate' WHEN 1 THEN 'Ciliate' WHEN 2 THEN 'Cyanobacteria'
+    WHEN 3 THEN 'Centric diatom' WHEN 4 THEN 'Pennate diatom' WHEN 5 THEN 'Other' WHEN 6 THEN 'Foraminifera'
+    WHEN 7 THEN 'Radiozoa' WHEN 8 THEN 'Coccolithophore' ELSE 'Silicoflagellate' END"""
+ZOOP_GROUP = """CASE code WHEN 0 THEN 'Copepod' WHEN 1 THEN 'Ciliophora' WHEN 3 THEN 'Foraminifera'
+    WHEN 4 THEN 'Ciliate' WHEN 5 THEN 'Jelly' WHEN 8 THEN 'Other' ELSE 'Copepod' END"""
 CELLS = "CASE WHEN l_suppkey % 17 = 0 THEN 0 ELSE l_quantity END"
 VOLUME = nullif("l_suppkey % 13 = 0", "CAST(round(l_extendedprice * 4) AS BIGINT)")
-COPEPOD = "CASE WHEN p_type IN ('LARGE', 'STANDARD') THEN 'NON-COPEPOD' ELSE 'COPEPOD' END"
+COPEPOD = "CASE WHEN code IN (4, 5, 8) THEN 'NON-COPEPOD' ELSE 'COPEPOD' END"
 METHOD = "CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linestatus = 'F' THEN 'LM' ELSE 'SEM' END"
 SAMPLE = "'S' || CAST({k} AS STRING)"
 
@@ -101,23 +100,23 @@ def _phyto(key: str, key_name: str, method: str, cells: str, volume: str) -> str
     select_method = f"{method} AS methods," if method else ""
     group_method = f", {method}" if method else ""
     return f"""
-SELECT {key} AS {key_name}, taxon_name, max({GROUP}) AS taxon_group, genus, species, {select_method}
+SELECT {key} AS {key_name}, taxon_name, {GROUP} AS taxon_group, genus, species, {select_method}
        CAST(sum({CELLS}) AS DOUBLE) AS {cells},
        CAST(sum({VOLUME}) AS DOUBLE) / CAST(4 AS DOUBLE) AS {volume},
        max(CASE WHEN l_orderkey % 10 = 0 AND l_linenumber > 3 THEN CAST(5 AS DOUBLE) ELSE CAST(2.5 AS DOUBLE) END) AS sampvol_m3
 FROM {{lineitem}} JOIN {{taxon}} ON p_partkey = l_partkey
-GROUP BY {key}, taxon_name, genus, species{group_method}
+GROUP BY {key}, taxon_name, code, genus, species{group_method}
 """
 
 
 def _zoop(key: str, key_name: str) -> str:
     return f"""
-SELECT {key} AS {key_name}, taxon_name, max({COPEPOD}) AS copepod, max({ZOOP_GROUP}) AS taxon_group, genus, species,
+SELECT {key} AS {key_name}, taxon_name, {COPEPOD} AS copepod, {ZOOP_GROUP} AS taxon_group, genus, species,
        CAST(sum(l_quantity) AS DOUBLE) AS zoop_abundance_m3,
        CAST(sum(CASE WHEN l_suppkey % 11 = 0 THEN 0 ELSE l_linenumber END) AS DOUBLE) AS taxon_count,
        max(CASE WHEN l_orderkey % 10 = 1 AND l_linenumber > 3 THEN CAST(5 AS DOUBLE) ELSE CAST(2.5 AS DOUBLE) END) AS sampvol_m3
 FROM {{lineitem}} JOIN {{taxon}} ON p_partkey = l_partkey
-GROUP BY {key}, taxon_name, genus, species
+GROUP BY {key}, taxon_name, code, genus, species
 """
 
 
@@ -262,7 +261,7 @@ TABLES["measurements"] = (
     "\nSELECT l_orderkey AS file_id, CAST(l_linenumber * 4 - 3 + l_suppkey % 3 AS DOUBLE) AS depth, "
     + ", ".join(
         f"max({nullif(f'l_suppkey % 9 = {i}', f'l_quantity * 0.25 + {i}')}) AS {m}, "
-        f"max({nullif(f'l_suppkey % 6 = {i % 6}', f'CAST(1 + (l_suppkey + {i}) % 4 AS STRING)')}) AS {m}_quality_control"
+        f"CAST(max({nullif(f'l_suppkey % 6 = {i % 6}', f'1 + (l_suppkey + {i}) % 4')}) AS STRING) AS {m}_quality_control"
         for i, m in enumerate(_CTD)
     )
     + "\nFROM {lineitem}\nGROUP BY l_orderkey, CAST(l_linenumber * 4 - 3 + l_suppkey % 3 AS DOUBLE)\n"
@@ -332,7 +331,44 @@ SELECT {_TAG} AS tag_deployment_id, 'A69-new' AS transmitter_id,
 FROM {{customer}} WHERE c_custkey % 3 <> 1
 """
 
+# Visits as text with faults of every kind in them, and detections with broken identifiers.
+TABLES["dirty_trip"] = f"""
+SELECT CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE 'NRS' END AS projectname,
+       CASE WHEN o_orderkey % 40 = 1 THEN {trip("(o_orderkey - 1)")} ELSE {trip("o_orderkey")} END AS trip_code,
+       'Station ' || CAST(o_custkey % 9 AS STRING) AS stationname,
+       CASE WHEN o_orderkey % 53 = 0 THEN NULL ELSE 'S' || CAST(o_custkey % 9 AS STRING) END AS stationcode,
+       CASE WHEN o_orderkey % 29 = 0 THEN 'null' ELSE CAST(100 + o_custkey % 90 AS STRING) END AS longitude,
+       CAST(o_orderkey % 100 - 45 - (CASE WHEN o_orderkey % 61 = 0 THEN 80 ELSE 0 END) AS STRING) AS latitude,
+       CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CAST(o_orderkey % 30 AS STRING) END AS zoopsampledepth_m,
+       CASE WHEN o_orderkey % 47 = 0 THEN '2009-13-45 00:00:00'
+            ELSE substr(CAST(o_orderdate AS STRING), 1, 10) || ' 10:00:00' END AS sampledatelocal,
+       CASE WHEN o_orderkey % 37 = 0 THEN substr(CAST(o_orderdate AS STRING), 1, 10)
+            ELSE substr(CAST(o_orderdate AS STRING), 1, 10) || ' 00:00:00' END AS sampledateutc
+FROM {{orders}}
+"""
+TABLES["dirty_detection"] = """
+SELECT CASE WHEN event_id % 13 = 0 THEN 'B69-1303-' || CAST(user_id AS STRING) || '_1_2'
+            WHEN event_id % 19 = 0 THEN 'A69-1303-' || CAST(user_id AS STRING) || '_1_2x'
+            WHEN event_id % 23 = 0 THEN NULL
+            ELSE 'A69-1303-' || CAST(user_id AS STRING) || '_' || CAST(event_id AS STRING) || '_7' END AS animal_id,
+       CASE WHEN event_id % 29 = 0 THEN '2024/01/05' ELSE substr(CAST(ts AS STRING), 1, 10) END AS date_utc,
+       CASE WHEN event_id % 31 = 0 THEN 'many' ELSE CAST(event_id % 50 AS STRING) END AS nb_detections,
+       CASE WHEN event_id % 17 = 0 THEN substr(CAST(ts AS STRING), 1, 10) || ' 1:00'
+            ELSE substr(CAST(ts AS STRING), 1, 10) END AS receiver_deployment_datetime_utc
+FROM {events}
+"""
+TABLES["orphan_counts"] = f"""
+SELECT CASE WHEN l_suppkey % 21 = 0 THEN NULL WHEN l_linenumber = 6 THEN 'X' || CAST(l_partkey % 50 AS STRING)
+            ELSE {trip("l_orderkey")} END AS trip_code
+FROM {{lineitem}}
+"""
+
 
 def reads(sql: str) -> list[str]:
     """Names of the tables a text reads."""
-    return sorted(set(re.findall(r"\{(\w+)\}", sql)))
+    return sorted(set(re.findall(r"\{([a-z]\w*)\}", sql)))
+
+
+def plain(sql: str) -> str:
+    """The text with its table marks replaced by the bare names."""
+    return re.sub(r"\{([a-z]\w*)\}", r"\1", sql)
