@@ -10,13 +10,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.parse import parse, readable
 from ..functions.text import joined
 from ..schemas import LINKS, Field, Table
+from ..sources.csv import check_header
 
 WARNING_RULES = ("range-warning", "pattern-warning", "volume-warning")
 SHOWN = 5
@@ -121,13 +122,10 @@ def link_faults(
     )
 
 
-def header_faults(df: DataFrame, names: list[str], spec: Table) -> DataFrame:
-    """Missing and extra columns of a header, as fault rows (one small local relation)."""
-    from ..sources.csv import check_header
-
+def header_faults(spark: SparkSession, names: list[str], spec: Table) -> DataFrame:
+    """Missing and extra columns of a header, as fault rows."""
     report = check_header(names, spec)
     rows = [("missing-field", c) for c in report.missing] + [("extra-field", c) for c in report.extra]
-    spark = df.sparkSession
     listed = spark.createDataFrame([(r, c, None, c, 1) for r, c in rows], "rule string, column string, key string, value string, n bigint")
     return _shape(listed, spec.name)
 

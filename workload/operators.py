@@ -24,7 +24,7 @@ from pelagia.plans import taxa as taxon_plans
 from pelagia.plans.indices import chemistry_means, pigment_means
 from pelagia.schemas import TABLES
 from pelagia.session import scratch_dir, tune
-from pelagia.sources.csv import read_table
+from pelagia.sources.csv import header_of, read_table
 from pelagia.sources.export import long_rows, widen
 from pelagia.sources.groups import ingest_group, tables_of
 from pelagia.sources.snapshot import write_snapshot
@@ -457,6 +457,15 @@ def snapshot_round_trip(spark, sf):
     return stored.groupBy("trip_code").agg(F.count("*").alias("casts"))
 
 
+@query("""SELECT 'cpr_samp' AS "table", rule, "column", NULL AS key, "column" AS value, CAST(1 AS BIGINT) AS n
+FROM (VALUES ('missing-field', 'pci'), ('extra-field', 'vessel')) f(rule, "column")""")
+def dq_header(spark, sf):
+    """A landed file that lacks one declared column and brings another."""
+    path = scratch_dir(spark, "header")
+    _land_csv(derived(spark, sf, "cpr_samp").withColumn("vessel", F.lit("x")).drop("pci"), path)
+    return Q.header_faults(spark, header_of(spark, path), TABLES["cpr_samp"])
+
+
 _NOW = "2020-06-01 00:00:00"
 _INDEX_TIMES = ("time_coverage_start", "time_coverage_end", "first_indexed", "last_indexed")
 
