@@ -18,6 +18,7 @@ from ..functions.text import (
     identified_species,
     lacks,
 )
+from .rows import salted_join
 
 
 def zooplankton_indices(raw: DataFrame, info: DataFrame, key: str) -> DataFrame:
@@ -133,6 +134,6 @@ def shares_of_total(df: DataFrame, key: str, item: str, value: str) -> DataFrame
     """Each item's share of its key's total, from one row per (key, item)."""
     items = df.groupBy(key, item).agg(F.sum(value).alias("__v"))
     totals = items.groupBy(key).agg(F.sum("__v").alias("__total"))
-    return items.join(totals, key).select(
+    return salted_join(items, totals, key).select(
         key, item, M.ratio(F.col("__v"), F.col("__total")).alias("share")
     )

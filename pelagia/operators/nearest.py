@@ -43,6 +43,10 @@ def band_join(
     return pairs.drop("__bucket", "__lt", "__rt")
 
 
+def _hit(at: Column, match_id: Column) -> Column:
+    return F.struct(at.alias("at"), match_id.alias("id"))
+
+
 def nearest_in_time(
     left: DataFrame,
     right: DataFrame,
@@ -75,38 +79,54 @@ def nearest_in_time(
         .groupBy(by, "__t")
         .agg(F.max("__left").alias("__left"), F.min("__id").alias("__id"))
         .withColumn("__bucket", F.floor(F.col("__t") / width))
-        .withColumn("__hit", F.when(F.col("__id").isNotNull(), F.struct("__t", "__id")))
     )
-
-    # One row per bucket: its first and last match, and those of its neighbours in time.
-    edges = moments.filter(F.col("__hit").isNotNull()).groupBy(by, "__bucket").agg(
-        F.min("__hit").alias("__first"), F.max("__hit").alias("__last")
+    t, hit_time = F.col("__t"), F.when(F.col("__id").isNotNull(), F.col("__t"))
+
+    # One row per bucket: its first and last match, then those of its neighbours in time.
+    edges = moments.groupBy(by, "__bucket").agg(
+        F.max("__left").alias("__left"),
+        F.min(hit_time).alias("__first"),
+        F.min_by("__id", hit_time).alias("__first_id"),
+        F.max(hit_time).alias("__last"),
+        F.max_by("__id", hit_time).alias("__last_id"),
     )
-    reached = moments.filter(F.col("__left") == 1).select(by, "__bucket").distinct()
-    summary = edges.join(reached.withColumn("__wanted", F.lit(True)), [by, "__bucket"], "full")
     older = Window.partitionBy(by).orderBy(F.asc("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
     newer = Window.partitionBy(by).orderBy(F.desc("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    first = F.when(F.col("__first").isNotNull(), _hit(F.col("__first"), F.col("__first_id")))
+    last = F.when(F.col("__last").isNotNull(), _hit(F.col("__last"), F.col("__last_id")))
     carried = (
-        summary.withColumn("__before", F.last("__last", ignorenulls=True).over(older))
-        .withColumn("__after", F.last("__first", ignorenulls=True).over(newer))
-        .filter("__wanted")
-        .select(by, "__bucket", "__before", "__after")
+        edges.select(
+            by,
+            "__bucket",
+            "__left",
+            F.last(last, ignorenulls=True).over(older).alias("__before"),
+            F.last(first, ignorenulls=True).over(newer).alias("__after"),
+        )
+        .filter("__left = 1")
+        .drop("__left")
     )
 
     up = Window.partitionBy(by, "__bucket").orderBy(F.asc("__t")).rowsBetween(Window.unboundedPreceding, 0)
     down = Window.partitionBy(by, "__bucket").orderBy(F.desc("__t")).rowsBetween(Window.unboundedPreceding, 0)
+    hit = F.when(F.col("__id").isNotNull(), _hit(t, F.col("__id")))
     inside = (
-        moments.withColumn("__prev", F.last("__hit", ignorenulls=True).over(up))
-        .withColumn("__next", F.last("__hit", ignorenulls=True).over(down))
-        .filter(F.col("__left") == 1)
-        .select(by, "__t", "__bucket", "__prev", "__next")
+        moments.select(
+            by,
+            "__bucket",
+            "__t",
+            "__left",
+            F.last(hit, ignorenulls=True).over(up).alias("__prev"),
+            F.last(hit, ignorenulls=True).over(down).alias("__next"),
+        )
+        .filter("__left = 1")
+        .drop("__left")
     )
 
     def candidate(hit: Column) -> Column:
-        gap = F.abs(F.col("__t") - hit["__t"])
+        gap = F.abs(t - hit["at"])
         return F.when(
             gap <= seconds * 1_000_000,
-            F.struct(gap.alias("gap"), hit["__id"].alias("id"), hit["__t"].alias("at")),
+            F.struct(gap.alias("gap"), hit["id"].alias("id"), hit["at"].alias("at")),
         )
 
     best = (

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import avg_if, qc_masked
-from .rows import first_per_group, lowest
+from .rows import first_per_group, lowest, salted_join
 
 # Fixed values of the profile rules.
 SURFACE_TARGET_M = 10
@@ -79,7 +79,8 @@ def below_reference(
     chlorophyll sorts *first*, as the published product has it, unless it is skipped.
     """
     d = F.col(depth)
-    below = profile.join(levels.select(key, "ref_depth", "ref_temp", "ref_sal"), key).filter(
+    rows = profile.select(key, depth, temperature, salinity, chlorophyll)
+    below = salted_join(rows, levels.select(key, "ref_depth", "ref_temp", "ref_sal"), key).filter(
         d > F.col("ref_depth")
     )
     dt = F.abs(F.col(temperature) - F.col("ref_temp"))

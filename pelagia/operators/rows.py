@@ -45,6 +45,19 @@ def union_distinct(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames).distinct()
 
 
+def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int = 16) -> DataFrame:
+    """Inner join of many rows per key with one row per key, safe for a key that owns many.
+
+    Spark splits a skewed join by itself only where both inputs come straight from a shuffle;
+    an input that was just aggregated on the key does not. Here the rows of a key are spread
+    over ``salts`` tasks, and the small side is copied to each.
+    """
+    names = [c for c in big.columns if c != key]
+    spread = F.pmod(F.hash(F.spark_partition_id(), *names), F.lit(salts))
+    copies = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return big.withColumn("__salt", spread).join(copies, [key, "__salt"]).drop("__salt")
+
+
 def star(base: DataFrame, key: str, facts: list[DataFrame]) -> DataFrame:
     """Left-join pre-aggregated facts, one row per key each, onto a base table.
 

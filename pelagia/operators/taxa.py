@@ -16,7 +16,7 @@ from ..functions.text import first_word
 
 # Each output row carries every affected taxon, so the list has to fit in a row. Longer
 # lists are served by ``filled_rows``, which keeps no list whole.
-MAX_LISTED = 50_000
+MAX_LISTED = 1_000_000
 
 
 def typed_entries(entries: Column) -> Column:
@@ -78,25 +78,32 @@ def sightings_with_changelog(
     rule keeps the *largest* part rather than their total (``combine='max'``); pass
     ``'sum'`` for the total.
     """
+    word = first_word if changed == "genus" else F.col
+    # Whether a name changed depends on its changelog row alone, so it is settled there and
+    # not once per raw row. Names without an entry get NULL from the left join.
     names = changelog.select(
-        "taxon_name", F.col("startdate").alias("start"), F.col("parent_name").alias("parent")
+        "taxon_name",
+        F.col("startdate").alias("start"),
+        (word("taxon_name") != word("parent_name")).alias("changed"),
     )
-    word = first_word if changed == "genus" else F.col
-    flag = (word("taxon_name") != word("parent")).alias("changed")
     methods = keys[1:]
     tagged = raw.select(
         *[F.col(k) for k in keys], F.col("taxon_name"), taxon.alias("taxon"), F.col(value).alias("value")
     )
 
-    parts = tagged.join(names, "taxon_name", "left")
-    by_part = parts.groupBy(*keys, "taxon", "start", flag).agg(F.sum("value").alias("value"))
-    rows = by_part.select(*keys, "taxon", "value")
     if combine == "sum":
-        rows = parts.groupBy(*keys, "taxon").agg(F.sum("value").alias("value"))
+        rows = tagged.groupBy(*keys, "taxon").agg(F.sum("value").alias("value"))
+    else:
+        parts = tagged.join(names, "taxon_name", "left")
+        rows = (
+            parts.groupBy(*keys, "taxon", "start", "changed")
+            .agg(F.sum("value").alias("value"))
+            .select(*keys, "taxon", "value")
+        )
 
     # Names are reduced to their distinct set before the changelog is looked up again.
     seen = tagged.select("taxon_name", "taxon", *methods).distinct()
-    touched = seen.join(names, "taxon_name").filter(flag)
+    touched = seen.join(names.filter("changed"), "taxon_name")
     return Sightings(rows, _earliest(touched, ["taxon", *methods]))
 
 
@@ -215,23 +222,28 @@ def fill_gaps_by_method(
 
 
 def filled_rows(
-    meta: DataFrame, key: str, time: str, found: Sightings, slices: int = 64
+    meta: DataFrame, key: str, time: str, found: Sightings, slices: int = 16, salts: int = 16
 ) -> DataFrame:
     """The gap-filled values of :func:`fill_gaps` as rows (key, taxon, value).
 
     Works for an affected list of any length: the list is dealt into slices, each metadata
     row visits every slice through an equi-join, and no task ever holds more than a slice.
+    The slices are copied per salt, so the few slice numbers do not gather all rows.
     """
     dealt = (
         found.affected.withColumn("__slice", F.pmod(F.hash("taxon"), F.lit(slices)))
         .groupBy("__slice")
         .agg(F.collect_list(F.struct("taxon", "start")).alias("__aff"))
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
     visits = meta.select(
-        key, F.col(time).alias("__time"), F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("__slice")
+        key,
+        F.col(time).alias("__time"),
+        F.pmod(F.hash(key), F.lit(salts)).alias("__salt"),
+        F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("__slice"),
     )
     defaults = (
-        visits.join(dealt, "__slice")
+        visits.join(dealt, ["__slice", "__salt"])
         .select(key, "__time", F.inline("__aff"))
         .select(key, "taxon", _default(F.col("__time"), F.col("start")).alias("value"))
     )

@@ -29,42 +29,46 @@ PUBLISHED = {
 
 
 def _site_code():
-    out = joined("projectname", "stationcode")
+    out = joined("Project", "StationCode")
     for station, site in SITE_OF_STATION.items():
-        out = F.when(F.col("stationcode") == station, site).otherwise(out)
+        out = F.when(F.col("StationCode") == station, site).otherwise(out)
     return out
 
 
 @product("nrs_depth_binned_ctd_map")
 def ctd_map(c: Catalog) -> DataFrame:
-    """Each project trip with the cast nearest in time, within a day, at its site."""
-    trips = (
-        c["bgc_trip"]
-        .filter(F.col("projectname") == PROJECT)
-        .select("trip_code", "sampledateutc", _site_code().alias("site_code"))
+    """Each project trip with the cast nearest in time, within a day, at its site.
+
+    The metadata row itself is matched, so nothing has to be joined back to it.
+    """
+    trips = c["bgc_trip_metadata"].filter(F.col("Project") == PROJECT).select(
+        "Project",
+        "StationName",
+        "TripCode",
+        "Latitude",
+        "Longitude",
+        "SampleTime_Local",
+        "SampleTime_UTC",
+        "trip_code",
+        "geom",
+        _site_code().alias("site_code"),
     )
     casts = c["deployments"].select(
-        "site_code", "file_id", utc_ntz("time_coverage_start").alias("cast_time")
+        "site_code", "file_id", utc_ntz("time_coverage_start").alias("CastTimeUTC")
     )
-    matched = nearest_in_time(
-        trips, casts, "site_code", "sampledateutc", "cast_time", "file_id"
-    ).select("trip_code", "file_id", "cast_time")
-    return (
-        c["bgc_trip_metadata"]
-        .join(matched, "trip_code")
-        .select(
-            "Project",
-            "StationName",
-            "TripCode",
-            F.col("cast_time").alias("CastTimeUTC"),
-            "Latitude",
-            "Longitude",
-            "file_id",
-            "SampleTime_Local",
-            "SampleTime_UTC",
-            "trip_code",
-            "geom",
-        )
+    matched = nearest_in_time(trips, casts, "site_code", "SampleTime_UTC", "CastTimeUTC", "file_id")
+    return matched.select(
+        "Project",
+        "StationName",
+        "TripCode",
+        "CastTimeUTC",
+        "Latitude",
+        "Longitude",
+        "file_id",
+        "SampleTime_Local",
+        "SampleTime_UTC",
+        "trip_code",
+        "geom",
     )
 
 

@@ -16,11 +16,11 @@ LEVELS: tuple[tuple[str, ...], ...] = (
     ("nrs_ctd_surface_values",),
     ("bgc_phytoplankton_map", "bgc_zooplankton_map", "bgc_larval_fish_map"),
 )
-# Views in the published set: cheap to recompute, so they are not stored by default.
+# Views of the published set that are a projection, or read by one product only: recomputed
+# on use. (The surface values are a view too, but three products read them.)
 PLAIN_VIEWS = (
     "bgc_trip_metadata",
     "nrs_depth_binned_ctd_map",
-    "nrs_ctd_surface_values",
     "animal_tracking_acoustic_qc_detection_map",
 )
 

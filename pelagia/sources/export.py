@@ -45,6 +45,11 @@ def long_rows(df: DataFrame, column: str, key: str = "taxon", value: str = "valu
     return df.select(*rest, F.explode_outer(column).alias(key, value))
 
 
+def with_json(df: DataFrame, column: str) -> DataFrame:
+    """The map column as JSON text, NULL values included."""
+    return df.withColumn(column, F.to_json(column, {"ignoreNullFields": "false"}))
+
+
 def write_wide_csv(df: DataFrame, column: str, path: str) -> list[str]:
     """Write the wide form as CSV and return its column names."""
     wide = widen(df, column)

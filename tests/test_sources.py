@@ -3,7 +3,7 @@ import datetime as dt
 from pelagia.operators import quality as Q
 from pelagia.schemas import LINKS, PRODUCT_GROUPS, TABLES
 from pelagia.sources.csv import check_header, header_of, read_table, scan_text
-from pelagia.sources.export import long_rows, map_keys, widen, write_wide_csv
+from pelagia.sources.export import long_rows, map_keys, widen, with_json, write_wide_csv
 from pelagia.sources.groups import ingest_group, tables_of
 
 STATIONS = '''FID,PROJECTNAME,stationcode,STATIONNAME,NODE,STATECODE,LONGITUDE,LATITUDE,STATIONSTARTDATE,STATIONDEPTH_M,SAMPLINGEFFORT,IMCRA,IMCRA_PB,MANAGEMENTREGION
@@ -116,6 +116,8 @@ def test_wide_export(spark, tmp_path):
         [("a", {"z": 1.0, "m": None}), ("b", None), ("c", {"k": 2.0})], "id string, taxa map<string,double>"
     )
     assert map_keys(df, "taxa") == ["k", "m", "z"]
+    assert {r.id: r.taxa for r in with_json(df, "taxa").collect()}["c"] == '{"k":2.0}'
+    assert '"m":null' in with_json(df, "taxa").filter("id = 'a'").first().taxa
     wide = widen(df, "taxa")
     assert wide.columns == ["id", "k", "m", "z"]
     assert sorted(map(tuple, wide.collect())) == [("a", None, None, 1.0), ("b", None, None, None), ("c", 2.0, None, None)]
