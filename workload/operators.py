@@ -457,7 +457,7 @@ def snapshot_round_trip(spark, sf):
     return stored.groupBy("trip_code").agg(F.count("*").alias("casts"))
 
 
-@query("""SELECT 'cpr_samp' AS "table", rule, "column", NULL AS key, "column" AS value, CAST(1 AS BIGINT) AS n
+@query("""SELECT 'cpr_samp' AS "table", rule, "column", CAST(NULL AS VARCHAR) AS key, "column" AS value, CAST(1 AS BIGINT) AS n
 FROM (VALUES ('missing-field', 'pci'), ('extra-field', 'vessel')) f(rule, "column")""")
 def dq_header(spark, sf):
     """A landed file that lacks one declared column and brings another."""
@@ -555,7 +555,7 @@ def dq_unique(spark, sf):
     return Q.unique_faults(derived(spark, sf, "dirty_trip"), "bgc_trip", ("trip_code",))
 
 
-_DETECTION = {"table": "acoustic_summary_qc", "source": "{dirty_detection}", "key": "NULL"}
+_DETECTION = {"table": "acoustic_summary_qc", "source": "{dirty_detection}", "key": "CAST(NULL AS VARCHAR)"}
 
 
 @query(" UNION ALL ".join([
