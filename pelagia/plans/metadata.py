@@ -76,10 +76,17 @@ def bgc_zooplankton_map(c: Catalog) -> DataFrame:
     )
 
 
-@product("combined_bgc_map")
-def combined_bgc_map(c: Catalog) -> DataFrame:
-    labs = [c[t] for t in ("bgc_chemistry", "bgc_picoplankton", "bgc_pigments", "bgc_tss")]
-    return in_any(c["bgc_trip_metadata"], "trip_code", labs).select(
+# Tables whose trips make up the combined map.
+LAB_TABLES = ("bgc_chemistry", "bgc_picoplankton", "bgc_pigments", "bgc_tss")
+
+
+def lab_trips(c: Catalog) -> DataFrame:
+    """All trips in the columns of the combined map.
+
+    A row of a lab table always finds its trip in the combined map if it finds it here, so
+    joins from those tables can skip working out which trips the map keeps.
+    """
+    return c["bgc_trip_metadata"].select(
         "Project",
         "StationName",
         "TripCode",
@@ -92,6 +99,12 @@ def combined_bgc_map(c: Catalog) -> DataFrame:
     )
 
 
+@product("combined_bgc_map")
+def combined_bgc_map(c: Catalog) -> DataFrame:
+    trips = lab_trips(c)
+    return in_any(trips, "trip_code", [c[t] for t in LAB_TABLES]).select(*trips.columns)
+
+
 def _sample_map(c: Catalog, code: str, raw: str, extra: list) -> DataFrame:
     """One row per sample and sampled volume."""
     # Raw rows shrink to distinct (sample, volume) before they meet the samples.

@@ -9,6 +9,7 @@ from ..functions.text import number_text, sample_id
 from ..functions.times import stamp_text
 from ..operators.rows import union_distinct
 from .catalog import Catalog, product
+from .metadata import LAB_TABLES, lab_trips
 
 COMBINED_PROJECT = "NRS"
 
@@ -143,7 +144,8 @@ def _lab_product(c: Catalog, table: str, names: dict[str, str], numeric_depth: b
         *_renamed(names),
     )
     own = [f"`{n}`" for n in names.values()]
-    return lab.join(c["combined_bgc_map"], "trip_code").select(
+    trips = lab_trips(c) if table in LAB_TABLES else c["combined_bgc_map"]
+    return lab.join(trips, "trip_code").select(
         *TRIP_FRONT, "SampleTime_Local", *TRIP_PLACE, "SampleID", "SampleDepth_m", *own, "geom"
     )
 
@@ -177,7 +179,7 @@ def combined_data(c: Catalog) -> DataFrame:
     The set of (trip, depth) pairs and the four tables are partitioned alike, so the four
     left joins run on the exchange the distinct already made.
     """
-    trips = c["combined_bgc_map"].filter(F.col("Project") == COMBINED_PROJECT)
+    trips = lab_trips(c).filter(F.col("Project") == COMBINED_PROJECT)
 
     def lab(table: str, names: dict[str, str], numeric_depth: bool = False) -> DataFrame:
         depth = number_text("sampledepth_m") if numeric_depth else F.col("sampledepth_m")
