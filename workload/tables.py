@@ -126,7 +126,7 @@ SELECT taxon_name,
        min(CAST('2009-01-01' AS DATE) + (37 * p_size + {shift})) AS startdate,
        min(CASE p_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN genus || ' ancient' ELSE 'Oldname ' || noun END) AS parent_name
 FROM {{taxon}}
-WHERE noun IN ({nouns}) AND p_size % 12 IN (0, 1, 9, 10)
+WHERE noun IN ({nouns}) AND (species IS NULL OR species IN ('spp.', noun, noun || ' (small)'))
 GROUP BY taxon_name
 """
 
@@ -145,7 +145,7 @@ TABLES["zoopinfo"] = """
 SELECT taxon_name, max(CAST(p_size * 0.0625 AS DOUBLE)) AS length_mm,
        max(CASE p_partkey % 5 WHEN 0 THEN 'Carnivore' WHEN 1 THEN 'Omnivore' WHEN 2 THEN 'Herbivore'
            WHEN 3 THEN 'Detritivore' ELSE NULL END) AS diet
-FROM {taxon} WHERE p_size % 9 <> 0 GROUP BY taxon_name
+FROM {taxon} WHERE p_size < 45 GROUP BY taxon_name
 """
 
 # Laboratory tables. Grouping makes (trip, depth) unique, as their keys declare.
@@ -288,7 +288,7 @@ TABLES["bgc_lfish_countraw"] = f"""
 SELECT l_orderkey AS i_sample_id, {trip("l_orderkey")} AS trip_code, taxon_name AS scientificname,
        CAST(sum(l_linenumber) AS BIGINT) AS taxon_count
 FROM {{lineitem}} JOIN {{taxon}} ON p_partkey = l_partkey
-WHERE l_orderkey % 3 <> 0
+WHERE l_returnflag <> 'R'
 GROUP BY l_orderkey, taxon_name
 """
 
@@ -306,7 +306,7 @@ SELECT 'C' || CAST(o_custkey AS STRING) AS trip_code, {SAMPLE.format(k="o_orderk
 FROM {{orders}}
 """
 
-# Tagged animals: two thirds are indexed, two thirds arrive in the batch, half overlap.
+# Tagged animals: one market segment is not indexed yet, another is absent from the batch.
 _TAG = "'A69-' || CAST(1000 + c_custkey % 9000 AS STRING) || '-' || CAST(c_custkey AS STRING)"
 _GEOM = "'MULTIPOINT((' || CAST(100 + c_custkey % 60 AS STRING) || ' ' || CAST(-40 + c_custkey % 30 AS STRING) || '))'"
 _T0 = "CAST('2015-01-01 00:00:00' AS TIMESTAMP)"
@@ -318,7 +318,7 @@ SELECT {_TAG} AS tag_deployment_id, 'A69-' || CAST(c_custkey % 97 AS STRING) AS
        {_T0} + INTERVAL '1' HOUR * (2 * c_custkey) AS time_coverage_end,
        {_GEOM} AS geom, {_T0} AS first_indexed, {_T0} AS last_indexed,
        'https://files.example/' || CAST(c_custkey AS STRING) AS url, c_custkey % 1000 AS size
-FROM {{customer}} WHERE c_custkey % 3 <> 0
+FROM {{customer}} WHERE c_mktsegment <> 'BUILDING'
 """
 TABLES["detection_index_batch"] = f"""
 SELECT {_TAG} AS tag_deployment_id, 'A69-new' AS transmitter_id,
@@ -328,7 +328,7 @@ SELECT {_TAG} AS tag_deployment_id, 'A69-new' AS transmitter_id,
        {_T0} + INTERVAL '1' HOUR * (3 * c_custkey) AS time_coverage_end,
        {_GEOM} AS geom_df, 'https://files.example/new' AS url,
        {nullif("c_custkey % 10 = 0", "c_custkey % 700")} AS size
-FROM {{customer}} WHERE c_custkey % 3 <> 1
+FROM {{customer}} WHERE c_mktsegment <> 'MACHINERY'
 """
 
 # Visits as text with faults of every kind in them, and detections with broken identifiers.
