@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from .chat import OP4_SQL, op4_chat_format
 from .exact_dedup import OP7_SQL, op7_exact_dedup
+from .packing import op1_best_fit_packing
 from .url_rules import OP8_SQL, op8_url_rules
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op4_chat_format": op4_chat_format,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_url_rules": op8_url_rules,
