@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from .chat import OP4_SQL, op4_chat_format
+from .decontam import op6_decontamination
 from .exact_dedup import OP7_SQL, op7_exact_dedup
 from .langid import op9_language_id
+from .near_dedup import op3_minhash_near_dedup
 from .packing import op1_best_fit_packing
 from .toxicity import op2_toxicity
 from .url_rules import OP8_SQL, op8_url_rules
@@ -12,7 +14,9 @@ from .url_rules import OP8_SQL, op8_url_rules
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_toxicity": op2_toxicity,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_chat_format": op4_chat_format,
+    "op6_decontamination": op6_decontamination,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_url_rules": op8_url_rules,
     "op9_language_id": op9_language_id,
