@@ -34,8 +34,14 @@ class Scratch:
         atexit.register(self._remove, self.root)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        """Write a table once; the shuffle files behind it are not needed any more and go."""
+        path, cleanup = f"{self.root}/{name}", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = self.spark.conf.get(cleanup, "false")
+        self.spark.conf.set(cleanup, "true")
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            self.spark.conf.set(cleanup, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

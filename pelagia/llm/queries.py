@@ -8,6 +8,7 @@ from .exact_dedup import OP7_SQL, op7_exact_dedup
 from .langid import op9_language_id
 from .near_dedup import op3_minhash_near_dedup
 from .packing import op1_best_fit_packing
+from .suffix import op5_suffix_array_dedup
 from .toxicity import op2_toxicity
 from .url_rules import OP8_SQL, op8_url_rules
 
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_chat_format": op4_chat_format,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_url_rules": op8_url_rules,
