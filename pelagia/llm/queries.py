@@ -6,6 +6,7 @@ from .chat import OP4_SQL, op4_chat_format
 from .decontam import op6_decontamination
 from .exact_dedup import OP7_SQL, op7_exact_dedup
 from .langid import op9_language_id
+from .lm import op10_lm_scoring
 from .near_dedup import op3_minhash_near_dedup
 from .packing import op1_best_fit_packing
 from .suffix import op5_suffix_array_dedup
@@ -22,5 +23,6 @@ QUERIES = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_url_rules": op8_url_rules,
     "op9_language_id": op9_language_id,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 SQL = {"op4_chat_format": OP4_SQL, "op7_exact_dedup": OP7_SQL, "op8_url_rules": OP8_SQL}
