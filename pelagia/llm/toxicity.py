@@ -189,7 +189,8 @@ def learn(labelled: DataFrame) -> Model:
     base = toxic / total if total else 0.0
     if not toxic or toxic == total:
         return Model([], {}, {}, 0.0)
-    cuts = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{M}\p{N}_@$*!|]+"))
+    cuts = F.split(F.lower("text"), r"[^\p{L}\p{N}_@$*!|]+")  # the words of WORD
+    cuts = F.array_distinct(F.transform(cuts, lambda w: F.btrim(w, F.lit("@$*!|"))))
     words = rows.select("toxic", F.explode(cuts).alias("word")).groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic"))
     # Words of any document that no label can lift above chance leave with the aggregate.
     n, p, q = F.col("n").cast("double"), F.col("toxic") / F.col("n"), F.lit(base)
