@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.times import is_multipoint
 from ..schemas import TABLES
+from ..sources.snapshot import exists, read_snapshot, write_snapshot
 
 INDEX = TABLES["detection_file_index"]
 INDEX_KEY = "tag_deployment_id"
@@ -90,3 +91,12 @@ def upsert_index(stored: DataFrame, batch: DataFrame, now: Column | None = None)
         on_insert={"first_indexed": now, "last_indexed": now},
         on_update={"last_indexed": now},
     )
+
+
+def store_index(spark: SparkSession, path: str, batch: DataFrame, now: Column | None = None) -> DataFrame:
+    """Create the stored index if it is absent, merge a batch into it, and return what is stored.
+
+    The new state is a version of its own; a batch that fails leaves the index as it was.
+    """
+    stored = read_snapshot(spark, path, INDEX.struct) if exists(spark, path) else empty_index(spark)
+    return write_snapshot(upsert_index(stored, batch, now), path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -45,12 +47,23 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder every executor can reach.
+    """A fresh folder every executor can reach, inside ``spark.checkpoint.dir``.
 
-    On a cluster this lies in the shared folder named by ``spark.checkpoint.dir``. A
-    local folder is used only where that setting is absent, as in tests.
+    Where that is unset a local master gets a folder of its own, as driver and executors are
+    one process; a cluster is refused, since its machines do not see each other's disks.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/pelagia-{purpose}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"pelagia-{purpose}-") + "/data"
+    if not shared:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="pelagia-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
+    return f"{shared.rstrip('/')}/pelagia-{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system Spark can reach, if it is there."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)

@@ -1,20 +1,58 @@
-"""Parquet snapshots: a product is computed once and read back by its dependants."""
+"""Parquet snapshots: a product is computed once and read back by its dependants.
+
+A snapshot is a folder of versions and a pointer, a one-line text folder naming the version that
+holds. A write makes a new version first and then turns the pointer, so a failed job leaves the
+old version in place, and a job may read the snapshot it writes.
+"""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import remove_dir
+
+
+def _pointers(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, version) of every complete pointer, oldest first."""
+    try:
+        rows = spark.read.text(f"{path}/pointer/*").collect()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted((int(n), v) for n, v in (r.value.split(" ", 1) for r in rows))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    return bool(_pointers(spark, path))
+
 
-def write_snapshot(df: DataFrame, path: str) -> DataFrame:
-    """Write a product, then return it as read from storage.
+def write_snapshot(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
+    """Write a product as the next version, then return it as read from storage.
 
     Reading back cuts the lineage: a lost executor re-reads files instead of recomputing
-    every upstream product.
+    every upstream product. The last ``keep`` versions stay, so that readers of the one
+    before are not cut off.
     """
-    df.write.mode("overwrite").parquet(path)
-    return read_snapshot(df.sparkSession, path, df.schema)
+    spark = df.sparkSession
+    before = _pointers(spark, path)
+    number, version = (before[-1][0] + 1 if before else 1), uuid.uuid4().hex
+    df.write.parquet(f"{path}/version/{version}")
+    # The pointer appears whole: Spark moves a finished file into place.
+    line = spark.range(1).selectExpr(f"'{number} {version}' AS value").coalesce(1)
+    line.write.text(f"{path}/pointer/{number:012d}")
+    for n, old in before[: max(0, len(before) + 1 - keep)]:
+        remove_dir(spark, f"{path}/pointer/{n:012d}")
+        remove_dir(spark, f"{path}/version/{old}")
+    return read_snapshot(spark, path, df.schema)
 
 
 def read_snapshot(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    found = _pointers(spark, path)
+    if not found:
+        raise FileNotFoundError(f"no snapshot at {path}")
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    return reader.parquet(f"{path}/version/{found[-1][1]}")
