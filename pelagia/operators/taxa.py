@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import first_word
 
-# Each output row carries every affected taxon, so the list has to fit in a row. Longer
-# lists are served by ``filled_rows``, which keeps no list whole.
-MAX_LISTED = 1_000_000
-
 
 def typed_entries(entries: Column) -> Column:
     """Map from an array of (taxon, value) structs, taxa in text order."""
@@ -27,15 +23,12 @@ def typed_entries(entries: Column) -> Column:
 def to_maps(observed: DataFrame, keys: list[str], taxon: str, value: str, out: str) -> DataFrame:
     """One row per key with a taxon -> value map.
 
-    Values are first reduced to one per (key, taxon), so a key repeated without end still
-    gathers no more entries than there are taxa. A NULL taxon cannot name an entry and
-    raises, as does the map constructor itself.
+    Rows cross the network once, to the place of their key. There they are reduced to one per
+    (key, taxon) and gathered, so a map holds no more entries than there are taxa. A NULL taxon
+    cannot name an entry and raises, as does the map constructor itself.
     """
-    single = (
-        observed.groupBy(*keys, taxon)
-        .agg(F.max(value).alias(value))
-        .repartition(*[F.col(k) for k in keys[:1]])
-    )
+    placed = observed.select(*keys, taxon, value).repartition(*[F.col(k) for k in keys[:1]])
+    single = placed.groupBy(*keys, taxon).agg(F.max(value).alias(value))
     return single.groupBy(*keys).agg(
         typed_entries(F.collect_list(F.struct(F.col(taxon), F.col(value)))).alias(out)
     )
@@ -115,65 +108,62 @@ def sightings_with_list(
     return Sightings(rows, affected)
 
 
-def _listed(affected: DataFrame, methods: list[str]) -> Column:
-    """The affected taxa as one array, evaluated once and shared by all rows."""
-    entry = F.struct(*[F.col(m).alias("method") for m in methods], "taxon", "start")
-    listed = affected.agg(
-        F.when(
-            F.count("*") > MAX_LISTED,
-            F.raise_error(F.lit(f"more than {MAX_LISTED} affected taxa: use filled_rows")),
-        ).otherwise(F.array_sort(F.collect_list(entry))).alias("listed")
-    )
-    return listed.scalar()
-
-
 def _default(time: Column, start: Column) -> Column:
     """NULL before the start, 0 from then on."""
     return F.when(time < start, F.lit(None).cast("double")).otherwise(F.lit(0.0))
 
 
-def _overlay(own: Column, listed: Column, time: Column) -> Column:
-    """Observed entries laid over the defaults; the larger value of a taxon wins."""
-    defaults = F.map_from_entries(
-        F.transform(listed, lambda e: F.struct(e["taxon"], _default(time, e["start"])))
-    )
-    return F.map_zip_with(own, defaults, lambda _k, seen, default: F.greatest(seen, default))
-
-
-def _empty() -> Column:
-    return F.create_map().cast("map<string,double>")
+def _default_rows(visits: DataFrame, affected: DataFrame, slices: int, salts: int) -> DataFrame:
+    """Each visit (columns ``__key``, ``__time``) with each affected taxon, as rows.
 
+    The taxa are dealt into slices and each slice is copied per salt. Every visit goes to all
+    slices at its own salt, so the rows to make are spread over slices x salts join keys, a row
+    of either side is copied a fixed number of times, and no task holds the list of taxa.
+    """
+    dealt = affected.withColumn("__slice", F.pmod(F.hash("taxon"), F.lit(slices))).withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    )
+    sent = visits.withColumn("__salt", F.pmod(F.hash("__key"), F.lit(salts))).withColumn(
+        "__slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
+    )
+    return sent.join(dealt, ["__slice", "__salt"]).drop("__slice", "__salt")
 
-def _sorted_map(m: Column) -> Column:
-    return F.map_from_entries(F.array_sort(F.map_entries(m)))
 
+def _filled(
+    meta: DataFrame, key: str, time: str, found: Sightings, methods: list[str], observed_only: bool, slices: int, salts: int
+) -> DataFrame:
+    """Rows (__key, __time[, method], taxon, value): observed values over defaults."""
+    visits = meta.select(F.col(key).alias("__key"), F.col(time).alias("__time")).distinct()
+    rows = found.rows.filter(F.col(methods[0]).isNotNull()) if observed_only else found.rows
+    seen = visits.join(rows.withColumnRenamed(key, "__key"), "__key")
+    value = _default(F.col("__time"), F.col("start")).alias("value")
+    defaults = _default_rows(visits, found.affected, slices, salts).select("__key", "__time", *methods, "taxon", value)
+    if observed_only:
+        used = rows.select(F.col(key).alias("__key"), *methods).distinct()
+        defaults = defaults.join(used, ["__key", *methods], "left_semi")
+    # Placed by key once, for the merge of each taxon, the map, and the join to the metadata.
+    merged = seen.select("__key", "__time", *methods, "taxon", "value").unionByName(defaults).repartition("__key")
+    return merged.groupBy("__key", "__time", *methods, "taxon").agg(F.max("value").alias("value"))
 
-def _per_key_maps(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """(key columns, own): the observed map per key, all parts of a taxon merged by max.
 
-    ``rows`` is already aggregated, so hot keys are down to their taxa; one exchange on
-    the first key column then serves this and every later step on that key.
-    """
-    placed = rows.repartition(F.col(keys[0]))
-    single = placed.groupBy(*keys, "taxon").agg(F.max("value").alias("value"))
-    return single.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("taxon", "value"))).alias("own")
+def _attached(meta: DataFrame, key: str, time: str, filled: DataFrame, methods: list[str], out: str) -> DataFrame:
+    maps = filled.groupBy("__key", "__time", *methods).agg(
+        typed_entries(F.collect_list(F.struct("taxon", "value"))).alias("__map")
+    )
+    same = meta[key].eqNullSafe(maps["__key"]) & meta[time].eqNullSafe(maps["__time"])
+    return meta.join(maps, same, "left").select(
+        *[meta[f"`{c}`"] for c in meta.columns], *[F.col(m).alias("Method") for m in methods], F.col("__map").alias(out)
     )
 
 
-def fill_gaps(meta: DataFrame, key: str, time: str, found: Sightings, out: str) -> DataFrame:
+def fill_gaps(meta: DataFrame, key: str, time: str, found: Sightings, out: str, slices: int = 8, salts: int = 8) -> DataFrame:
     """Attach the gap-filled map of each metadata row as column ``out``.
 
-    The defaults of a row depend only on its time, so they are computed in place from the
-    short affected list instead of stacking (rows x taxa) default rows and shuffling them.
+    Defaults are rows like the observed ones until one aggregate per key builds the map, which
+    holds every affected taxon by definition; nothing else ever holds them together.
     """
-    listed = _listed(found.affected, [])
-    joined = meta.join(_per_key_maps(found.rows, [key]), key, "left").withColumn("__aff", listed)
-    merged = _overlay(F.coalesce("own", _empty()), F.col("__aff"), F.col(time))
-    return joined.select(
-        *[F.col(f"`{c}`") for c in meta.columns],
-        F.when(F.col("own").isNotNull() | (F.size("__aff") > 0), _sorted_map(merged)).alias(out),
-    )
+    filled = _filled(meta, key, time, found, [], False, slices, salts)
+    return _attached(meta, key, time, filled, [], out)
 
 
 def fill_gaps_by_method(
@@ -184,68 +174,21 @@ def fill_gaps_by_method(
     found: Sightings,
     out: str,
     observed_only: bool = False,
+    slices: int = 8,
+    salts: int = 8,
 ) -> DataFrame:
     """Like :func:`fill_gaps` with one row per counting method, in a column ``Method``.
 
     A row appears for every method observed or affected; ``observed_only`` keeps just the
     observed, non-NULL methods of the key. Keys with neither keep one row without a map.
     """
-    per_method = _per_key_maps(found.rows, [key, method])
-    if observed_only:
-        per_method = per_method.filter(F.col(method).isNotNull())
-    per_key = per_method.groupBy(key).agg(
-        F.collect_list(F.struct(F.col(method).alias("method"), F.col("own").alias("own"))).alias("__own")
-    )
-    listed = _listed(found.affected, [method])
-    joined = meta.join(per_key, key, "left").withColumn("__aff", listed)
-    joined = joined.withColumn(
-        "__own", F.coalesce("__own", F.array().cast("array<struct<method:string,own:map<string,double>>>"))
-    )
-
-    def of_method(name: Column) -> Column:
-        own = F.filter("__own", lambda o: o["method"].eqNullSafe(name))
-        defaults = F.filter("__aff", lambda e: e["method"].eqNullSafe(name))
-        merged = _overlay(F.coalesce(F.get(own, 0)["own"], _empty()), defaults, F.col(time))
-        return F.struct(name.alias("method"), _sorted_map(merged).alias("map"))
-
-    names = F.transform("__own", lambda o: o["method"])
-    if not observed_only:
-        names = F.concat(names, F.transform("__aff", lambda e: e["method"]))
-    rows = F.transform(F.array_distinct(names), of_method)
-    return joined.select(
-        *[F.col(f"`{c}`") for c in meta.columns], F.explode_outer(rows).alias("__row")
-    ).select(
-        *[F.col(f"`{c}`") for c in meta.columns],
-        F.col("__row.method").alias("Method"),
-        F.col("__row.map").alias(out),
-    )
+    filled = _filled(meta, key, time, found, [method], observed_only, slices, salts)
+    return _attached(meta, key, time, filled, [method], out)
 
 
 def filled_rows(
     meta: DataFrame, key: str, time: str, found: Sightings, slices: int = 16, salts: int = 16
 ) -> DataFrame:
-    """The gap-filled values of :func:`fill_gaps` as rows (key, taxon, value).
-
-    Works for an affected list of any length: the list is dealt into slices, each metadata
-    row visits every slice through an equi-join, and no task ever holds more than a slice.
-    The slices are copied per salt, so the few slice numbers do not gather all rows.
-    """
-    dealt = (
-        found.affected.withColumn("__slice", F.pmod(F.hash("taxon"), F.lit(slices)))
-        .groupBy("__slice")
-        .agg(F.collect_list(F.struct("taxon", "start")).alias("__aff"))
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    visits = meta.select(
-        key,
-        F.col(time).alias("__time"),
-        F.pmod(F.hash(key), F.lit(salts)).alias("__salt"),
-        F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("__slice"),
-    )
-    defaults = (
-        visits.join(dealt, ["__slice", "__salt"])
-        .select(key, "__time", F.inline("__aff"))
-        .select(key, "taxon", _default(F.col("__time"), F.col("start")).alias("value"))
-    )
-    seen = found.rows.join(meta.select(key).distinct(), key, "left_semi").select(key, "taxon", "value")
-    return defaults.unionByName(seen).groupBy(key, "taxon").agg(F.max("value").alias("value"))
+    """The gap-filled values of :func:`fill_gaps` as rows (key, taxon, value)."""
+    filled = _filled(meta, key, time, found, [], False, slices, salts)
+    return filled.groupBy(F.col("__key").alias(key), "taxon").agg(F.max("value").alias("value"))

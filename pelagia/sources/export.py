@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A wide file needs its column names up front, so they are collected. This is the number
-# past which Spark itself refuses a pivot; use ``long_rows`` for a vocabulary that large.
-MAX_COLUMNS = 10_000
 
+def key_table(df: DataFrame, column: str, key: str = "taxon") -> DataFrame:
+    """The distinct keys of a map column, one per row; each task hands on its distinct ones only."""
+    return df.select(F.explode(F.map_keys(column)).alias(key)).distinct()
 
-def map_keys(df: DataFrame, column: str, limit: int = MAX_COLUMNS) -> list[str]:
-    """Sorted distinct keys of a map column. Raises when there are more than ``limit``."""
-    keys = df.select(F.explode(F.map_keys(column)).alias("k")).distinct()
-    found = [r.k for r in keys.limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} keys in {column}: export long rows instead")
-    return sorted(found)
+
+def map_keys(df: DataFrame, column: str) -> list[str]:
+    """Sorted distinct keys of a map column.
+
+    Column names are a part of the plan, so the driver needs them: one name per column of the
+    file, however many there are. ``long_rows`` is the form that needs none.
+    """
+    return sorted(r[0] for r in key_table(df, column).collect())
 
 
 def widen(df: DataFrame, column: str, keys: list[str] | None = None) -> DataFrame:
@@ -50,9 +51,9 @@ def with_json(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.to_json(column, {"ignoreNullFields": "false"}))
 
 
-def write_wide_csv(df: DataFrame, column: str, path: str) -> list[str]:
-    """Write the wide form as CSV and return its column names."""
-    wide = widen(df, column)
+def write_wide_csv(df: DataFrame, column: str, path: str, keys: list[str] | None = None) -> list[str]:
+    """Write the wide form as CSV and return its column names; ``keys`` if they are known already."""
+    wide = widen(df, column, keys)
     for name, kind in wide.dtypes:
         if kind.startswith("timestamp"):
             wide = wide.withColumn(name, F.date_format(F.col(f"`{name}`"), "yyyy-MM-dd HH:mm:ss"))
