@@ -65,9 +65,9 @@ def nearest_in_time(
     No pairs are formed. Both sides are merged into one row per distinct (``by``, time),
     which removes any pile-up of equal times before the shuffle. Rows are then sorted
     inside short time buckets, where the latest match before and the earliest after are
-    running values. What lies beyond a bucket's edge comes from a summary of the buckets,
-    so a ``by`` value with a large share of all rows is worked on by as many tasks as it
-    has buckets; its own summary holds one small row per bucket.
+    running values. What lies beyond a bucket's edge comes from a summary of the buckets
+    within the tolerance, so a ``by`` value with a large share of all rows is worked on by
+    as many tasks as it has buckets.
     """
     width = bucket_seconds * 1_000_000
     moments = (
@@ -80,31 +80,28 @@ def nearest_in_time(
         .agg(F.max("__left").alias("__left"), F.min("__id").alias("__id"))
         .withColumn("__bucket", F.floor(F.col("__t") / width))
     )
-    t, hit_time = F.col("__t"), F.when(F.col("__id").isNotNull(), F.col("__t"))
-
-    # One row per bucket: its first and last match, then those of its neighbours in time.
-    edges = moments.groupBy(by, "__bucket").agg(
-        F.max("__left").alias("__left"),
-        F.min(hit_time).alias("__first"),
-        F.min_by("__id", hit_time).alias("__first_id"),
-        F.max(hit_time).alias("__last"),
-        F.max_by("__id", hit_time).alias("__last_id"),
-    )
-    older = Window.partitionBy(by).orderBy(F.asc("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    newer = Window.partitionBy(by).orderBy(F.desc("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    first = F.when(F.col("__first").isNotNull(), _hit(F.col("__first"), F.col("__first_id")))
-    last = F.when(F.col("__last").isNotNull(), _hit(F.col("__last"), F.col("__last_id")))
-    carried = (
-        edges.select(
-            by,
-            "__bucket",
-            "__left",
-            F.last(last, ignorenulls=True).over(older).alias("__before"),
-            F.last(first, ignorenulls=True).over(newer).alias("__after"),
+    t = F.col("__t")
+
+    # One row per bucket: its first and last match. Only buckets within the tolerance can hold
+    # a nearer one, so each offers its own to that many neighbours and the best offer is an
+    # aggregate: nothing walks along all buckets of a ``by`` value.
+    edges = (
+        moments.filter("__id IS NOT NULL")
+        .groupBy(by, "__bucket")
+        .agg(
+            F.min(_hit(t, F.col("__id"))).alias("__first"),
+            F.max(_hit(t, F.col("__id"))).alias("__last"),
         )
-        .filter("__left = 1")
-        .drop("__left")
     )
+    reach = -(-seconds // bucket_seconds)
+    steps = F.explode(F.array(*[F.lit(k) for k in range(-reach, reach + 1) if k]))
+    offers = edges.withColumn("__step", steps).select(
+        by,
+        (F.col("__bucket") + F.col("__step")).alias("__bucket"),
+        F.when(F.col("__step") > 0, F.col("__last")).alias("__before"),
+        F.when(F.col("__step") < 0, F.col("__first")).alias("__after"),
+    )
+    carried = offers.groupBy(by, "__bucket").agg(F.max("__before").alias("__before"), F.min("__after").alias("__after"))
 
     up = Window.partitionBy(by, "__bucket").orderBy(F.asc("__t")).rowsBetween(Window.unboundedPreceding, 0)
     down = Window.partitionBy(by, "__bucket").orderBy(F.desc("__t")).rowsBetween(Window.unboundedPreceding, 0)
@@ -130,7 +127,7 @@ def nearest_in_time(
         )
 
     best = (
-        inside.join(carried, [by, "__bucket"])
+        inside.join(carried, [by, "__bucket"], "left")
         .select(
             by,
             "__t",
