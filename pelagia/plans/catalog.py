@@ -29,18 +29,39 @@ class Catalog:
         self.spark = tune(spark)
         self._raw = raw
         self._known: dict[str, DataFrame] = {}
+        self._reads: dict[str, set[str]] = {}
+        self._open: list[str] = []
 
     def __getitem__(self, name: str) -> DataFrame:
+        if self._open:
+            self._reads[self._open[-1]].add(name)
         if name not in self._known:
             if name in self._raw:
                 source = self._raw[name]
                 self._known[name] = source() if callable(source) else source
             elif name in PRODUCTS:
-                self._known[name] = PRODUCTS[name](self)
+                self._reads[name] = set()
+                self._open.append(name)
+                try:
+                    self._known[name] = PRODUCTS[name](self)
+                finally:
+                    self._open.pop()
             else:
                 raise KeyError(f"no table or product named {name!r}")
         return self._known[name]
 
+    def reads(self, name: str) -> set[str]:
+        """The tables and products that planning ``name`` has asked this catalog for."""
+        self[name]
+        return self._reads.get(name, set())
+
     def put(self, name: str, df: DataFrame) -> None:
-        """Use a stored frame for ``name`` from now on."""
+        """Use a stored frame for ``name`` from now on; what was planned over the old one is dropped."""
+        stale = [name]
+        while stale:
+            gone = stale.pop()
+            readers = [r for r, asked in self._reads.items() if gone in asked and r in self._known]
+            for reader in readers:
+                del self._known[reader]
+            stale += readers
         self._known[name] = df

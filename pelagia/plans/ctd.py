@@ -9,7 +9,6 @@ from ..functions.text import joined
 from ..functions.times import utc_ntz
 from ..operators.nearest import nearest_in_time
 from ..operators.profile import surface_values
-from ..schemas.ctd import MEASURES
 from .catalog import Catalog, product
 
 PROJECT = "NRS"
@@ -79,7 +78,7 @@ def ctd_data(c: Catalog) -> DataFrame:
         F.col("depth").alias("SampleDepth_m"),
         *[
             column
-            for m in MEASURES
+            for m in PUBLISHED
             for column in (
                 F.col(m).alias(PUBLISHED[m][0]),
                 F.col(f"{m}_quality_control").alias(PUBLISHED[m][1]),

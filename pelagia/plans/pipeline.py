@@ -8,14 +8,6 @@ from ..sources.snapshot import write_snapshot
 from . import acoustic, ctd, fish, indices, metadata, taxa, water  # noqa: F401  (register products)
 from .catalog import PRODUCTS, Catalog
 
-# Products others read come first; level by level, a product only needs earlier ones.
-LEVELS: tuple[tuple[str, ...], ...] = (
-    ("bgc_trip_metadata", "cpr_phytoplankton_map", "cpr_zooplankton_map"),
-    ("nrs_depth_binned_ctd_map", "combined_bgc_map"),
-    ("nrs_depth_binned_ctd_data",),
-    ("nrs_ctd_surface_values",),
-    ("bgc_phytoplankton_map", "bgc_zooplankton_map", "bgc_larval_fish_map"),
-)
 # Views of the published set that are a projection, or read by one product only: recomputed
 # on use. (The surface values are a view too, but three products read them.)
 PLAIN_VIEWS = (
@@ -25,11 +17,21 @@ PLAIN_VIEWS = (
 )
 
 
-def build_order(names: list[str] | None = None) -> list[str]:
-    """Every product, or the named ones with all they may read, in a valid order."""
-    early = [n for level in LEVELS for n in level]
-    wanted = list(PRODUCTS) if names is None else names
-    return early + [n for n in wanted if n not in early]
+def build_order(catalog: Catalog, names: list[str] | None = None) -> list[str]:
+    """The named products (or all) and the products they read, each after what it reads."""
+    order: list[str] = []
+
+    def visit(name: str) -> None:
+        if name in order:
+            return
+        for read in sorted(catalog.reads(name)):
+            if read in PRODUCTS:
+                visit(read)
+        order.append(name)
+
+    for name in list(PRODUCTS) if names is None else names:
+        visit(name)
+    return order
 
 
 def build(
@@ -37,7 +39,7 @@ def build(
 ) -> dict[str, DataFrame]:
     """Compute and store products under ``out/<name>``; dependants read the stored copy."""
     built = {}
-    for name in build_order(names):
+    for name in build_order(catalog, names):
         df = catalog[name]
         if store_views or name not in PLAIN_VIEWS:
             df = write_snapshot(df, f"{out}/{name}")

@@ -2,9 +2,6 @@
 
 from .spec import table
 
-# Measured quantity, in the order it is published.
-MEASURES = ("psal", "temp", "dox2", "cphl", "turb", "cndc", "dens")
-
 DEPLOYMENTS = table(
     "deployments",
     key="file_id",
@@ -18,8 +15,25 @@ DEPLOYMENTS = table(
 MEASUREMENTS = table(
     "measurements",
     key="file_id depth",
-    fields="file_id bigint required\ndepth double\n"
-    + "\n".join(f"{m} double\n{m}_quality_control string" for m in MEASURES),
+    # Measured quantities in the order they are published.
+    fields="""
+        file_id              bigint required
+        depth                double
+        psal                 double
+        psal_quality_control string
+        temp                 double
+        temp_quality_control string
+        dox2                 double
+        dox2_quality_control string
+        cphl                 double
+        cphl_quality_control string
+        turb                 double
+        turb_quality_control string
+        cndc                 double
+        cndc_quality_control string
+        dens                 double
+        dens_quality_control string
+    """,
 )
 
 DETECTION_FILE_INDEX = table(
