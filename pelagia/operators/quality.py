@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 from ..functions.parse import parse, readable
 from ..functions.text import joined
 from ..schemas import LINKS, Field, Table
-from ..sources.csv import check_header
+from ..sources.csv import ODD_ROW, check_header
 
 WARNING_RULES = ("range-warning", "pattern-warning", "volume-warning")
 SHOWN = 5
@@ -130,6 +130,26 @@ def header_faults(spark: SparkSession, names: list[str], spec: Table) -> DataFra
     return _shape(listed, spec.name)
 
 
+def row_faults(rows: DataFrame, spec: Table, width: int) -> DataFrame:
+    """Rows of a scan with more or fewer cells than the header's ``width``, one fault each.
+
+    ``value`` is the number of cells found, separators inside quotes aside.
+    """
+    bare = F.regexp_replace(ODD_ROW, r'"(?:[^"]|"")*"', "")
+    cells = F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
+    key = _key_text(spec.key)
+    return _shape(
+        rows.filter(F.col(ODD_ROW).isNotNull()).select(
+            F.when(cells > width, "extra-cell").otherwise("missing-cell").alias("rule"),
+            F.lit(None).cast("string").alias("column"),
+            key.alias("key"),
+            cells.cast("string").alias("value"),
+            F.lit(1).alias("n"),
+        ),
+        spec.name,
+    )
+
+
 def volume_faults(raw: DataFrame, table: str) -> DataFrame:
     """Samples with more than one sampled volume: their product rows repeat."""
     volumes = raw.groupBy("sample").agg(

@@ -17,11 +17,18 @@ CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',  # a doubled quote stands for one quote
     "encoding": "UTF-8",
+    # A quoted cell may hold line breaks. A file is then one split, so a large table is landed
+    # as a folder of files.
+    "multiLine": "true",
     # Header names decide which column is which, so a file may order them freely.
     "enforceSchema": "false",
 }
 
 
+# Holds the text of a row with more or fewer cells than the header; NULL for all others.
+ODD_ROW = "__row"
+
+
 @dataclass(frozen=True)
 class HeaderReport:
     missing: tuple[str, ...]
@@ -46,15 +53,20 @@ def check_header(names: list[str], spec: Table) -> HeaderReport:
     )
 
 
-def scan_text(spark: SparkSession, path: str, spec: Table, **options: str) -> DataFrame:
-    """The file as text columns under the declared lower-case names.
+def scan_rows(spark: SparkSession, path: str, spec: Table, **options: str) -> DataFrame:
+    """The file as text columns under the declared lower-case names, and its odd rows' text.
 
     Skipped fields are dropped, missing-value tokens become NULL, declared columns the
-    file lacks are NULL, and columns nobody declared are left out.
+    file lacks are NULL, and columns nobody declared are left out. A row with too few or too
+    many cells keeps what fits; its whole text stands in ``ODD_ROW``, for
+    :func:`pelagia.operators.quality.row_faults`. Empty lines are no rows.
     """
     names = header_of(spark, path, **options)
-    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    raw = spark.read.options(**{**CSV_OPTIONS, **options}).schema(text).csv(path)
+    fields = [*names, ODD_ROW]
+    text = T.StructType([T.StructField(n, T.StringType()) for n in fields])
+    # Cells are only counted if all columns are parsed.
+    counted = {"columnNameOfCorruptRecord": ODD_ROW, "columnPruning": "false"}
+    raw = spark.read.options(**{**CSV_OPTIONS, **counted, **options}).schema(text).csv(path)
     by_name = {n.lower(): n for n in names}
     tokens = [t for t in spec.missing if t != ""]
 
@@ -67,7 +79,12 @@ def scan_text(spark: SparkSession, path: str, spec: Table, **options: str) -> Da
             value = F.when(~value.isin(*tokens), value)
         return value.alias(name)
 
-    return raw.select(*[cell(c) for c in spec.columns])
+    return raw.select(*[cell(c) for c in spec.columns], ODD_ROW)
+
+
+def scan_text(spark: SparkSession, path: str, spec: Table, **options: str) -> DataFrame:
+    """:func:`scan_rows` without the odd rows' text."""
+    return scan_rows(spark, path, spec, **options).drop(ODD_ROW)
 
 
 def typed(text: DataFrame, spec: Table) -> DataFrame:
