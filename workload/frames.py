@@ -38,10 +38,9 @@ def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
 
 
 def map_text(column: str):
-    """A map as 'k=v;k=v' in key order, values in hundredths."""
+    """A map as 'k=v;k=v' in key order, values whole with six decimals."""
     def entry(e):
-        hundredths = F.round(e["value"].cast("double") * 100).cast("bigint").cast("string")
-        return F.concat(e["key"], F.lit("="), F.coalesce(hundredths, F.lit("null")))
+        return F.concat(e["key"], F.lit("="), F.coalesce(e["value"].cast("decimal(38,6)").cast("string"), F.lit("null")))
 
     return F.array_join(F.transform(F.array_sort(F.map_entries(column)), entry), ";")
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pelagia.functions import measures as M
 from pelagia.functions import text as X
+from pelagia.functions.parse import parse
 from pelagia.functions.times import point_wkt
 from pelagia.operators import quality as Q
 from pelagia.operators import rows as R
@@ -23,14 +26,15 @@ from pelagia.operators.profile import below_reference, reference_level
 from pelagia.plans import taxa as taxon_plans
 from pelagia.plans.indices import chemistry_means, pigment_means
 from pelagia.schemas import TABLES
-from pelagia.session import scratch_dir, tune
-from pelagia.sources.csv import header_of, read_table
-from pelagia.sources.export import long_rows, widen
+from pelagia.session import remove_dir, scratch_dir, tune
+from pelagia.sources.csv import header_of, read_table, scan_rows
+from pelagia.sources.export import long_rows, write_wide_csv
 from pelagia.sources.groups import ingest_group, tables_of
 from pelagia.sources.snapshot import write_snapshot
 
 from .frames import base, catalog, comparable, derived
 from .oracle import compose, even, ln, over, stamp
+from .tables import TABLES as DERIVED
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -197,14 +201,14 @@ _GENUS_ROWS = """SELECT r.sample, genus AS taxon, startdate AS start, zoop_abund
   WHERE genus IS NOT NULL AND genus NOT LIKE '%cf.%'"""
 
 
-@query(f"""WITH observed AS (SELECT sample, taxon, max(v) AS v FROM (
+@query(f"""SELECT * FROM (WITH observed AS (SELECT sample, taxon, max(v) AS v FROM (
     SELECT sample, taxon, sum(value) AS v FROM ({_GENUS_ROWS}) z GROUP BY sample, taxon, start, moved) y GROUP BY ALL),
   affected AS (SELECT taxon, min(start) AS start FROM ({_GENUS_ROWS}) z WHERE moved GROUP BY taxon),
   trips AS (SELECT DISTINCT sample, "SampleTime_UTC" AS t FROM {{cpr_zooplankton_map}}),
   defaults AS (SELECT sample, taxon, CASE WHEN t >= start THEN 0.0 END AS v FROM trips, affected)
 SELECT coalesce(o.sample, d.sample) AS sample, coalesce(o.taxon, d.taxon) AS taxon, greatest(o.v, d.v) AS value
 FROM (SELECT * FROM observed WHERE sample IN (SELECT sample FROM trips)) o
-FULL JOIN defaults d ON d.sample = o.sample AND d.taxon = o.taxon""".replace("WITH observed", "SELECT * FROM (WITH observed") + ") whole")
+FULL JOIN defaults d ON d.sample = o.sample AND d.taxon = o.taxon) whole""")
 def gap_fill_rows(spark, sf):
     """Gap filling as rows: no list of taxa is ever held whole."""
     c = catalog(spark, sf)
@@ -225,7 +229,7 @@ def largest_part_against_total(spark, sf):
     return total.join(largest, ["sample", "taxon"])
 
 
-@query("""SELECT sample, string_agg(taxon_name || '=' || CAST(CAST(round(zoop_abundance_m3 * 100) AS BIGINT) AS VARCHAR), ';' ORDER BY taxon_name) AS taxa
+@query("""SELECT sample, string_agg(taxon_name || '=' || CAST(CAST(zoop_abundance_m3 AS DECIMAL(38, 6)) AS VARCHAR), ';' ORDER BY taxon_name) AS taxa
 FROM {cpr_zoop_raw} GROUP BY sample""")
 def object_pivot(spark, sf):
     return comparable(taxa.to_maps(derived(spark, sf, "cpr_zoop_raw"), ["sample"], "taxon_name", "zoop_abundance_m3", "taxa"))
@@ -240,8 +244,12 @@ _WIDE_GROUPS = ("Ciliate", "Copepod", "Foraminifera", "Jelly")
     + " FROM {cpr_zoop_raw} GROUP BY sample"
 )
 def wide_export(spark, sf):
+    """Written as wide CSV and read back."""
     sums = derived(spark, sf, "cpr_zoop_raw").groupBy("sample", "taxon_group").agg(F.sum("zoop_abundance_m3").alias("v"))
-    return widen(taxa.to_maps(sums, ["sample"], "taxon_group", "v", "m"), "m")
+    path = scratch_dir(spark, "wide")
+    names = write_wide_csv(taxa.to_maps(sums, ["sample"], "taxon_group", "v", "m"), "m", path)
+    schema = ", ".join(f"`{n}` {'string' if n == 'sample' else 'double'}" for n in names)
+    return spark.read.schema(schema).option("header", True).csv(path)
 
 
 @query("""SELECT sample, taxon_group AS taxon, sum(zoop_abundance_m3) AS value FROM {cpr_zoop_raw} GROUP BY ALL""")
@@ -431,39 +439,123 @@ def typed_csv_scan(spark, sf):
 
 
 _GROUP = "bgc_plankton"
-_KEYS = {t: TABLES[t].key[0] for t in tables_of(_GROUP)}
 
 
-@query(" UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS \"rows\", count(DISTINCT {k}) AS \"keys\" FROM {{{t}}}" for t, k in _KEYS.items()))
+def _content(table: str, columns: list[str]) -> str:
+    """Rows of one table as text, in DuckDB: column=value in column order."""
+    typed = TABLES[table]
+    parts = []
+    for c in sorted(columns):
+        kind = typed[c].kind
+        text = stamp(c) if kind.startswith("datetime") else f"CAST(CAST({c} AS DECIMAL(38, 6)) AS VARCHAR)" if kind == "double" else f"CAST({c} AS VARCHAR)"
+        parts.append(f"'{c}=' || coalesce({text}, '-')")
+    return f"""SELECT '{table}' AS "table", {" || ' ' || ".join(parts)} AS content FROM {{{table}}}"""
+
+
+def _content_of(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
+    def text(c: str):
+        kind = TABLES[table][c].kind
+        value = F.date_format(c, "yyyy-MM-dd HH:mm:ss") if kind.startswith("datetime") else F.col(c).cast("decimal(38,6)").cast("string") if kind == "double" else F.col(c).cast("string")
+        return F.concat(F.lit(f"{c}="), F.coalesce(value, F.lit("-")))
+
+    return df.select(F.lit(table).alias("table"), F.concat_ws(" ", *[text(c) for c in sorted(columns)]).alias("content"))
+
+
+# The columns that the derived tables fill; all others are NULL after ingest.
+_FILLED = {t: [c for c in TABLES[t].columns if re.search(rf"\b{c}\b", DERIVED[t])] for t in tables_of(_GROUP)}
+
+
+@query(" UNION ALL ".join(_content(t, c) for t, c in _FILLED.items()))
 def group_ingest(spark, sf):
+    """All five tables of a group landed as CSV, ingested, and read from storage, row by row."""
     landing, out = scratch_dir(spark, "landing"), scratch_dir(spark, "ingested")
     seen: dict = {}
-    for t in _KEYS:
+    for t in _FILLED:
         _land_csv(derived(spark, sf, t, seen), f"{landing}/{t}.csv")
     tables = ingest_group(spark, _GROUP, landing, out)
-    counts = [
-        df.agg(F.count("*").alias("rows"), F.count_distinct(_KEYS[t]).alias("keys")).select(F.lit(t).alias("table"), "rows", "keys")
-        for t, df in tables.items()
-    ]
-    out_df = counts[0]
-    for df in counts[1:]:
-        out_df = out_df.unionByName(df)
-    return out_df
+    remove_dir(spark, landing)
+    return reduce(DataFrame.unionByName, [_content_of(tables[t], t, c) for t, c in _FILLED.items()])
 
 
-@query("SELECT trip_code, CAST(count(*) AS BIGINT) AS casts FROM {nrs_depth_binned_ctd_map} GROUP BY trip_code")
+@query(f"""SELECT * REPLACE ({stamp('"CastTimeUTC"')} AS "CastTimeUTC", {stamp('"SampleTime_UTC"')} AS "SampleTime_UTC")
+FROM {{nrs_depth_binned_ctd_map}}""")
 def snapshot_round_trip(spark, sf):
-    stored = write_snapshot(catalog(spark, sf)["nrs_depth_binned_ctd_map"], scratch_dir(spark, "snapshot"))
-    return stored.groupBy("trip_code").agg(F.count("*").alias("casts"))
-
-
-@query("""SELECT 'cpr_samp' AS "table", rule, "column", CAST(NULL AS VARCHAR) AS key, "column" AS value, CAST(1 AS BIGINT) AS n
-FROM (VALUES ('missing-field', 'pci'), ('extra-field', 'vessel')) f(rule, "column")""")
-def dq_header(spark, sf):
-    """A landed file that lacks one declared column and brings another."""
-    path = scratch_dir(spark, "header")
-    _land_csv(derived(spark, sf, "cpr_samp").withColumn("vessel", F.lit("x")).drop("pci"), path)
-    return Q.header_faults(spark, header_of(spark, path), TABLES["cpr_samp"])
+    """A product stored twice under one path, the second time from its own stored rows."""
+    path = scratch_dir(spark, "snapshot")
+    stored = write_snapshot(catalog(spark, sf)["nrs_depth_binned_ctd_map"], path)
+    return comparable(write_snapshot(stored, path))
+
+
+# The last digit of a sample decides how its landed line is written.
+_SAMP_KEYS = ("sample", "trip_code", "region")
+
+
+def _land_lines(df: DataFrame, path: str, files: int = 4) -> None:
+    """CSV lines as they come from elsewhere: line breaks in quotes, cells too many or too few."""
+    digit = F.substring("sample", -1, 1)
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    region = F.when(digit == "5", F.concat(F.col("region"), F.lit(", first\nsecond line"))).otherwise(F.col("region"))
+    cells = F.concat_ws(",", quoted(F.col("sample")), quoted(F.col("trip_code")), quoted(region))
+    line = F.when(digit == "3", F.concat(cells, F.lit(",stray"))).when(digit == "7", F.concat_ws(",", quoted(F.col("sample")), quoted(F.col("trip_code")))).otherwise(cells)
+    rows = df.select(F.pmod(F.crc32("sample"), F.lit(files)).cast("int").alias("file"), F.lit(1).alias("place"), line.alias("value"))
+    heads = df.sparkSession.range(files).select(F.col("id").cast("int").alias("file"), F.lit(0).alias("place"), F.lit(",".join(_SAMP_KEYS).upper()).alias("value"))
+    heads.unionByName(rows).repartitionById(files, "file").sortWithinPartitions("file", "place").select("value").write.text(path)
+
+
+@query("""SELECT 'cpr_samp' AS "table", CASE sample[-1] WHEN '3' THEN 'extra-cell' ELSE 'missing-cell' END AS rule, CAST(NULL AS VARCHAR) AS "column",
+  sample AS key, CASE sample[-1] WHEN '3' THEN '4' ELSE '2' END AS value, CAST(1 AS BIGINT) AS n
+FROM {cpr_samp} WHERE sample[-1] IN ('3', '7')
+UNION ALL SELECT 'cpr_samp', 'missing-field', c, NULL, c, 1 FROM (SELECT unnest(['latitude', 'longitude', 'sampledateutc', 'sampledatelocal', 'pci', 'biomass_mgm3', 'sampletype', 'ghrsst_6d_degc', 'chloc3_mgm3']) AS c)""")
+def dq_rows(spark, sf):
+    """Faults of a landed table's rows and of its header."""
+    path = scratch_dir(spark, "rows")
+    _land_lines(derived(spark, sf, "cpr_samp"), path)
+    names, spec = header_of(spark, path), TABLES["cpr_samp"]
+    faults = Q.row_faults(scan_rows(spark, path, spec), spec, len(names))
+    return faults.unionByName(Q.header_faults(spark, names, spec))
+
+
+@query("""SELECT sample, trip_code, CASE sample[-1] WHEN '5' THEN region || ', first' || chr(10) || 'second line' WHEN '7' THEN NULL ELSE region END AS region FROM {cpr_samp}""")
+def csv_rows_whole(spark, sf):
+    """Every landed row once, with quoted line breaks inside its cells."""
+    path = scratch_dir(spark, "whole")
+    _land_lines(derived(spark, sf, "cpr_samp"), path)
+    return read_table(spark, path, TABLES["cpr_samp"]).select(*_SAMP_KEYS)
+
+
+@query("""SELECT animal_id AS id, CASE event_id % 7 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN 'n/a' ELSE event_type END AS animal_sex, CAST(NULL AS BIGINT) AS nb_detections
+FROM (SELECT *, 'A69-1303-1_2_' || CAST(event_id AS VARCHAR) AS animal_id FROM {events}) e""")
+def missing_tokens(spark, sf):
+    """Missing-value tokens of a declared table become NULL; other text stays."""
+    kind = F.pmod("event_id", F.lit(7))
+    sex = F.when(kind == 0, "NA").when(kind == 1, " ").when(kind == 2, "n/a").otherwise(F.col("event_type"))
+    rows = base(spark, sf, "events").select(F.concat(F.lit("A69-1303-1_2_"), "event_id").alias("animal_ID"), sex.alias("animal_sex"), F.lit("NA").alias("nb_detections"))
+    path = scratch_dir(spark, "tokens")
+    rows.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    spec = TABLES["acoustic_summary_qc"].only("animal_id", "animal_sex", "nb_detections")
+    return read_table(spark, path, spec).select(F.col("animal_id").alias("id"), "animal_sex", "nb_detections")
+
+
+def _written_times(events: DataFrame) -> DataFrame:
+    """One time of each event in the declared forms, by turns."""
+    day, clock = F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm:ss")
+    flag = F.element_at(F.array(*[F.lit(v) for v in ("true", "false", "True", "0", "maybe")]), (F.pmod("event_id", F.lit(5)) + 1).cast("int"))
+    return events.select("event_id", F.concat(day, F.lit("T"), clock).alias("t"), F.concat(day, F.lit(" "), clock, F.lit("Z")).alias("z"), F.concat(day, F.lit(" "), clock).alias("plain"), flag.alias("flag"))
+
+
+@query("""SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS t, strftime(ts, '%Y-%m-%d %H:%M:%S') AS z, CAST(NULL AS VARCHAR) AS crossed,
+  CASE event_id % 5 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true WHEN 3 THEN false END AS flag FROM {events}""")
+def time_forms(spark, sf):
+    """The T and Z forms of a time, a form that is not the declared one, and truth values."""
+    rows = _written_times(base(spark, sf, "events"))
+    return comparable(rows.select("event_id", parse(F.col("t"), "datetime_t").alias("t"), parse(F.col("z"), "datetime_z").alias("z"), parse(F.col("plain"), "datetime_t").alias("crossed"), parse(F.col("flag"), "boolean").alias("flag")))
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%d') AS short, strftime(ts, '%Y-%m-%d') AS long FROM {events}")
+def any_date(spark, sf):
+    """A date by itself, and one followed by a time."""
+    rows = _written_times(base(spark, sf, "events"))
+    return comparable(rows.select("event_id", parse(F.substring("plain", 1, 10), "date_any").alias("short"), parse(F.col("t"), "date_any").alias("long")))
 
 
 _NOW = "2020-06-01 00:00:00"
@@ -484,9 +576,15 @@ def _merged(kept: str, time: str) -> str:
   {_merged("url", "url")}, CASE WHEN b.tag_deployment_id IS NULL THEN s.size ELSE b.size END AS size
 FROM {{detection_file_index}} s FULL JOIN {{detection_index_batch}} b ON b.tag_deployment_id = s.tag_deployment_id""")
 def index_upsert(spark, sf):
-    c = catalog(spark, sf)
-    now = F.lit(_NOW).cast("timestamp_ntz")
-    return comparable(upsert.upsert_index(c["detection_file_index"], c["detection_index_batch"], now))
+    """Stored: the index as it is, then a batch that came as CSV, was checked, and is merged twice."""
+    path, landed = scratch_dir(spark, "index"), scratch_dir(spark, "batch")
+    now, spec = F.lit(_NOW).cast("timestamp_ntz"), TABLES["detection_index_batch"]
+    write_snapshot(derived(spark, sf, "detection_file_index"), path)
+    t_form = {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss") for c in ("time_coverage_start", "time_coverage_end")}
+    _land_csv(derived(spark, sf, "detection_index_batch").withColumns(t_form), landed)
+    batch = read_table(spark, landed, spec)
+    upsert.store_index(spark, path, batch, now)
+    return comparable(upsert.store_index(spark, path, batch, now))
 
 
 @query(f"""SELECT tag_deployment_id, transmitter_id, species, species_scientific_name, tagging_project,
@@ -588,14 +686,14 @@ def dq_sample_volumes(spark, sf):
 _ALL_TRIP = " UNION ALL ".join(_REQUIRED + _TYPE + _RANGE + _UNIQUE)
 
 
-@query(f"""WITH faults AS ({_ALL_TRIP}), errors AS (SELECT * FROM faults WHERE rule <> 'range-warning')
+@query(f"""SELECT * FROM (WITH faults AS ({_ALL_TRIP}), errors AS (SELECT * FROM faults WHERE rule <> 'range-warning')
 SELECT t."table", (SELECT coalesce(sum(n), 0) FROM errors e WHERE e."table" = t."table") = 0 AS valid,
   CAST((SELECT coalesce(sum(n), 0) FROM errors e WHERE e."table" = t."table") AS BIGINT) AS errors,
   CAST((SELECT coalesce(sum(n), 0) FROM faults f WHERE f."table" = t."table" AND rule = 'range-warning') AS BIGINT) AS warnings,
   coalesce((SELECT string_agg(rule || ' in "' || "column" || '": ' || coalesce(value, 'NULL'), ' / ' ORDER BY place)
    FROM (SELECT *, row_number() OVER (PARTITION BY "table" ORDER BY rule, "column", key NULLS LAST, value NULLS LAST) AS place FROM errors) r
    WHERE place <= 5 AND r."table" = t."table"), '') AS messages
-FROM (VALUES ('bgc_trip'), ('cpr_samp')) t("table")""".replace("WITH faults", "SELECT * FROM (WITH faults") + ") whole")
+FROM (VALUES ('bgc_trip'), ('cpr_samp')) t("table")) whole""")
 def dq_report(spark, sf):
     """The faulty visits and a clean table, as one report."""
     clean = comparable(derived(spark, sf, "cpr_samp"))

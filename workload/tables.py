@@ -142,10 +142,11 @@ TABLES["cpr_phyto_changelog"] = _changelog(180, "'bolt', 'rod'")
 TABLES["cpr_zoop_changelog"] = _changelog(270, "'plate', 'ring'")
 
 TABLES["zoopinfo"] = """
-SELECT taxon_name, max(CAST(p_size * 0.0625 AS DOUBLE)) AS length_mm,
+SELECT CASE WHEN p_size < 45 THEN taxon_name ELSE taxon_name || ' (old name)' END AS taxon_name,
+       max(CAST(p_size * 0.0625 AS DOUBLE)) AS length_mm,
        max(CASE p_partkey % 5 WHEN 0 THEN 'Carnivore' WHEN 1 THEN 'Omnivore' WHEN 2 THEN 'Herbivore'
            WHEN 3 THEN 'Detritivore' ELSE NULL END) AS diet
-FROM {taxon} WHERE p_size < 45 GROUP BY taxon_name
+FROM {taxon} GROUP BY CASE WHEN p_size < 45 THEN taxon_name ELSE taxon_name || ' (old name)' END
 """
 
 # Laboratory tables. Grouping makes (trip, depth) unique, as their keys declare.
@@ -161,14 +162,14 @@ def _flag(i: int) -> str:
     return f"CAST(max((l_suppkey + {i}) % 5) AS BIGINT)"
 
 
-def _lab(columns: dict[str, str], where: str, depth: str, extra_keys: dict[str, str] | None = None) -> str:
+def _lab(columns: dict[str, str], depth: str, extra_keys: dict[str, str] | None = None) -> str:
     keys = {"trip_code": trip("l_orderkey"), "sampledepth_m": depth, **(extra_keys or {})}
     return (
         "\nSELECT "
         + ", ".join(f"{e} AS {n}" for n, e in keys.items())
         + f", {LAB_TIME} AS sampledatelocal, "
         + ", ".join(f"{e} AS {n}" for n, e in columns.items())
-        + f"\nFROM {{lineitem}} WHERE {where}\nGROUP BY "
+        + "\nFROM {lineitem}\nGROUP BY "
         + ", ".join(keys.values())
         + "\n"
     )
@@ -186,19 +187,56 @@ TABLES["bgc_chemistry"] = _lab(
         "alkalinity_flag": _flag(8),
         "microbiomesample_id": f"max({nullif('l_suppkey % 3 = 0', chr(39) + 'M' + chr(39) + ' || CAST(l_partkey AS STRING)')})",
     },
-    "l_returnflag = 'R'",
     "CAST(l_linenumber * 10 + (CASE WHEN l_suppkey % 5 = 0 THEN 0.5 ELSE 0 END) AS DOUBLE)",
 )
 
+# The declared pigments.
 PIGMENT_COLUMNS = (
-    "cphl_c3 mg_dvp cphl_c2 cphl_c1 cphl_c1c2 cphlide_a phide_a perid pyrophide_a but_fuco fuco neo "
-    "keto_hex_fuco pras viola hex_fuco asta diadchr diadino dino anth allo diato zea lut cantha gyro "
-    "dv_cphl_b cphl_b dv_cphl_b_and_cphl_b dv_cphl_a cphl_a dv_cphl_a_and_cphl_a echin phytin_b phytin_a "
-    "lyco beta_epi_car beta_beta_car alpha_beta_car pyrophytin_a"
-).split()
+    "cphl_c3",
+    "mg_dvp",
+    "cphl_c2",
+    "cphl_c1",
+    "cphl_c1c2",
+    "cphlide_a",
+    "phide_a",
+    "perid",
+    "pyrophide_a",
+    "but_fuco",
+    "fuco",
+    "neo",
+    "keto_hex_fuco",
+    "pras",
+    "viola",
+    "hex_fuco",
+    "asta",
+    "diadchr",
+    "diadino",
+    "dino",
+    "anth",
+    "allo",
+    "myxo",
+    "diato",
+    "zea",
+    "lut",
+    "cantha",
+    "gyro",
+    "dv_cphl_b",
+    "cphl_b",
+    "dv_cphl_b_and_cphl_b",
+    "dv_cphl_a",
+    "cphl_a",
+    "dv_cphl_a_and_cphl_a",
+    "echin",
+    "phytin_b",
+    "phytin_a",
+    "lyco",
+    "beta_epi_car",
+    "beta_beta_car",
+    "alpha_beta_car",
+    "pyrophytin_a",
+)
 TABLES["bgc_pigments"] = _lab(
     {**{p: _value(i) for i, p in enumerate(PIGMENT_COLUMNS)}, "pigments_flag": _flag(0)},
-    "l_returnflag = 'A' AND l_linestatus = 'F'",
     _DEPTH_TEXT,
 )
 
@@ -208,14 +246,13 @@ _TSS = {
     "organicfraction_mgl": _value(3),
     "tss_flag": _flag(1),
 }
-TABLES["bgc_tss"] = _lab(_TSS, "l_returnflag = 'A' AND l_linestatus = 'O'", _DEPTH_TEXT)
+TABLES["bgc_tss"] = _lab(_TSS, _DEPTH_TEXT)
 TABLES["bgc_tss_meta"] = _lab(
     {
         **_TSS,
         "tss_comments": f"max({nullif('l_suppkey % 4 = 0', chr(39) + 'filter ' + chr(39) + ' || CAST(l_suppkey AS STRING)')})",
         "blankadjustavailable": "max(CASE WHEN l_suppkey % 2 = 0 THEN 'Y' ELSE 'N' END)",
     },
-    "l_returnflag = 'A' AND l_linestatus = 'O'",
     _DEPTH_TEXT,
     {"replicate": "CAST(1 + l_suppkey % 3 AS BIGINT)"},
 )
@@ -225,7 +262,7 @@ _PICO_COLUMNS = {
     **{f"{q}_cellsml": _value(i) for i, q in enumerate(_PICO)},
     **{f"{q}_flag": _flag(i) for i, q in enumerate(_PICO)},
 }
-TABLES["bgc_picoplankton"] = _lab(_PICO_COLUMNS, "l_returnflag = 'N' AND l_linestatus = 'O'", _DEPTH_TEXT)
+TABLES["bgc_picoplankton"] = _lab(_PICO_COLUMNS, _DEPTH_TEXT)
 TABLES["bgc_picoplankton_meta"] = _lab(
     {
         **_PICO_COLUMNS,
@@ -244,7 +281,6 @@ TABLES["bgc_picoplankton_meta"] = _lab(
         "analysis_time_minutes": "CAST(max(l_suppkey % 9) AS BIGINT)",
         "batch_comments": "max(CASE WHEN l_suppkey % 8 = 0 THEN 'rerun' ELSE NULL END)",
     },
-    "l_returnflag = 'N'",
     _DEPTH_TEXT,
     {"sample_code": "'P' || CAST(l_orderkey AS STRING) || '-' || CAST(l_suppkey AS STRING)", "replicate": "CAST(1 + l_suppkey % 2 AS BIGINT)"},
 )
@@ -282,13 +318,12 @@ SELECT o_orderkey AS i_sample_id, 'NRS' AS projectname, {trip("o_orderkey")} AS
        {nullif("o_orderkey % 2 = 0", "CAST((o_orderkey % 80) * 0.25 AS DOUBLE)")} AS temperature_c,
        {nullif("o_orderkey % 3 = 0", "CAST(30 + (o_orderkey % 40) * 0.125 AS DOUBLE)")} AS salinity_psu,
        o_orderkey % 4 AS qc_flag
-FROM {{orders}} WHERE o_orderpriority IN ('3-MEDIUM', '5-LOW')
+FROM {{orders}}
 """
 TABLES["bgc_lfish_countraw"] = f"""
 SELECT l_orderkey AS i_sample_id, {trip("l_orderkey")} AS trip_code, taxon_name AS scientificname,
        CAST(sum(l_linenumber) AS BIGINT) AS taxon_count
 FROM {{lineitem}} JOIN {{taxon}} ON p_partkey = l_partkey
-WHERE l_returnflag <> 'R'
 GROUP BY l_orderkey, taxon_name
 """
 
@@ -306,19 +341,20 @@ SELECT 'C' || CAST(o_custkey AS STRING) AS trip_code, {SAMPLE.format(k="o_orderk
 FROM {{orders}}
 """
 
-# Tagged animals: one market segment is not indexed yet, another is absent from the batch.
+# Tagged animals: those of one market segment are indexed under another tag than the batch has.
 _TAG = "'A69-' || CAST(1000 + c_custkey % 9000 AS STRING) || '-' || CAST(c_custkey AS STRING)"
+_OLD_TAG = f"CASE WHEN c_mktsegment = 'BUILDING' THEN 'A180-7-' || CAST(c_custkey AS STRING) ELSE {_TAG} END"
 _GEOM = "'MULTIPOINT((' || CAST(100 + c_custkey % 60 AS STRING) || ' ' || CAST(-40 + c_custkey % 30 AS STRING) || '))'"
 _T0 = "CAST('2015-01-01 00:00:00' AS TIMESTAMP)"
 TABLES["detection_file_index"] = f"""
-SELECT {_TAG} AS tag_deployment_id, 'A69-' || CAST(c_custkey % 97 AS STRING) AS transmitter_id,
+SELECT {_OLD_TAG} AS tag_deployment_id, 'A69-' || CAST(c_custkey % 97 AS STRING) AS transmitter_id,
        'Species ' || CAST(c_nationkey AS STRING) AS species, c_mktsegment AS species_scientific_name,
        'Project ' || CAST(c_custkey % 5 AS STRING) AS tagging_project,
        {_T0} + INTERVAL '1' HOUR * c_custkey AS time_coverage_start,
        {_T0} + INTERVAL '1' HOUR * (2 * c_custkey) AS time_coverage_end,
        {_GEOM} AS geom, {_T0} AS first_indexed, {_T0} AS last_indexed,
        'https://files.example/' || CAST(c_custkey AS STRING) AS url, c_custkey % 1000 AS size
-FROM {{customer}} WHERE c_mktsegment <> 'BUILDING'
+FROM {{customer}}
 """
 TABLES["detection_index_batch"] = f"""
 SELECT {_TAG} AS tag_deployment_id, 'A69-new' AS transmitter_id,
@@ -328,7 +364,7 @@ SELECT {_TAG} AS tag_deployment_id, 'A69-new' AS transmitter_id,
        {_T0} + INTERVAL '1' HOUR * (3 * c_custkey) AS time_coverage_end,
        {_GEOM} AS geom_df, 'https://files.example/new' AS url,
        {nullif("c_custkey % 10 = 0", "c_custkey % 700")} AS size
-FROM {{customer}} WHERE c_mktsegment <> 'MACHINERY'
+FROM {{customer}}
 """
 
 # Visits as text with faults of every kind in them, and detections with broken identifiers.
