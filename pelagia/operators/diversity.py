@@ -31,7 +31,7 @@ def zooplankton_indices(raw: DataFrame, info: DataFrame, key: str) -> DataFrame:
     amount = F.col("zoop_abundance_m3")
     named = F.coalesce(copepod & identified_species("species", ZOOP_MARKS), F.lit(False))
     per_species = (
-        raw.join(lengths, "taxon_name", "left")
+        salted_join(raw, lengths, "taxon_name", how="left")
         .groupBy(
             key,
             named.alias("named"),

@@ -71,24 +71,28 @@ def surface_means(depth: str, measures: dict[str, str]) -> dict[str, Column]:
 
 def below_reference(
     profile: DataFrame, levels: DataFrame, key: str, depth: str, temperature: str, salinity: str, chlorophyll: str,
-    skip_null_chlorophyll: bool = False,
+    skip_null_chlorophyll: bool = False, keep_all: bool = False,
 ) -> DataFrame:
     """Per key, below the reference depth: mixed-layer depths and the chlorophyll maximum.
 
-    All three picks share one join and one aggregate. A NULL difference sorts last; a NULL
+    All three picks share one join and one aggregate, and what else ``levels`` holds per key is
+    carried through both, so no level is computed twice. Keys with nothing below their level are
+    left out, or have NULL picks with ``keep_all``. A NULL difference sorts last; a NULL
     chlorophyll sorts *first*, as the published product has it, unless it is skipped.
     """
     d = F.col(depth)
-    rows = profile.select(key, depth, temperature, salinity, chlorophyll)
-    below = salted_join(rows, levels.select(key, "ref_depth", "ref_temp", "ref_sal"), key).filter(
-        d > F.col("ref_depth")
-    )
+    carried = [c for c in levels.columns if c not in (key, "ref_depth", "ref_temp", "ref_sal")]
+    rows = salted_join(profile.select(key, depth, temperature, salinity, chlorophyll), levels, key, salts=4)
+    below = d > F.col("ref_depth")
+    if not keep_all:
+        rows = rows.filter(below)
     dt = F.abs(F.col(temperature) - F.col("ref_temp"))
     ds = F.abs(F.col(salinity) - F.col("ref_sal"))
     chl = F.col(chlorophyll)
     null_rank = chl.isNull() if skip_null_chlorophyll else chl.isNotNull()
-    return below.groupBy(key).agg(
-        lowest({"d": d}, dt.isNull(), dt)["d"].alias("MLDtemp_m"),
-        lowest({"d": d}, ds.isNull(), ds)["d"].alias("MLDsal_m"),
-        lowest({"d": d}, null_rank, -chl)["d"].alias("DCM_m"),
+    return rows.groupBy(key).agg(
+        lowest({"d": d}, dt.isNull(), dt, where=below)["d"].alias("MLDtemp_m"),
+        lowest({"d": d}, ds.isNull(), ds, where=below)["d"].alias("MLDsal_m"),
+        lowest({"d": d}, null_rank, -chl, where=below)["d"].alias("DCM_m"),
+        *[F.first(c).alias(c) for c in carried],
     )

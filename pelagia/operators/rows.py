@@ -20,15 +20,15 @@ def first_per_group(df: DataFrame, keys: list[str], order: list[Column]) -> Data
     return ranked.filter(F.col("__rank") == 1).drop("__rank")
 
 
-def lowest(fields: dict[str, Column], *order: Column) -> Column:
-    """Aggregate: ``fields`` of the row that comes first under ``order``.
+def lowest(fields: dict[str, Column], *order: Column, where: Column | None = None) -> Column:
+    """Aggregate: ``fields`` of the row that comes first under ``order``, of rows ``where`` holds.
 
     Lowest values win, and the fields themselves break remaining ties. Several of these
     share one pass and one shuffle, with partial aggregation on the map side.
     """
     ranks = [o.alias(f"__o{i}") for i, o in enumerate(order)]
-    picked = [c.alias(n) for n, c in fields.items()]
-    return F.min(F.struct(*ranks, *picked))
+    row = F.struct(*ranks, *[c.alias(n) for n, c in fields.items()])
+    return F.min(row if where is None else F.when(where, row))
 
 
 def in_any(df: DataFrame, key: str, sources: list[DataFrame]) -> DataFrame:
@@ -45,8 +45,8 @@ def union_distinct(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames).distinct()
 
 
-def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int = 16) -> DataFrame:
-    """Inner join of many rows per key with one row per key, safe for a key that owns many.
+def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int = 16, how: str = "inner") -> DataFrame:
+    """Inner or left join of many rows per key with one row per key, safe for a key that owns many.
 
     Spark splits a skewed join by itself only where both inputs come straight from a shuffle;
     an input that was just aggregated on the key does not. Here the rows of a key are spread
@@ -55,7 +55,7 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int = 16) ->
     names = [c for c in big.columns if c != key]
     spread = F.pmod(F.hash(F.spark_partition_id(), *names), F.lit(salts))
     copies = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return big.withColumn("__salt", spread).join(copies, [key, "__salt"]).drop("__salt")
+    return big.withColumn("__salt", spread).join(copies, [key, "__salt"], how).drop("__salt")
 
 
 def star(base: DataFrame, key: str, facts: list[DataFrame]) -> DataFrame:

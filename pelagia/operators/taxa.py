@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import first_word
+from .rows import salted_join
 
 
 def typed_entries(entries: Column) -> Column:
@@ -87,7 +88,7 @@ def sightings_with_changelog(
     if combine == "sum":
         rows = tagged.groupBy(*keys, "taxon").agg(F.sum("value").alias("value"))
     else:
-        parts = tagged.join(names, "taxon_name", "left")
+        parts = salted_join(tagged, names, "taxon_name", how="left")
         rows = (
             parts.groupBy(*keys, "taxon", "start", "changed")
             .agg(F.sum("value").alias("value"))

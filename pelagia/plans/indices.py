@@ -73,8 +73,8 @@ def pigment_means(pigments: DataFrame) -> DataFrame:
     )
 
 
-def profile_indices(c: Catalog) -> list[DataFrame]:
-    """Surface means with the reference level, and the picks below that level."""
+def profile_indices(c: Catalog) -> DataFrame:
+    """Per trip: the picks below the reference level, and the surface means taken with that level."""
     names = ("trip_code", "SampleDepth_m", "Temperature_degC", "Salinity_psu", "Chla_mgm3")
     rows = c["nrs_depth_binned_ctd_data"].select(*names)
     key, depth, temp, sal, chl = names
@@ -89,8 +89,7 @@ def profile_indices(c: Catalog) -> list[DataFrame]:
             {"CTDTemperature_degC": temp, "CTDChlaF_mgm3": chl, "CTDSalinity_PSU": sal},
         ),
     )
-    picks = below_reference(rows, levels, key, depth, temp, sal, chl)
-    return [levels.drop("ref_depth", "ref_temp", "ref_sal"), picks]
+    return below_reference(rows, levels, key, depth, temp, sal, chl, keep_all=True)
 
 
 @product("nrs_derived_indices_data")
@@ -101,7 +100,7 @@ def nrs_indices(c: Catalog) -> DataFrame:
         phytoplankton_indices(
             c["bgc_phyto_raw"], "trip_code", "cell_l", "biovolume_um3l", "PhytoBiomassCarbon_pgL", "PhytoAbundance_CellsL"
         ),
-        *profile_indices(c),
+        profile_indices(c),
         chemistry_means(c["bgc_chemistry"]),
         pigment_means(c["bgc_pigments"]),
     ]
