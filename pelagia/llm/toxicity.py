@@ -1,8 +1,11 @@
 r"""Toxicity: a learned lexicon, matched with misspellings, weighed by the context of each hit.
 
-Learning. Words are counted per label over all labelled training rows. A word enters the lexicon
-when its share of toxic documents is above the base rate beyond chance: the likelihood ratio must
-exceed what the best of all words counted would reach by luck.
+Learning. Words are counted per label over all labelled training rows. A word is a candidate when
+its documents are toxic for the most part and beyond chance: the likelihood ratio must exceed what
+the best of all words counted would reach by luck. Copies of a toxic document make candidates of
+all its words, so candidates must explain documents: on a bounded sample of toxic rows (SAMPLE)
+the word that covers most of them is taken, its documents leave, and so on. Words that merely
+stand beside a toxic one cover nothing that is left.
 
 Matching. The lexicon is a trie. The Levenshtein automaton of the word at hand is intersected
 with the trie, and the product is determinised as words ask for it, so a word costs one lookup
@@ -36,6 +39,10 @@ from .common import split_of, table
 THRESHOLD = 0.7
 #: Bounds of what the driver holds: terms of the lexicon, and misspellings with their own counts.
 MAX_TERMS, MAX_VARIANTS = 2_000, 200_000
+#: Candidate words the driver looks at, toxic rows they are tried on, and rows a term must add.
+CANDIDATES, SAMPLE, GAIN = 20_000, 3_000, 2
+#: Least share of toxic documents among those that hold a term.
+SHARE = 0.8
 MIN_LETTERS = 3
 #: Nats by which a term must beat the luckiest of all counted words.
 MARGIN = 4.6
@@ -182,6 +189,19 @@ class Model:
         return 1.0 - clean
 
 
+def cover(documents: list[list[int]], words: int) -> list[int]:
+    """Greedy cover: the word in most documents, then the one in most of those left, and so on."""
+    left, picked = [np.array(d, np.int64) for d in documents if d], []
+    while left and len(picked) < MAX_TERMS:
+        gain = np.bincount(np.concatenate(left), minlength=words)
+        best = int(gain.argmax())
+        if gain[best] < GAIN:
+            break
+        picked.append(best)
+        left = [d for d in left if best not in d]
+    return picked
+
+
 def learn(labelled: DataFrame) -> Model:
     """A model from rows (text, toxic); counts cover every row."""
     rows = labelled.filter("toxic IS NOT NULL").select(F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") != 0).cast("int").alias("toxic"))
@@ -195,11 +215,21 @@ def learn(labelled: DataFrame) -> Model:
     # Words of any document that no label can lift above chance leave with the aggregate.
     n, p, q = F.col("n").cast("double"), F.col("toxic") / F.col("n"), F.lit(base)
     ratio = n * (p * F.log(p / q) + F.when(p < 1, (1 - p) * F.log((1 - p) / (1 - q))).otherwise(0.0))
-    strong = words.filter((F.length("word") >= MIN_LETTERS) & (p > max(0.5, 2 * base)) & F.col("word").rlike(r"^\p{L}")).withColumn("ratio", ratio)
+    strong = words.filter((F.length("word") >= MIN_LETTERS) & (p >= SHARE) & F.col("word").rlike(r"^\p{L}")).withColumn("ratio", ratio)
     # The luckiest of V words by chance alone reaches about ln V; words met once or twice never do.
     counted = words.filter("n > 2").agg(F.count("*")).first()[0]
     picked = strong.filter(F.col("ratio") > math.log(max(2, counted)) + MARGIN)
-    terms = [r.word for r in picked.orderBy(F.desc("ratio"), "word").limit(MAX_TERMS).collect()]
+    candidates = [r.word for r in picked.orderBy(F.desc("ratio"), "word").limit(CANDIDATES).collect()]
+    drawn = F.pmod(F.xxhash64("text", F.lit("draw")), F.lit(1 << 30)) < int(min(1.0, 0.9 * SAMPLE / toxic) * (1 << 30))
+    number = {w: i for i, w in enumerate(candidates)}
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [sorted({number[w] for w in WORD.findall(t.lower()) if w in number}) for t in b["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["found"])
+
+    sample = rows.filter((F.col("toxic") == 1) & drawn).limit(SAMPLE).mapInArrow(held, "found array<int>").collect()
+    terms = [candidates[i] for i in cover([r.found for r in sample], len(candidates))]
     if not terms:
         return Model([], {}, {}, base / 2)
     chosen = set(terms)
