@@ -116,7 +116,7 @@ def judge(pages: DataFrame, rules: DataFrame, id: str = "page_id", url: str = "u
         r.select("part", "key", F.lit(False).alias("is_page"), "end", "host", "path", "verdict", null.cast(pages.schema[id].dataType).alias("page_id"))
     )
     # Rules open at a key come before pages; of two at one key the wider one (its host is equal) is as good first as last.
-    swept = mixed.repartition(ranges, "part").sortWithinPartitions("part", "key", "is_page").mapInArrow(
+    swept = mixed.repartitionById(ranges, "part").sortWithinPartitions("part", "key", "is_page").mapInArrow(
         _sweep, f"page_id {pages.schema[id].dataType.simpleString()}, host string, path string, rule string, verdict string"
     )
     return swept.withColumn("verdict", F.coalesce("verdict", F.lit(default)))
