@@ -163,8 +163,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id") -> DataFrame:
     """The documents without a test item, all their columns; a row without an id stays."""
+    # What goes grows with the corpus: merged, not broadcast, at every size.
     gone = contaminated(docs, benchmark, id).select(F.col("doc_id").alias(id)).distinct()
-    return docs.join(gone, id, "left_anti")
+    return docs.join(gone.hint("merge"), id, "left_anti")
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,7 +78,7 @@ def drop_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     digest = F.sha2(normalised(F.col(text)), 256)
     # Placed by id alone, so that the repeats of a row are found where the join left them.
     same = (F.col(id) == F.col("__gone")) & ~(digest != F.col("text_sha256"))
-    return docs.join(gone, same, "left_anti").dropDuplicates([id, text])
+    return docs.join(gone.hint("merge"), same, "left_anti").dropDuplicates([id, text])
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
