@@ -37,9 +37,9 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, mix, table
 
-LENGTH, GRAM = 50, 16
+LENGTH, GRAM = 50, 20
 #: Longest segment in windows; bytes of text hashed at a time, and of a collection ordered at a time.
-LONGEST, CHUNK, BLOCK = 64, 1 << 20, 1 << 21
+LONGEST, CHUNK, BLOCK = 64, 1 << 20, 1 << 18
 #: Distinct segments of one name that are ordered in one task; larger names are split by window.
 MOST = 20_000
 _NO_ID = -(2**63)
@@ -89,7 +89,8 @@ def segments(data: np.ndarray, starts: np.ndarray, prefixes: Prefixes) -> tuple[
         return none, none, none, none
     w = _words(data)
     with np.errstate(over="ignore"):
-        grams = mix(w[:-8] * _ODD ^ mix(w[8:] + _ODD))
+        last, middle = w[GRAM - 8 :], w[GRAM // 2 - 4 : len(w) - GRAM + GRAM // 2 + 4]
+        grams = mix(mix(w[: len(last)] * _ODD ^ middle[: len(last)]) + last)
     name = _running(grams, LENGTH - GRAM + 1, np.minimum)
     owner = np.zeros(len(data), np.int32)
     owner[starts[1:]] = 1
@@ -184,7 +185,7 @@ def suffix_order(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     """
     first = np.zeros(len(data), bool)
     first[starts] = True
-    order = ends
+    order = ends = ends.astype(np.int32)
     for _ in range(int((ends - starts).max(initial=0))):
         longer = order[~first[order]]
         transform = data[longer - 1]
@@ -329,7 +330,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", with
     hot = found.filter("open").groupBy("name").agg(F.count("*").alias("n")).filter(F.col("n") > most).select("name", F.lit(True).alias("hot"))
     asked = found.filter("open").groupBy("doc", "mark").agg(F.collect_list(F.struct("name", "start", "windows")).alias("segments"))
     strings = keyed.select("doc", "mark", "text").join(asked, ["doc", "mark"]).select("doc", "mark", "text", "segments")
-    strings = strings.mapInArrow(_bytes, "name long, doc long, mark int, start int, bytes binary").dropDuplicates()
+    strings = strings.mapInArrow(_bytes, "name long, doc long, mark int, start int, bytes binary")
     strings = scratch.keep(strings.join(hot, "name", "left"), "strings")
     more = strings.filter("hot IS NULL").repartition("name").sortWithinPartitions("name", "doc").mapInArrow(_order, FOUND)
     split = strings.filter("hot").mapInArrow(_single, "name long, content int, doc long, mark int, start int, windows short")
