@@ -39,6 +39,8 @@ BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
 #: Signature agreement that decides alone: some four and a half standard errors off.
 LOW, HIGH = 0.62, 0.95
+#: Texts of a bucket compared with as many others in one block.
+CHUNK = 400
 #: Shingles sketched at a time.
 BLOCK = 40_000
 
@@ -49,6 +51,13 @@ def shingles(text: str | None, hashes: WordHashes, words: int = WORDS) -> np.nda
     return ngram_hashes(hashes.of((text or "").split()), words)
 
 
+def fingerprint(elements: np.ndarray, times: np.ndarray | None = None) -> int:
+    """One number for a set of shingles, or for a multiset."""
+    with np.errstate(over="ignore"):
+        spread = mix(elements + _SLICE) * (np.uint64(1) if times is None else times.astype(np.uint64))
+        return int(spread.sum(dtype=np.uint64).astype(np.int64))
+
+
 def darts(element: np.ndarray, slot: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(slot, rank, dart) of all darts on unit regions ``element`` up to the ``rank`` of each."""
     slots, ranks, ids = [], [], []
@@ -108,8 +117,7 @@ def _sketch(words: int, weighted: bool):
                     size += int(n.sum()) if weighted else len(s)
                     high += 1
                 made = signatures(sets, counts if weighted else None).astype("<u2")
-                with np.errstate(over="ignore"):
-                    prints = [int((mix(s + _SLICE) * (n.astype(np.uint64) if weighted else np.uint64(1))).sum(dtype=np.uint64).astype(np.int64)) if len(s) else None for s, n in zip(sets, counts)]
+                prints = [fingerprint(s, n if weighted else None) if len(s) else None for s, n in zip(sets, counts)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(low, high - low), pa.array(prints, pa.int64()), pa.array([m.tobytes() for m in made], pa.binary())],
                     ["doc_id", "print", "signature"],
@@ -139,15 +147,16 @@ def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array((one == two).mean(1))], ["a", "b", "agreement"])
 
 
-def _sets(words: int):
+def _sets(words: int, weighted: bool = False):
     """Sorted 64-bit shingles of the texts whose fingerprint is the one asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b["print"], pa.array([np.unique(shingles(t, hashes, words)).tobytes() for t in b["text"].to_pylist()], pa.binary())], ["print", "shingles"]
-            )
+            sets = [np.unique(shingles(t, hashes, words)) for t in b["text"].to_pylist()]
+            # Rows that share an id bring each other's texts; only the fingerprint's own stays.
+            own = [i for i, (s, p) in enumerate(zip(sets, b["print"].to_pylist())) if weighted or fingerprint(s) == p]
+            yield pa.RecordBatch.from_arrays([b["print"].take(pa.array(own, pa.int64())), pa.array([sets[i].tobytes() for i in own], pa.binary())], ["print", "shingles"])
 
     return run
 
@@ -162,6 +171,64 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(sims, pa.float64())], ["a", "b", "similarity"])
 
 
+def forest(sets: list[np.ndarray], component: list[int], similarity: float) -> list[tuple[int, int]]:
+    """Pairs at least ``similarity`` alike that join the components of these sets, one per join."""
+    sizes = np.array([len(x) for x in sets], np.float32)
+    values, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), sizes.astype(int))
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    shared = times[column] > 1  # what only one set holds meets nothing
+    narrow = np.cumsum(times > 1) - 1
+    column, row = narrow[column[shared]], row[shared]
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    width = min(8192, int(column[-1]) + 1) if len(column) else 1
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, (low, low + width))
+        part = np.zeros((len(sets), width), np.float32)
+        part[row[a:b], column[a:b] - low] = 1.0
+        both += part @ part.T
+    names = np.unique(component, return_inverse=True)[1]
+    alike = (both >= similarity * (sizes[:, None] + sizes[None, :] - both) - 1e-3) & (names[:, None] < names[None, :])
+    root, out = np.arange(names.max() + 1), []
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for i, j in zip(*np.nonzero(alike)):
+        a, b = find(names[i]), find(names[j])
+        if a != b:
+            root[a] = b
+            out.append((int(i), int(j)))
+    return out
+
+
+def _blocks(similarity: float):
+    """Rows sorted by block to the links that join components; a block is held until it is whole."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(prints: list[int], component: list[int], raw: list[bytes]) -> pa.RecordBatch:
+            pairs = forest([np.frombuffer(r, np.uint64) for r in raw], component, similarity) if len(set(component)) > 1 else []
+            ends = [[prints[p[k]] for p in pairs] for k in (0, 1)]
+            return pa.RecordBatch.from_arrays([pa.array(e, pa.int64()) for e in ends], ["a", "b"])
+
+        at, held = None, ([], [], [])
+        for b in batches:
+            for row in zip(*(b[c].to_pylist() for c in ("key", "lo", "hi", "print", "component", "shingles"))):
+                if row[:3] != at:
+                    if at is not None:
+                        yield links(*held)
+                    at, held = row[:3], ([], [], [])
+                for column, value in zip(held, row[3:]):
+                    column.append(value)
+        if at is not None:
+            yield links(*held)
+
+    return run
+
+
 def _both(edges: DataFrame, values: DataFrame, column: str) -> DataFrame:
     """Edges (a, b) with the value of either end as sa and sb."""
     one = values.select(F.col("print").alias("a"), F.col(column).alias("sa"))
@@ -169,14 +236,18 @@ def _both(edges: DataFrame, values: DataFrame, column: str) -> DataFrame:
     return edges.join(one, "a").join(two, "b").select("a", "b", "sa", "sb")
 
 
-def verified(edges: DataFrame, reps: DataFrame, docs: DataFrame, scratch: Scratch, name: str, words: int, similarity: float) -> DataFrame:
+def shingle_sets(asked: DataFrame, docs: DataFrame, words: int, weighted: bool) -> DataFrame:
+    """(print, shingles) of the representatives asked for: (print, doc_id)."""
+    texts = docs.join(asked.withColumnRenamed("doc_id", "__id"), docs.doc_id.eqNullSafe(F.col("__id"))).select("print", "text")
+    return texts.mapInArrow(_sets(words, weighted), "print long, shingles binary").dropDuplicates(["print"])
+
+
+def verified(edges: DataFrame, reps: DataFrame, docs: DataFrame, scratch: Scratch, name: str, words: int, similarity: float, weighted: bool) -> DataFrame:
     """The edges whose ends are at least ``similarity`` alike."""
     seen = scratch.keep(_both(edges, reps, "signature").mapInArrow(_agreement, "a long, b long, agreement double").filter(F.col("agreement") >= LOW), f"{name}_seen")
     open_ = seen.filter(F.col("agreement") < HIGH)
     asked = open_.select(F.explode(F.array("a", "b")).alias("print")).distinct().join(reps.select("print", "doc_id"), "print")
-    # Ids are no keys here: rows that share one would mix texts, so the text's own fingerprint is in the join.
-    texts = docs.join(asked, docs.doc_id.eqNullSafe(asked.doc_id)).select("print", "text")
-    sets = scratch.keep(texts.mapInArrow(_sets(words), "print long, shingles binary").dropDuplicates(["print"]), f"{name}_sets")
+    sets = scratch.keep(shingle_sets(asked, docs, words, weighted), f"{name}_sets")
     close = _both(open_.select("a", "b"), sets, "shingles").mapInArrow(_exact, "a long, b long, similarity double").filter(F.col("similarity") >= similarity)
     links = scratch.keep(seen.filter(F.col("agreement") >= HIGH).select("a", "b").unionByName(close.select("a", "b")), f"{name}_links")
     scratch.drop(f"{name}_seen", f"{name}_sets")
@@ -221,15 +292,19 @@ def near_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", words:
     shared = scratch.keep(rows.join(hubs, "key"), "shared")
 
     spokes = shared.filter("print <> hub").select(F.col("print").alias("a"), F.col("hub").alias("b")).distinct()
-    links = verified(spokes, reps, docs, scratch, "spokes", words, similarity)
+    links = verified(spokes, reps, docs, scratch, "spokes", words, similarity, weighted)
     labels = components(links, scratch, "first")
-    # What a hub did not bring together: pairs of one bucket in different components, hubs aside.
+    # What a hub did not bring together: buckets with several components, hubs aside, in blocks.
     placed = shared.filter("print <> hub").join(labels, "print", "left").select("key", "print", F.coalesce("component", "print").alias("component"))
-    split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    apart = scratch.keep(placed.join(split, "key"), "apart")
-    one, two = apart.toDF("key", "a", "ca"), apart.toDF("key", "b", "cb")
-    pairs = one.join(two, "key").filter("ca < cb").select("a", "b").distinct()
-    more = verified(pairs, reps, docs, scratch, "pairs", words, similarity)
+    split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).filter("lo < hi")
+    apart = scratch.keep(placed.join(split.select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "key"), "apart")
+    asked = apart.select("print").distinct().join(reps.select("print", "doc_id"), "print")
+    sets = scratch.keep(shingle_sets(asked, docs, words, weighted), "sets")
+    mine = F.pmod(F.xxhash64("print"), F.col("chunks")).cast("int")
+    blocks = apart.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("key", F.least(mine, "other").alias("lo"), F.greatest(mine, "other").alias("hi"), "print", "component")
+    ordered = blocks.join(sets, "print").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "print")
+    more = scratch.keep(ordered.mapInArrow(_blocks(similarity), "a long, b long").distinct(), "more")
+    scratch.drop("sets", "apart")
     if not more.isEmpty():
         labels = components(links.unionByName(more), scratch, "second")
 
@@ -244,8 +319,9 @@ def near_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", words:
 
 def drop_near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay, one of each class, all their columns; a row without an id stays."""
+    # What goes grows with the corpus: merged, not broadcast, at every size.
     gone = near_classes(docs, id, text).filter("doc_id <> class_id").select(F.col("doc_id").alias(id)).distinct()
-    return docs.join(gone, id, "left_anti")
+    return docs.join(gone.hint("merge"), id, "left_anti")
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

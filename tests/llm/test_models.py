@@ -19,7 +19,7 @@ def levenshtein(a, b):
 
 def test_automaton_is_levenshtein_within_bounds():
     rng = np.random.default_rng(2)
-    terms = ["idiot", "trash", "pathetic", "worthless", "scum", "ab", "idiots"]
+    terms = ["idiot", "trash", "pathetic", "worthless", "scum", "ab", "idiots", "incorrigible"]
     words = {w for t in terms for w in (t, t[1:], t + "s", "x" + t, t.replace("i", "1", 1), t[:3] + "zz" + t[3:], t[::-1])}
     words |= {"".join(rng.choice(list("idotrash1"), rng.integers(1, 9))) for _ in range(400)} | {"", "é"}
     for states in (100_000, 3):
