@@ -26,6 +26,8 @@ from __future__ import annotations
 
 import math
 import re
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import split_of, table
+from .common import Scratch, split_of, table
 
 THRESHOLD = 0.7
 #: Bounds of what the driver holds: terms of the lexicon, and misspellings with their own counts.
@@ -59,13 +61,22 @@ QUOTES = re.compile(r"[\"“”„«»‘]|\b(?:quote[ds]?|quoting|said|says|wro
 
 def edits_for(term: str) -> int:
     """Edits allowed: none in short terms, where every edit is another word."""
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    return 0 if len(term) < 5 else 1 if len(term) < 12 else 2
 
 
 class Lexicon:
     """A trie of terms, and the automaton of misspelled words over it."""
 
-    def __init__(self, terms: list[str], states: int = 100_000, words: int = 400_000):
+    @classmethod
+    def of_worker(cls, terms: list[str]) -> Lexicon:
+        """The lexicon of this Python worker: what one task has determinised serves the next."""
+        store = vars(sys.modules.setdefault("_pelagia_worker", types.ModuleType("_pelagia_worker")))
+        key = tuple(terms)
+        if store.get("lexicon", (None,))[0] != key:
+            store["lexicon"] = (key, cls(terms))
+        return store["lexicon"][1]
+
+    def __init__(self, terms: list[str], states: int = 300_000, words: int = 400_000):
         self.children: list[dict[str, int]] = [{}]
         self.term: list[str | None] = [None]
         self.most = [0]
@@ -204,7 +215,15 @@ def cover(documents: list[list[int]], words: int) -> list[int]:
 
 def learn(labelled: DataFrame) -> Model:
     """A model from rows (text, toxic); counts cover every row."""
+    scratch = Scratch(labelled.sparkSession, "toxicity")
+    model = _learn(labelled, scratch)
+    scratch.drop("rows", "words")
+    return model
+
+
+def _learn(labelled: DataFrame, scratch: Scratch) -> Model:
     rows = labelled.filter("toxic IS NOT NULL").select(F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") != 0).cast("int").alias("toxic"))
+    rows = scratch.keep(rows, "rows")
     total, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     base = toxic / total if total else 0.0
     if not toxic or toxic == total:
@@ -212,6 +231,7 @@ def learn(labelled: DataFrame) -> Model:
     cuts = F.split(F.lower("text"), r"[^\p{L}\p{N}_@$*!|]+")  # the words of WORD
     cuts = F.array_distinct(F.transform(cuts, lambda w: F.btrim(w, F.lit("@$*!|"))))
     words = rows.select("toxic", F.explode(cuts).alias("word")).groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic"))
+    words = scratch.keep(words, "words")
     # Words of any document that no label can lift above chance leave with the aggregate.
     n, p, q = F.col("n").cast("double"), F.col("toxic") / F.col("n"), F.lit(base)
     ratio = n * (p * F.log(p / q) + F.when(p < 1, (1 - p) * F.log((1 - p) / (1 - q))).otherwise(0.0))
@@ -235,7 +255,7 @@ def learn(labelled: DataFrame) -> Model:
     chosen = set(terms)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(terms)
+        lexicon = Lexicon.of_worker(terms)
         for b in batches:
             yield b.take(pa.array([i for i, w in enumerate(b["word"].to_pylist()) if w not in chosen and lexicon.match(w)], pa.int64()))
 
@@ -243,7 +263,7 @@ def learn(labelled: DataFrame) -> Model:
     variants = {r.word: (int(r.toxic), int(r.n)) for r in close.orderBy(F.desc("n"), "word").limit(MAX_VARIANTS).collect()}
 
     def kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, seen = Lexicon(terms), {}
+        lexicon, seen = Lexicon.of_worker(terms), {}
         for b in batches:
             for text, label in zip(b["text"].to_pylist(), b["toxic"].to_pylist()):
                 for kind, quoted in {h[2:] for h in hits(text, lexicon)}:
@@ -263,7 +283,7 @@ def with_scores(docs: DataFrame, model: Model, text: str = "text", name: str = "
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(model.terms)
+        lexicon = Lexicon.of_worker(model.terms)
         for b in batches:
             scores = [model.score(t or "", lexicon) for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.array(scores, float), pa.float64())], [*b.schema.names, name])
@@ -272,8 +292,11 @@ def with_scores(docs: DataFrame, model: Model, text: str = "text", name: str = "
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled rows whose crc32(doc_id) mod 3 is not 1; labels are one narrow side of the join."""
-    mine = labels.select("doc_id", "toxic").filter(split_of("doc_id", 3) != 1)
+    """Labelled rows whose crc32(doc_id) mod 3 is not 1.
+
+    Labels grow with the corpus, so they are merged, not broadcast, at every size.
+    """
+    mine = labels.select("doc_id", "toxic").filter(split_of("doc_id", 3) != 1).hint("merge")
     return docs.select("doc_id", "text").filter(split_of("doc_id", 3) != 1).join(mine, "doc_id").select("text", "toxic")
 
 
