@@ -4,9 +4,10 @@
    GRAM-byte strings inside it. Consecutive windows with one name are a segment. Equal windows
    have equal names, whatever stands around them.
 2. Refine. Segments are sorted by (name, hash of the whole segment, document). Read in that
-   order, a segment whose equal stands in a smaller document is covered whole, and only the first
-   of each distinct segment goes on, if its name has more than one.
-3. Order. The distinct segments of a name are a small collection of strings. Its suffix order is
+   order, a segment whose equal stands in a smaller document is covered whole. Of each distinct
+   segment all that stand in its smallest document go on, if its name has more than one.
+3. Order. The distinct segments of a name are a small collection of strings; what is covered in
+   one holds for all its repeats in the document. Its suffix order is
    built column by column: each round puts one more symbol in front of every string and reads the
    collection's Burrows-Wheeler transform once, from front to back, in a stable distribution by
    symbol that yields the next order. Neighbours that share LENGTH bytes are one group; each
@@ -128,14 +129,20 @@ def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low = high
 
 
-FOUND = "name long, doc long, mark int, start int, windows short, open boolean"
+FOUND = "name long, doc long, mark int, start int, windows short, open boolean, first boolean"
 
 
 def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in the order (name, content, doc), read once. Covered segments come out with
-    ``open`` false, the first of each content of a name that has several with ``open`` true."""
+    """Rows in the order (name, content, doc), read once. Covered segments come out with ``open``
+    false. Where a name has several contents, the rows of each content's smallest document come
+    out with ``open`` true, and the first of them with ``first`` true."""
     last_name = last_content = last_doc = None
-    several, waiting = False, None
+    several, waiting = False, []
+
+    def out(b: pa.RecordBatch, rows: np.ndarray, open_: bool, first: np.ndarray) -> pa.RecordBatch:
+        part = b.take(pa.array(rows)).select(["name", "doc", "mark", "start", "windows"])
+        return pa.RecordBatch.from_arrays([*part.columns, pa.array(np.full(len(rows), open_)), pa.array(first[rows])], [*part.schema.names, "open", "first"])
+
     for b in batches:
         if not b.num_rows:
             continue
@@ -145,30 +152,23 @@ def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         firsts = np.flatnonzero(new_content)
         of = np.searchsorted(firsts, np.arange(len(name)), "right") - 1
         first_doc = np.where(of >= 0, doc[firsts[np.maximum(of, 0)]] if len(firsts) else 0, last_doc if last_doc is not None else 0)
-        covered = np.flatnonzero(~new_content & (doc > first_doc))
+        least = doc == first_doc
         # Contents per name in this batch; the first name may go on from the batch before.
         group = np.cumsum(new_name)
         kinds = np.bincount(group[firsts], minlength=group[-1] + 1)
         carried = not new_name[0]
         if carried:
             kinds[group[0]] += 2 if several else 1
-        out = []
-        if waiting is not None and (not carried or kinds[group[0]] > 1):
+        if waiting and (not carried or kinds[group[0]] > 1):
             if carried:
-                out.append(waiting)
-            waiting = None
-        open_ = firsts[kinds[group[firsts]] > 1]
-        # The last name's only content waits: the next batch may bring another one.
-        lone = firsts[-1:] if len(firsts) and group[firsts[-1]] == group[-1] and kinds[group[-1]] == 1 else firsts[:0]
-        picked = np.concatenate([covered, open_])
-        part = b.take(pa.array(picked)).select(["name", "doc", "mark", "start", "windows"])
-        flag = np.concatenate([np.zeros(len(covered), bool), np.ones(len(open_), bool)])
-        yield pa.RecordBatch.from_arrays([*part.columns, pa.array(flag)], [*part.schema.names, "open"])
-        for row in out:
-            yield row
-        if len(lone):
-            row = b.slice(int(lone[0]), 1).select(["name", "doc", "mark", "start", "windows"])
-            waiting = pa.RecordBatch.from_arrays([*row.columns, pa.array([True])], [*row.schema.names, "open"])
+                yield from waiting
+            waiting = []
+        if group[-1] != group[0]:  # the first name ends here
+            waiting = []
+        yield out(b, np.flatnonzero(~least), False, new_content)
+        yield out(b, np.flatnonzero(least & (kinds[group] > 1)), True, new_content)
+        if kinds[group[-1]] == 1:  # the last name's only content waits: the next batch may bring another one
+            waiting.append(out(b, np.flatnonzero(least & (group == group[-1])), True, new_content))
         several = bool(kinds[group[-1]] > 1)
         last_name, last_content = name[-1], content[-1]
         last_doc = doc[firsts[-1]] if len(firsts) else last_doc
@@ -260,26 +260,36 @@ def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Segments sorted by name to covered runs of windows; a collection ends between two names."""
 
-    def solve(names: list, docs: list, marks: list, starts: list, strings: list[bytes]) -> pa.RecordBatch:
-        doc = np.array(docs, np.int64)
-        s, at, n = covered_windows(strings, doc)
+    def solve(keys: list[tuple], rows: list[tuple]) -> pa.RecordBatch:
+        """Runs of the distinct (name, doc, bytes), handed to each row (key, mark, start) of theirs."""
+        key, mark, start = (np.array(c, np.int64) for c in zip(*rows))
+        s, at, n = covered_windows([k[2] for k in keys], np.array([k[1] for k in keys], np.int64))
+        cuts = np.searchsorted(s, np.arange(len(keys) + 1))
+        sizes = np.diff(cuts)[key]
+        row = np.repeat(np.arange(len(key)), sizes)
+        run = np.arange(len(row)) + np.repeat(cuts[key] - np.cumsum(sizes) + sizes, sizes)
+        name, doc = (np.array([k[i] for k in keys], np.int64)[key[row]] for i in (0, 1))
+        none = pa.array(np.zeros(len(row), bool))
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.array(names, np.int64)[s]), pa.array(doc[s]), pa.array(np.array(marks, np.int32)[s]), pa.array((np.array(starts, np.int64)[s] + at).astype(np.int32)), pa.array(n.astype(np.int16)), pa.array(np.zeros(len(s), bool))],
-            ["name", "doc", "mark", "start", "windows", "open"],
+            [pa.array(name), pa.array(doc), pa.array(mark[row].astype(np.int32)), pa.array((start[row] + at[run]).astype(np.int32)), pa.array(n[run].astype(np.int16)), none, none],
+            ["name", "doc", "mark", "start", "windows", "open", "first"],
         )
 
-    held: tuple[list, ...] = ([], [], [], [], [])
-    size = 0
+    keys: dict[tuple, int] = {}
+    rows: list[tuple] = []
+    size, last = 0, None
     for b in batches:
-        for row in zip(*(b[c].to_pylist() for c in ("name", "doc", "mark", "start", "bytes"))):
-            if size >= BLOCK and row[0] != held[0][-1]:
-                yield solve(*held)
-                held, size = ([], [], [], [], []), 0
-            for column, value in zip(held, row):
-                column.append(value)
-            size += len(row[4])
-    if held[0]:
-        yield solve(*held)
+        for name, doc, mark, start, raw in zip(*(b[c].to_pylist() for c in ("name", "doc", "mark", "start", "bytes"))):
+            if size >= BLOCK and name != last:
+                yield solve(list(keys), rows)
+                keys, rows, size = {}, [], 0
+            if (name, doc, raw) not in keys:
+                keys[name, doc, raw] = len(keys)
+                size += len(raw)
+            rows.append((keys[name, doc, raw], mark, start))
+            last = name
+    if rows:
+        yield solve(list(keys), rows)
 
 
 def _cut(with_text: bool):
@@ -327,7 +337,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", with
     ordered = covers.repartition("name").sortWithinPartitions("name", "content", "doc")
     found = scratch.keep(ordered.mapInArrow(_refine, FOUND), "found")
     # Segments whose name has several contents get their bytes back and are ordered.
-    hot = found.filter("open").groupBy("name").agg(F.count("*").alias("n")).filter(F.col("n") > most).select("name", F.lit(True).alias("hot"))
+    hot = found.filter("open").groupBy("name").agg(F.count_if("first").alias("n")).filter(F.col("n") > most).select("name", F.lit(True).alias("hot"))
     asked = found.filter("open").groupBy("doc", "mark").agg(F.collect_list(F.struct("name", "start", "windows")).alias("segments"))
     strings = keyed.select("doc", "mark", "text").join(asked, ["doc", "mark"]).select("doc", "mark", "text", "segments")
     strings = strings.mapInArrow(_bytes, "name long, doc long, mark int, start int, bytes binary")

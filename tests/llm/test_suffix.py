@@ -57,3 +57,13 @@ def test_removal_matches_brute_force(make, prose, most):
     got = [tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in remove_repeats(make(rows), most=most).collect()]
     assert sorted(got, key=repr) == brute(rows)
     assert remove_repeats(make([])).count() == 0
+
+
+@pytest.mark.parametrize("most", [20_000, 1])
+def test_repeats_inside_the_smallest_document_are_covered(make, prose, most):
+    paragraph = prose(30, 5)
+    rows = [(1, "-" * 80), (2, "-" * 400), (3, "=" * 70 + "\n" + "=" * 700), (4, "=" * 300)]
+    rows += [(10, paragraph[20:110]), (11, " ".join([paragraph, prose(9, 1), paragraph, prose(9, 2), paragraph])), (12, "_" * 90), (12, "a" + "_" * 200), (12, "b" + "_" * 200), (11, paragraph)]
+    got = [tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in remove_repeats(make(rows), most=most).collect()]
+    assert sorted(got, key=repr) == brute(rows)
+    assert {r[2] for r in got if r[0] == 2} == {400}
