@@ -123,7 +123,7 @@ def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             name, begin, windows, content = segments(np.frombuffer(b"".join(t for _, t in part), np.uint8), starts, prefixes)
             at = np.searchsorted(starts, begin, "right") - 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(name), pa.array((content.view(np.int64) >> 32).astype(np.int32)), pa.array(ids[rows[at]]), pa.array(marks[rows[at]]), pa.array((begin - starts[at]).astype(np.int32)), pa.array(windows.astype(np.int16))],
+                [pa.array(name), pa.array(content.view(np.int64)), pa.array(ids[rows[at]]), pa.array(marks[rows[at]]), pa.array((begin - starts[at]).astype(np.int32)), pa.array(windows.astype(np.int16))],
                 ["name", "content", "doc", "mark", "start", "windows"],
             )
             low = high
@@ -333,7 +333,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", with
     docs = docs.select(F.col(id).alias("doc_id"), text_of.alias("text"))
     # The mark tells rows apart that share an id; the id orders them.
     keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)).cast("long").alias("doc"), F.pmod(F.xxhash64("text"), F.lit(1 << 15)).cast("int").alias("mark"), "text")
-    covers = keyed.select("doc", "mark", "text").mapInArrow(_cover, "name long, content int, doc long, mark int, start int, windows short")
+    covers = keyed.select("doc", "mark", "text").mapInArrow(_cover, "name long, content long, doc long, mark int, start int, windows short")
     ordered = covers.repartition("name").sortWithinPartitions("name", "content", "doc")
     found = scratch.keep(ordered.mapInArrow(_refine, FOUND), "found")
     # Segments whose name has several contents get their bytes back and are ordered.

@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from pelagia.llm.suffix import covered_windows, remove_repeats, suffix_order
+from pelagia.llm.suffix import Prefixes, covered_windows, remove_repeats, segments, suffix_order
 
 
 def brute(rows):
@@ -67,3 +67,26 @@ def test_repeats_inside_the_smallest_document_are_covered(make, prose, most):
     got = [tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in remove_repeats(make(rows), most=most).collect()]
     assert sorted(got, key=repr) == brute(rows)
     assert {r[2] for r in got if r[0] == 2} == {400}
+
+
+def test_segments_of_one_name_are_told_apart_by_64_bits(make):
+    rng = np.random.default_rng(3)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)
+    pool = letters[rng.integers(0, 26, 2_000_000)]
+    name, begin, _, _ = segments(pool, np.zeros(1, np.int64), Prefixes())
+    seed = pool[begin[name.view(np.uint64).argmin()] :][:50]  # holds the string with the smallest hash
+    texts = letters[rng.integers(0, 26, (400_000, 50))]
+    for at in range(31):  # where in the window the string stands
+        texts[0, 15:35] = seed[at : at + 20]
+        if segments(texts[0], np.zeros(1, np.int64), Prefixes())[0].view(np.uint64)[0] == name.view(np.uint64).min():
+            break
+    texts[:, 15:35] = texts[0, 15:35]
+    names, _, _, content = segments(texts.reshape(-1), np.arange(len(texts)) * 50, Prefixes())
+    own = np.flatnonzero(names.view(np.uint64) == name.view(np.uint64).min())
+    upper = content[own] >> np.uint64(32)
+    order = np.argsort(upper, kind="stable")
+    pairs = np.flatnonzero(upper[order][1:] == upper[order][:-1])
+    assert len(own) > 300_000 and len(pairs)
+    rows = [(2 * k + i, texts[own[order[p + i]]].tobytes().decode()) for k, p in enumerate(pairs) for i in (0, 1)]
+    assert len({t for _, t in rows}) == len(rows)
+    assert {r.n_removed for r in remove_repeats(make(rows), with_text=False).collect()} == {0}
