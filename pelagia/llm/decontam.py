@@ -1,13 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 1. The word 3-grams of all test items are hashed. A bit map of fixed size says which hashes can
    matter; passes over documents emit only those, with their place.
-2. The emitted rows meet the items' 3-grams. Of each item the rarer half of its 3-grams, by how
-   many documents hold them, and SEEDS at least, are its seeds. Rarity is ranked within the item:
-   a passage leaked a thousand times keeps its seeds.
+2. The emitted rows meet the items' 3-grams; every 3-gram of an item is a seed, however many
+   documents hold it, as edited copies may keep just the frequent ones.
 3. Seeds on one diagonal of a document and an item are one region. Regions travel to their
    document, and the words around each are aligned with the item's (match 2, mismatch and gap -1).
-   The score is the best local alignment over that of an unchanged copy.
+   The score is the best local alignment over that of an unchanged copy. A region that holds too
+   few of the item's words to reach the threshold, each matched, is not aligned.
 
 Cases. NULL and wordless items match nothing; NULL and wordless texts are clean. An item shorter
 than three words is one seed as a whole. Repeated items are reported under each id; items with a
@@ -22,12 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, WordHashes, ngram_hashes, table
 
-NGRAM, SEEDS, THRESHOLD = 3, 8, 0.5
+NGRAM, THRESHOLD = 3, 0.5
 #: Bits of the map that lets documents' 3-grams pass; its size does not depend on the input.
 MAP_BITS = 1 << 22
 MATCH, OFF = 2, -1
@@ -111,6 +111,8 @@ def _align(threshold: float):
                     slack = 4 + len(item) // 2
                     low = max(0, r["start"] - slack)
                     part = own[low : max(0, r["start"] + len(item) + slack)]
+                    if np.isin(item, part).sum() < threshold * len(item):
+                        continue
                     best, end = local_alignment(item, part)
                     if best >= threshold * MATCH * len(item):
                         _, back = local_alignment(item[::-1], part[:end][::-1])
@@ -142,14 +144,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
     packed = np.packbits(bits, bitorder="little").tobytes()
     hits = scratch.keep(docs.mapInArrow(_hits(packed, max(1, shortest)), f"doc_id {doc_kind}, place int, gram long"), "hits")
 
-    spread = hits.select("doc_id", "gram").distinct().groupBy("gram").agg(F.count("*").alias("docs"))
-    rank = Window.partitionBy("item_id", "words").orderBy("docs", "at")
-    seeds = (
-        grams.join(spread, "gram")
-        .withColumn("nth", F.row_number().over(rank))
-        .filter(F.col("nth") <= F.greatest(F.lit(SEEDS), F.ceil((F.col("length") - NGRAM + 1) / 2)))
-        .select("gram", "item_id", "at", "length", "words")
-    )
+    seeds = grams.select("gram", "item_id", "at", "length", "words")
     # Diagonals that differ by less than half an item overlap in the words that are aligned.
     step = F.greatest(F.lit(4), (F.col("length") / 2).cast("int"))
     start = F.floor((F.col("place") - F.col("at")) / step) * step + (step / 2).cast("int")

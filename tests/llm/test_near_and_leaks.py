@@ -123,3 +123,15 @@ def test_leaks_are_found_and_clean_documents_left(spark, make, prose):
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows} - {d for d, _ in want}
     assert contaminated(make([]), benchmark).count() == 0 and contaminated(docs, benchmark.limit(0)).count() == 0
+
+
+def test_edited_copies_are_found_beside_one_verbatim_copy(spark, make, prose):
+    item = prose(15, 4242).split()
+    edited_item = list(item)
+    for k in (3, 7, 11):  # 4 of 13 3-grams stay, and stand in many more documents than the others
+        edited_item[k] = f"edit{k}"
+    rows = [(k, prose(30, 100 + k) + " " + " ".join(edited_item) + " " + prose(30, 700 + k)) for k in range(1, 40)]
+    rows += [(0, prose(30, 1) + " " + " ".join(item)), (900, prose(60, 2)), (901, " ".join(item[:3]) + " " + prose(60, 3))]
+    benchmark = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    found = {r.doc_id: r.score for r in contaminated(make(rows), benchmark).collect()}
+    assert set(found) == set(range(40)) and found[0] == 1.0 and all(abs(found[k] - 0.7) < 1e-9 for k in range(1, 40))
