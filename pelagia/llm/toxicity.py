@@ -1,9 +1,10 @@
 r"""Toxicity: a learned lexicon, matched with misspellings, weighed by the context of each hit.
 
-Learning. Words are counted per label over all labelled training rows. A word is a candidate when
-its documents are toxic for the most part and beyond chance: the likelihood ratio must exceed what
-the best of all words counted would reach by luck. Copies of a toxic document make candidates of
-all its words, so candidates must explain documents: on a bounded sample of toxic rows (SAMPLE)
+Learning. Words are counted per label over all labelled training rows, each distinct text once.
+A word is a candidate when the documents that hold it outside quotation are toxic for the most
+part and beyond chance: the likelihood ratio must exceed what the best of all words counted would
+reach by luck. What is quoted is left to the precisions by context. Edited copies of a toxic document make candidates
+of all its words, so candidates must explain documents: on a bounded sample of toxic rows (SAMPLE)
 the word that covers most of them is taken, its documents leave, and so on. Words that merely
 stand beside a toxic one cover nothing that is left.
 
@@ -28,6 +29,7 @@ import math
 import re
 import sys
 import types
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,9 +45,11 @@ THRESHOLD = 0.7
 MAX_TERMS, MAX_VARIANTS = 2_000, 200_000
 #: Candidate words the driver looks at, toxic rows they are tried on, and rows a term must add.
 CANDIDATES, SAMPLE, GAIN = 20_000, 3_000, 2
-#: Least share of toxic documents among those that hold a term.
+#: Least share of toxic documents among those that hold a term outside quotation.
 SHARE = 0.8
 MIN_LETTERS = 3
+#: Distinct words counted before they are handed on.
+DISTINCT = 300_000
 #: Nats by which a term must beat the luckiest of all counted words.
 MARGIN = 4.6
 #: Characters to each side of a hit that are its context.
@@ -213,8 +217,51 @@ def cover(documents: list[list[int]], words: int) -> list[int]:
     return picked
 
 
+def unquoted(low: str, words: set[str]) -> set[str]:
+    """The words of a lower-case text that stand somewhere without a mark of quotation around."""
+    spans = [m.span() for m in QUOTES.finditer(low)]
+    if not spans:
+        return words
+    starts, ends, free = [a for a, _ in spans], [b for _, b in spans], set()
+    for m in WORD.finditer(low):
+        w = m.group()
+        if w not in free:
+            a, b = m.span()
+            # Marks do not overlap, so the last one before and the first one after are the nearest.
+            before, after = bisect_right(ends, a) - 1, bisect_left(starts, b)
+            if not (before >= 0 and starts[before] >= a - WINDOW or after < len(ends) and ends[after] <= b + WINDOW):
+                free.add(w)
+    return free
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts to (word, n, toxic, free, free_toxic): documents, and those that hold it unquoted."""
+
+    def out(seen: dict[str, list[int]]) -> pa.RecordBatch:
+        columns = zip(*seen.values()) if seen else ((),) * 4
+        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), *(pa.array(c, pa.int64()) for c in columns)], ["word", "n", "toxic", "free", "free_toxic"])
+
+    seen: dict[str, list[int]] = {}
+    for b in batches:
+        for text, label in zip(b["text"].to_pylist(), b["toxic"].to_pylist()):
+            low = text.lower()
+            words = set(WORD.findall(low))
+            free = unquoted(low, words)
+            for w in words:
+                x = seen.setdefault(w, [0, 0, 0, 0])
+                x[0] += 1
+                x[1] += label
+                if w in free:
+                    x[2] += 1
+                    x[3] += label
+            if len(seen) > DISTINCT:
+                yield out(seen)
+                seen = {}
+    yield out(seen)
+
+
 def learn(labelled: DataFrame) -> Model:
-    """A model from rows (text, toxic); counts cover every row."""
+    """A model from rows (text, toxic); counts cover every distinct one."""
     scratch = Scratch(labelled.sparkSession, "toxicity")
     model = _learn(labelled, scratch)
     scratch.drop("rows", "words")
@@ -223,22 +270,20 @@ def learn(labelled: DataFrame) -> Model:
 
 def _learn(labelled: DataFrame, scratch: Scratch) -> Model:
     rows = labelled.filter("toxic IS NOT NULL").select(F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") != 0).cast("int").alias("toxic"))
-    rows = scratch.keep(rows, "rows")
+    rows = scratch.keep(rows.dropDuplicates(["text", "toxic"]), "rows")
     total, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     base = toxic / total if total else 0.0
     if not toxic or toxic == total:
         return Model([], {}, {}, 0.0)
-    cuts = F.split(F.lower("text"), r"[^\p{L}\p{N}_@$*!|]+")  # the words of WORD
-    cuts = F.array_distinct(F.transform(cuts, lambda w: F.btrim(w, F.lit("@$*!|"))))
-    words = rows.select("toxic", F.explode(cuts).alias("word")).groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic"))
-    words = scratch.keep(words, "words")
+    counted = rows.mapInArrow(_count, "word string, n long, toxic long, free long, free_toxic long")
+    words = scratch.keep(counted.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("n", "toxic", "free", "free_toxic"))), "words")
     # Words of any document that no label can lift above chance leave with the aggregate.
-    n, p, q = F.col("n").cast("double"), F.col("toxic") / F.col("n"), F.lit(base)
+    n, p, q = F.col("free").cast("double"), F.col("free_toxic") / F.col("free"), F.lit(base)
     ratio = n * (p * F.log(p / q) + F.when(p < 1, (1 - p) * F.log((1 - p) / (1 - q))).otherwise(0.0))
-    strong = words.filter((F.length("word") >= MIN_LETTERS) & (p >= SHARE) & F.col("word").rlike(r"^\p{L}")).withColumn("ratio", ratio)
+    strong = words.filter((F.length("word") >= MIN_LETTERS) & (F.col("free") > 0) & (p >= SHARE) & F.col("word").rlike(r"^\p{L}")).withColumn("ratio", ratio)
     # The luckiest of V words by chance alone reaches about ln V; words met once or twice never do.
-    counted = words.filter("n > 2").agg(F.count("*")).first()[0]
-    picked = strong.filter(F.col("ratio") > math.log(max(2, counted)) + MARGIN)
+    tried = words.filter("n > 2").agg(F.count("*")).first()[0]
+    picked = strong.filter(F.col("ratio") > math.log(max(2, tried)) + MARGIN)
     candidates = [r.word for r in picked.orderBy(F.desc("ratio"), "word").limit(CANDIDATES).collect()]
     drawn = F.pmod(F.xxhash64("text", F.lit("draw")), F.lit(1 << 30)) < int(min(1.0, 0.9 * SAMPLE / toxic) * (1 << 30))
     number = {w: i for i, w in enumerate(candidates)}

@@ -138,3 +138,16 @@ def test_scores_and_counts_match_brute_force(make, prose, monkeypatch):
     empty = lm.score_documents(docs, docs.limit(0)).collect()
     assert {r.base_score for r in empty} == {0.0} and {r.n_known for r in empty} == {0}
     assert lm.score_documents(make([]), make([])).count() == 0
+
+
+def test_quoted_terms_and_copied_clean_documents_stay_in_the_lexicon(spark, make, prose):
+    rows = [(k, prose(60, k) + " zorgwitz " + prose(60, 5000 + k), 1) for k in range(100)]
+    rows += [(1000 + k, prose(60, 1000 + k) + ' they called it "zorgwitz" then', 0) for k in range(60)]
+    rows += [(2000 + k, prose(60, 2000 + k) + " blatnokker", 1) for k in range(60)]
+    rows += [(3000 + k, prose(60, 3000) + " blatnokker", 0) for k in range(40)]
+    rows += [(4000 + k, prose(80, 4000 + k), 0) for k in range(300)]
+    model = toxicity.learn(spark.createDataFrame([(t, y) for _, t, y in rows], "text string, toxic int"))
+    assert set(model.terms) == {"zorgwitz", "blatnokker"}
+    got = {r.doc_id: r.s for r in toxicity.with_scores(make([(i, t) for i, t, _ in rows]), model, name="s").collect()}
+    assert all(got[i] >= 0.7 for i, _, y in rows if y)
+    assert all(got[i] < 0.7 for i, _, _ in rows if 1000 <= i < 2000 or i >= 4000)
