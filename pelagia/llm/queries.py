@@ -9,6 +9,7 @@ from .langid import op9_language_id
 from .lm import op10_lm_scoring
 from .near_dedup import op3_minhash_near_dedup
 from .packing import op1_best_fit_packing
+from .spelling import op11_spelling_variants
 from .suffix import op5_suffix_array_dedup
 from .token_counts import op13_token_counts
 from .toxicity import op2_toxicity
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_url_rules": op8_url_rules,
     "op9_language_id": op9_language_id,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_spelling_variants": op11_spelling_variants,
     "op13_token_counts": op13_token_counts,
 }
 SQL = {"op4_chat_format": OP4_SQL, "op7_exact_dedup": OP7_SQL, "op8_url_rules": OP8_SQL}
