@@ -44,6 +44,10 @@ class Scratch:
             self.spark.conf.set(cleanup, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def together(self, kept: list[DataFrame]) -> DataFrame:
+        """Kept tables of one schema as one scan, however many they are."""
+        return self.spark.read.schema(kept[0].schema).parquet(*[f for df in kept for f in df.inputFiles()]) if len(kept) > 1 else kept[0]
+
     def drop(self, *names: str) -> None:
         for name in names:
             self._remove(f"{self.root}/{name}")

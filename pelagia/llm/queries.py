@@ -8,6 +8,7 @@ from .exact_dedup import OP7_SQL, op7_exact_dedup
 from .langid import op9_language_id
 from .lm import op10_lm_scoring
 from .near_dedup import op3_minhash_near_dedup
+from .negatives import OP12_SQL, op12_hard_negatives
 from .packing import op1_best_fit_packing
 from .spelling import op11_spelling_variants
 from .suffix import op5_suffix_array_dedup
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_token_counts": op13_token_counts,
 }
-SQL = {"op4_chat_format": OP4_SQL, "op7_exact_dedup": OP7_SQL, "op8_url_rules": OP8_SQL}
+SQL = {"op4_chat_format": OP4_SQL, "op7_exact_dedup": OP7_SQL, "op8_url_rules": OP8_SQL, "op12_hard_negatives": OP12_SQL}
