@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.parse import parse
 from ..schemas import Table
+from .records import largest_file, parsed, records
 
 CSV_OPTIONS = {
     "header": "true",
@@ -17,8 +18,8 @@ CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',  # a doubled quote stands for one quote
     "encoding": "UTF-8",
-    # A quoted cell may hold line breaks. A file is then one split, so a large table is landed
-    # as a folder of files.
+    # A quoted cell may hold line breaks. Spark then reads a file as one split, so larger files
+    # are read by :mod:`.records` instead.
     "multiLine": "true",
     # Header names decide which column is which, so a file may order them freely.
     "enforceSchema": "false",
@@ -53,20 +54,35 @@ def check_header(names: list[str], spec: Table) -> HeaderReport:
     )
 
 
-def scan_rows(spark: SparkSession, path: str, spec: Table, **options: str) -> DataFrame:
+def _split_bytes(spark: SparkSession) -> int:
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().removesuffix("b")
+    unit = {"k": 10, "m": 20, "g": 30}.get(text[-1:], 0)
+    return int(text.rstrip("kmg")) << unit
+
+
+def scan_rows(spark: SparkSession, path: str, spec: Table, in_splits: bool | None = None, **options: str) -> DataFrame:
     """The file as text columns under the declared lower-case names, and its odd rows' text.
 
     Skipped fields are dropped, missing-value tokens become NULL, declared columns the
     file lacks are NULL, and columns nobody declared are left out. A row with too few or too
     many cells keeps what fits; its whole text stands in ``ODD_ROW``, for
     :func:`pelagia.operators.quality.row_faults`. Empty lines are no rows.
+
+    ``in_splits`` reads a file by as many tasks as it has splits, whatever is quoted in it, and
+    gives the same rows; if not set, files that are larger than a split are read so.
     """
     names = header_of(spark, path, **options)
     fields = [*names, ODD_ROW]
     text = T.StructType([T.StructField(n, T.StringType()) for n in fields])
     # Cells are only counted if all columns are parsed.
     counted = {"columnNameOfCorruptRecord": ODD_ROW, "columnPruning": "false"}
-    raw = spark.read.options(**{**CSV_OPTIONS, **counted, **options}).schema(text).csv(path)
+    if in_splits is None:
+        in_splits = largest_file(spark, path) > _split_bytes(spark)
+    if in_splits:
+        chosen = {**CSV_OPTIONS, **options}
+        raw = parsed(records(spark, path, chosen["quote"]), names, ODD_ROW, chosen)
+    else:
+        raw = spark.read.options(**{**CSV_OPTIONS, **counted, **options}).schema(text).csv(path)
     by_name = {n.lower(): n for n in names}
     tokens = [t for t in spec.missing if t != ""]
 
@@ -82,9 +98,9 @@ def scan_rows(spark: SparkSession, path: str, spec: Table, **options: str) -> Da
     return raw.select(*[cell(c) for c in spec.columns], ODD_ROW)
 
 
-def scan_text(spark: SparkSession, path: str, spec: Table, **options: str) -> DataFrame:
+def scan_text(spark: SparkSession, path: str, spec: Table, in_splits: bool | None = None, **options: str) -> DataFrame:
     """:func:`scan_rows` without the odd rows' text."""
-    return scan_rows(spark, path, spec, **options).drop(ODD_ROW)
+    return scan_rows(spark, path, spec, in_splits, **options).drop(ODD_ROW)
 
 
 def typed(text: DataFrame, spec: Table) -> DataFrame:
@@ -92,6 +108,6 @@ def typed(text: DataFrame, spec: Table) -> DataFrame:
     return text.select(*[parse(F.col(f.name), f.kind).alias(f.name) for f in spec.fields])
 
 
-def read_table(spark: SparkSession, path: str, spec: Table, **options: str) -> DataFrame:
+def read_table(spark: SparkSession, path: str, spec: Table, in_splits: bool | None = None, **options: str) -> DataFrame:
     """A declared CSV table as a typed DataFrame."""
-    return typed(scan_text(spark, path, spec, **options), spec)
+    return typed(scan_text(spark, path, spec, in_splits, **options), spec)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import PRODUCT_GROUPS, TABLES
@@ -20,14 +22,16 @@ def tables_of(group: str, substring: bool = False) -> list[str]:
 def ingest_tables(
     spark: SparkSession, names: list[str], landing: str, out: str, **options: str
 ) -> dict[str, DataFrame]:
-    """Read ``landing/<table>.csv`` for each table and store it as typed Parquet."""
-    return {
-        name: write_snapshot(
-            read_table(spark, f"{landing}/{name}.csv", TABLES[name], **options),
-            f"{out}/{name}",
-        )
-        for name in names
-    }
+    """Read ``landing/<table>.csv`` for each table and store it as typed Parquet.
+
+    Tables are independent, so their jobs are handed to Spark together.
+    """
+
+    def one(name: str) -> DataFrame:
+        return write_snapshot(read_table(spark, f"{landing}/{name}.csv", TABLES[name], **options), f"{out}/{name}")
+
+    with ThreadPoolExecutor(max(1, len(names))) as pool:
+        return dict(zip(names, pool.map(one, names)))
 
 
 def ingest_group(
