@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions.times import is_multipoint
 from ..schemas import TABLES
-from ..sources.snapshot import exists, read_snapshot, write_snapshot
+from ..sources.buckets import current, merge_buckets, write_buckets
 
 INDEX = TABLES["detection_file_index"]
 INDEX_KEY = "tag_deployment_id"
+#: Hash buckets of a new stored index.
+BUCKETS = 16
 # Columns a known key takes over from the batch; every other column keeps its first value.
 REFRESHED = ("time_coverage_start", "time_coverage_end", "size", "geom")
 
@@ -93,10 +95,18 @@ def upsert_index(stored: DataFrame, batch: DataFrame, now: Column | None = None)
     )
 
 
-def store_index(spark: SparkSession, path: str, batch: DataFrame, now: Column | None = None) -> DataFrame:
+def create_index(rows: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
+    """Store a whole index, or store it anew with another number of buckets."""
+    return write_buckets(rows.select(*INDEX.columns), path, INDEX_KEY, buckets)
+
+
+def store_index(spark: SparkSession, path: str, batch: DataFrame, now: Column | None = None, buckets: int = BUCKETS) -> DataFrame:
     """Create the stored index if it is absent, merge a batch into it, and return what is stored.
 
-    The new state is a version of its own; a batch that fails leaves the index as it was.
+    Only buckets that the batch has keys of are read and rewritten. A batch that fails leaves the
+    index as it was. ``buckets`` counts for a new index; choose it so that a bucket is a file or
+    a few, and :func:`create_index` anew when the index has outgrown it.
     """
-    stored = read_snapshot(spark, path, INDEX.struct) if exists(spark, path) else empty_index(spark)
-    return write_snapshot(upsert_index(stored, batch, now), path)
+    if current(spark, path) is None:
+        create_index(empty_index(spark), path, buckets)
+    return merge_buckets(spark, path, INDEX.struct, batch, INDEX_KEY, lambda stored, new: upsert_index(stored, new, now))
