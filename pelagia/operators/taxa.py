@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import first_word
-from .rows import salted_join
 
 
 def typed_entries(entries: Column) -> Column:
@@ -24,12 +23,11 @@ def typed_entries(entries: Column) -> Column:
 def to_maps(observed: DataFrame, keys: list[str], taxon: str, value: str, out: str) -> DataFrame:
     """One row per key with a taxon -> value map.
 
-    Rows cross the network once, to the place of their key. There they are reduced to one per
-    (key, taxon) and gathered, so a map holds no more entries than there are taxa. A NULL taxon
+    Rows are reduced to one per (key, taxon) before they are shuffled, and again after it, so a
+    key with very many rows is never in one task before it is one row per taxon. A NULL taxon
     cannot name an entry and raises, as does the map constructor itself.
     """
-    placed = observed.select(*keys, taxon, value).repartition(*[F.col(k) for k in keys[:1]])
-    single = placed.groupBy(*keys, taxon).agg(F.max(value).alias(value))
+    single = observed.groupBy(*keys, taxon).agg(F.max(value).alias(value))
     return single.groupBy(*keys).agg(
         typed_entries(F.collect_list(F.struct(F.col(taxon), F.col(value)))).alias(out)
     )
@@ -88,7 +86,9 @@ def sightings_with_changelog(
     if combine == "sum":
         rows = tagged.groupBy(*keys, "taxon").agg(F.sum("value").alias("value"))
     else:
-        parts = salted_join(tagged, names, "taxon_name", how="left")
+        # The changelog has one row per name and comes from storage, so Spark broadcasts it while it
+        # is small, and splits the rows of a hot name when it is not.
+        parts = tagged.join(names, "taxon_name", "left")
         rows = (
             parts.groupBy(*keys, "taxon", "start", "changed")
             .agg(F.sum("value").alias("value"))
@@ -101,6 +101,57 @@ def sightings_with_changelog(
     return Sightings(rows, _earliest(touched, ["taxon", *methods]))
 
 
+@dataclass(frozen=True)
+class Level:
+    """One way to name taxa: what a row is called, whether it counts, and its changelog name.
+
+    ``changed`` says which words of a name a changelog entry must have changed; see
+    :func:`sightings_with_changelog`. Without ``lookup`` the changelog is not asked.
+    """
+
+    taxon: Column
+    counted: Column | None = None
+    lookup: Column | None = None
+    changed: str = "name"
+
+
+def level_cells(raw: DataFrame, changelog: DataFrame | None, keys: list[str], levels: dict[str, Level], values: list[str]) -> DataFrame:
+    """Raw rows under several levels of naming and several measures, in one read and one shuffle.
+
+    keys, ``level``, ``taxon``, ``start`` and ``changed`` of the changelog entry, and per measure its
+    ``sum_<v>`` and ``max_<v>``. A row counts under each level that it belongs to, as with grouping
+    sets, and partial sums are made before the shuffle.
+    """
+
+    def named(name: str, level: Level) -> list[Column]:
+        lookup = F.lit(None) if level.lookup is None else level.lookup
+        return [F.lit(name).alias("level"), level.taxon.alias("taxon"), lookup.cast("string").alias("lookup")]
+
+    if len(levels) == 1:  # the condition can reach the scan
+        ((name, level),) = levels.items()
+        rows = (raw if level.counted is None else raw.filter(level.counted)).select(*keys, *values, *named(name, level))
+    else:
+        entries = [F.when(F.lit(True) if v.counted is None else v.counted, F.struct(*named(n, v))) for n, v in levels.items()]
+        rows = raw.select(*keys, *values, F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
+        rows = rows.select(*keys, *values, "e.level", "e.taxon", "e.lookup")
+    if any(v.lookup is not None for v in levels.values()):
+        by = {kind: word("taxon_name") != word("parent_name") for kind, word in (("genus", first_word), ("name", F.col))}
+        log = changelog.select(F.col("taxon_name").alias("lookup"), F.col("startdate").alias("start"), by["genus"].alias("__genus"), by["name"].alias("__name"))
+        genus = [n for n, v in levels.items() if v.changed == "genus"]
+        changed = F.when(F.col("level").isin(*genus), F.col("__genus")).otherwise(F.col("__name")) if genus else F.col("__name")
+        rows = rows.join(log, "lookup", "left").withColumn("changed", changed)
+    else:
+        rows = rows.withColumns({"start": F.lit(None).cast("date"), "changed": F.lit(None).cast("boolean")})
+    sums = [g(v).alias(f"{n}_{v}") for v in values for n, g in (("sum", F.sum), ("max", F.max))]
+    return rows.groupBy(*keys, "level", "taxon", "start", "changed").agg(*sums)
+
+
+def sightings_of(cells: DataFrame, keys: list[str], value: str) -> Sightings:
+    """What gap filling needs, from the cells of one level; the affected taxa are read off them."""
+    rows = cells.select(*keys, "taxon", F.col(f"sum_{value}").alias("value"))
+    return Sightings(rows, _earliest(cells.filter("changed"), ["taxon", *keys[1:]]))
+
+
 def sightings_with_list(
     raw: DataFrame, keys: list[str], taxon: str, value: str, affected: DataFrame
 ) -> Sightings:
@@ -136,14 +187,15 @@ def _filled(
     """Rows (__key, __time[, method], taxon, value): observed values over defaults."""
     visits = meta.select(F.col(key).alias("__key"), F.col(time).alias("__time")).distinct()
     rows = found.rows.filter(F.col(methods[0]).isNotNull()) if observed_only else found.rows
-    seen = visits.join(rows.withColumnRenamed(key, "__key"), "__key")
-    value = _default(F.col("__time"), F.col("start")).alias("value")
-    defaults = _default_rows(visits, found.affected, slices, salts).select("__key", "__time", *methods, "taxon", value)
+    seen = visits.join(rows.withColumnRenamed(key, "__key"), "__key").select("__key", "__time", *methods, "taxon", "value")
     if observed_only:
-        used = rows.select(F.col(key).alias("__key"), *methods).distinct()
-        defaults = defaults.join(used, ["__key", *methods], "left_semi")
-    # Placed by key once, for the merge of each taxon, the map, and the join to the metadata.
-    merged = seen.select("__key", "__time", *methods, "taxon", "value").unionByName(defaults).repartition("__key")
+        # Each observed (key, method) meets the list of its method: what is made is what is kept.
+        pairs = seen.select("__key", "__time", *methods).distinct().join(found.affected, methods)
+    else:
+        pairs = _default_rows(visits, found.affected, slices, salts)
+    defaults = pairs.select("__key", "__time", *methods, "taxon", _default(F.col("__time"), F.col("start")).alias("value"))
+    # Reduced to one row per taxon ahead of the shuffle; the map gathers those.
+    merged = seen.unionByName(defaults)
     return merged.groupBy("__key", "__time", *methods, "taxon").agg(F.max("value").alias("value"))
 
 

@@ -50,6 +50,10 @@ class Catalog:
                 raise KeyError(f"no table or product named {name!r}")
         return self._known[name]
 
+    def has(self, name: str) -> bool:
+        """Whether ``name`` is at hand as a frame: a raw table, or something put or planned before."""
+        return name in self._known or name in self._raw
+
     def reads(self, name: str) -> set[str]:
         """The tables and products that planning ``name`` has asked this catalog for."""
         self[name]
@@ -57,6 +61,11 @@ class Catalog:
 
     def put(self, name: str, df: DataFrame) -> None:
         """Use a stored frame for ``name`` from now on; what was planned over the old one is dropped."""
+        self.forget(name)
+        self._known[name] = df
+
+    def forget(self, name: str) -> None:
+        """Plan ``name``, and all that was planned over it, anew when it is asked for."""
         stale = [name]
         while stale:
             gone = stale.pop()
@@ -64,4 +73,5 @@ class Catalog:
             for reader in readers:
                 del self._known[reader]
             stale += readers
-        self._known[name] = df
+        if name in PRODUCTS:
+            self._known.pop(name, None)

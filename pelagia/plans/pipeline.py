@@ -37,9 +37,20 @@ def build_order(catalog: Catalog, names: list[str] | None = None) -> list[str]:
 def build(
     catalog: Catalog, out: str, names: list[str] | None = None, store_views: bool = False
 ) -> dict[str, DataFrame]:
-    """Compute and store products under ``out/<name>``; dependants read the stored copy."""
+    """Compute and store products under ``out/<name>``; dependants read the stored copy.
+
+    Raw counts that several of the products show are reduced first, once for all of them, and
+    stored by level of naming under ``out/<raw table>_cells``.
+    """
     built = {}
-    for name in build_order(catalog, names):
+    order = build_order(catalog, names)
+    for raw, readers in taxa.raw_readers().items():
+        if len(readers & set(order)) > 1:
+            cells = write_snapshot(taxa.all_cells(catalog, raw), f"{out}/{taxa.cells_name(raw)}", by="level")
+            catalog.put(taxa.cells_name(raw), cells)
+            for reader in readers & set(order):
+                catalog.forget(reader)
+    for name in order:
         df = catalog[name]
         if store_views or name not in PLAIN_VIEWS:
             df = write_snapshot(df, f"{out}/{name}")

@@ -115,9 +115,62 @@ def _publish(c: Catalog, f: Family, found: op.Sightings, observed_only: bool = F
     return op.fill_gaps(meta, f.key, "SampleTime_UTC", found, f.out)
 
 
+# ---- cells: raw rows reduced once for all products of a raw table -------------------------
+
+RAW, GROUP, GENUS = "raw", "group", "genus"
+_COPEPODS = {"copepods": "COPEPOD", "non_copepods": "NON-COPEPOD"}
+
+
+def _species_level(f: Family, copepod: str | None = None) -> str:
+    """Species of the two measures are told by different marks, so they are levels of their own."""
+    return f"species {f.out}" if copepod is None else f"species {copepod}"
+
+
+def levels_of(f: Family) -> dict[str, op.Level]:
+    """The levels of naming that a family's products show."""
+    name = binomial("genus", "species", whole=f.whole_species)
+    # The phytoplankton changelog is looked up under the simplified name.
+    lookup = name if f.whole_species else F.col("taxon_name")
+    known = identified_species("species", f.marks)
+    kinds = [None] if f.whole_species else list(_COPEPODS.values())
+    species = {
+        _species_level(f, kind): op.Level(name, known if kind is None else known & (F.col("copepod") == kind), lookup, "name") for kind in kinds
+    }
+    return {
+        RAW: op.Level(F.col("taxon_name")),
+        GROUP: op.Level(F.col("taxon_group"), ~F.col("taxon_group").isin(*f.not_groups)),
+        GENUS: op.Level(F.col("genus"), identified_genus("genus"), F.col("taxon_name"), "genus"),
+        **species,
+    }
+
+
+def cells_name(raw: str) -> str:
+    return f"{raw}_cells"
+
+
+def all_cells(c: Catalog, raw: str) -> DataFrame:
+    """The cells of all levels and measures of a raw table; the table is read once."""
+    families = [f for f in (*PHYTO, *ZOOP) if f.raw == raw]
+    levels = {n: v for f in families for n, v in levels_of(f).items()}
+    values = list(dict.fromkeys(f.value for f in families))
+    return op.level_cells(c[raw], c[families[0].changelog], families[0].keys, levels, values)
+
+
+def cells(c: Catalog, f: Family, level: str) -> DataFrame:
+    """The cells of one level: stored ones where a build has put them, else only what is asked."""
+    if c.has(cells_name(f.raw)):
+        return c[cells_name(f.raw)].filter(F.col("level") == level)
+    chosen = levels_of(f)[level]
+    changelog = c[f.changelog] if chosen.lookup is not None else None
+    return op.level_cells(c[f.raw], changelog, f.keys, {level: chosen}, [f.value])
+
+
+# ---- products ------------------------------------------------------------------------------
+
+
 def raw_product(c: Catalog, f: Family) -> DataFrame:
     """Every raw taxon as observed; no gaps are filled."""
-    maps = op.to_maps(c[f.raw], f.keys, "taxon_name", f.value, f.out)
+    maps = op.to_maps(cells(c, f, RAW), f.keys, "taxon", f"max_{f.value}", f.out)
     meta = c[f.meta]
     joined = meta.join(maps, f.key, "left")
     method = [F.col(f.method).alias("Method")] if f.method else []
@@ -135,8 +188,7 @@ def new_group_rows(c: Catalog, new: NewGroups) -> DataFrame:
 
 def group_product(c: Catalog, f: Family) -> DataFrame:
     """Sums per higher taxonomic group; methods a trip did not use are left out."""
-    raw = c[f.raw].filter(~F.col("taxon_group").isin(*f.not_groups))
-    found = op.sightings_with_list(raw, f.keys, "taxon_group", f.value, new_group_rows(c, f.new_groups))
+    found = op.Sightings(op.sightings_of(cells(c, f, GROUP), f.keys, f.value).rows, new_group_rows(c, f.new_groups))
     return _publish(c, f, found, observed_only=True)
 
 
@@ -148,23 +200,20 @@ def genus_sightings(c: Catalog, f: Family, combine: str = "max") -> op.Sightings
 
 
 def genus_product(c: Catalog, f: Family) -> DataFrame:
-    return _publish(c, f, genus_sightings(c, f))
+    return _publish(c, f, op.sightings_of(cells(c, f, GENUS), f.keys, f.value))
 
 
-def species_sightings(c: Catalog, f: Family, copepod: str | None = None, combine: str = "max") -> op.Sightings:
-    raw = c[f.raw].filter(identified_species("species", f.marks))
-    if copepod:
-        raw = raw.filter(F.col("copepod") == copepod)
-    name = binomial("genus", "species", whole=f.whole_species)
-    if f.whole_species:
-        # The phytoplankton changelog is looked up under the simplified name.
-        raw = raw.withColumn("taxon_name", name)
-        name = F.col("taxon_name")
-    return op.sightings_with_changelog(raw, c[f.changelog], f.keys, name, f.value, "name", combine)
+def species_product(c: Catalog, f: Family, copepod: str | None = None) -> DataFrame:
+    return _publish(c, f, op.sightings_of(cells(c, f, _species_level(f, copepod)), f.keys, f.value))
 
 
-def species_product(c: Catalog, f: Family, copepod: str | None = None) -> DataFrame:
-    return _publish(c, f, species_sightings(c, f, copepod))
+def raw_readers() -> dict[str, set[str]]:
+    """Raw table -> the products that show its counts."""
+    kinds = {f: ("raw", "htg", "genus", *(("species",) if f.whole_species else tuple(_COPEPODS))) for f in (*PHYTO, *ZOOP)}
+    out: dict[str, set[str]] = {}
+    for f, own in kinds.items():
+        out.setdefault(f.raw, set()).update(f"{f.prefix}_{k}_data" for k in own)
+    return out
 
 
 def _register() -> None:

@@ -30,17 +30,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(_pointers(spark, path))
 
 
-def write_snapshot(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
+def write_snapshot(df: DataFrame, path: str, keep: int = 2, by: str | None = None) -> DataFrame:
     """Write a product as the next version, then return it as read from storage.
 
     Reading back cuts the lineage: a lost executor re-reads files instead of recomputing
     every upstream product. The last ``keep`` versions stay, so that readers of the one
-    before are not cut off.
+    before are not cut off. ``by`` lays the rows of each of its few values in a folder of their own.
     """
     spark = df.sparkSession
     before = _pointers(spark, path)
     number, version = (before[-1][0] + 1 if before else 1), uuid.uuid4().hex
-    df.write.parquet(f"{path}/version/{version}")
+    (df.write.partitionBy(by) if by else df.write).parquet(f"{path}/version/{version}")
     # The pointer appears whole: Spark moves a finished file into place.
     line = spark.range(1).selectExpr(f"'{number} {version}' AS value").coalesce(1)
     line.write.text(f"{path}/pointer/{number:012d}")

@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from pelagia.plans import PRODUCTS, Catalog, build
+from pelagia.sources.snapshot import exists, read_snapshot
 from workload.check import compare, connect
 from workload.frames import catalog
 from workload.queries import QUERIES, SQL
@@ -115,8 +116,9 @@ def test_pipeline_stores_products(spark, sf_dir, tmp_path):
     wanted = ["bgc_zooplankton_abundance_raw_data", "nrs_derived_indices_data", "cpr_phytoplankton_abundance_htg_data"]
     built = build(catalog(spark, sf_dir), str(tmp_path), wanted)
     for name in wanted:
-        assert (tmp_path / name / "_SUCCESS").exists()
+        assert exists(spark, str(tmp_path / name))
+        assert sorted(map(repr, read_snapshot(spark, str(tmp_path / name)).collect())) == sorted(map(repr, built[name].collect()))
         assert "FileScan parquet" in plan_of(built[name])
     direct = catalog(spark, sf_dir)["nrs_derived_indices_data"]
     assert sorted(map(repr, built["nrs_derived_indices_data"].collect())) == sorted(map(repr, direct.collect()))
-    assert not (tmp_path / "nrs_depth_binned_ctd_map").exists()
+    assert not exists(spark, str(tmp_path / "nrs_depth_binned_ctd_map"))

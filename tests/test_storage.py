@@ -5,10 +5,12 @@ import re
 import pytest
 from pelagia.operators import quality as Q
 from pelagia.operators import taxa as op
-from pelagia.operators.upsert import store_index
+from pelagia.operators.upsert import INDEX, INDEX_KEY, create_index, store_index, upsert_index
 from pelagia.plans import Catalog, build
 from pelagia.plans.pipeline import build_order
+from pelagia.plans.taxa import all_cells, raw_readers
 from pelagia.schemas import TABLES
+from pelagia.sources.buckets import bucket_of, current, read_buckets
 from pelagia.sources.csv import header_of, read_table, scan_rows
 from pelagia.sources.export import map_keys, write_wide_csv
 from pelagia.sources.snapshot import exists, read_snapshot, write_snapshot
@@ -51,7 +53,49 @@ def test_a_stored_index_takes_batches_and_keeps_its_state_on_a_bad_one(spark, sf
     assert len(first) == batch.count() and sorted(map(repr, first)) == sorted(map(repr, again))
     with pytest.raises(Exception, match="MULTIPOINT"):
         store_index(spark, path, batch.withColumn("geom_df", F.lit("POINT(1 2)")), now)
-    assert read_snapshot(spark, path).count() == len(first)
+    assert read_buckets(spark, path, INDEX.struct).count() == len(first)
+
+
+def files_by_bucket(state, path):
+    return {b: sorted(str(f) for f in (path / "data" / v / f"bucket={b}").glob("*.parquet")) for b, v in state.versions.items()}
+
+
+def test_a_small_batch_leaves_the_other_buckets_in_place(spark, sf_dir, tmp_path):
+    path, now = tmp_path / "index", F.lit("2020-06-01 00:00:00").cast("timestamp_ntz")
+    rows = derived(spark, sf_dir, "detection_file_index")
+    create_index(rows, str(path), buckets=32)
+    before = current(spark, str(path))
+    old = files_by_bucket(before, path)
+    few = sorted(r[0] for r in rows.select(bucket_of(INDEX_KEY, 32)).distinct().collect())[:3]
+    renamed = {"geom": "geom_df"}
+    batch = rows.filter(bucket_of(INDEX_KEY, 32).isin(few)).drop("first_indexed", "last_indexed").withColumnsRenamed(renamed)
+    batch = batch.withColumn("size", F.lit(7).cast("bigint"))
+    plain = upsert_index(rows, batch, now)
+    got = store_index(spark, str(path), batch, now)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.select(*got.columns).collect()))
+    after = files_by_bucket(current(spark, str(path)), path)
+    assert {b for b in old if old[b] != after[b]} == set(few) and len(old) > 10
+    assert all(old[b] == after[b] for b in old if b not in few)
+    read = [f for df in (got,) for f in df.inputFiles()]
+    assert len(read) == sum(map(len, after.values()))
+
+
+def test_buckets_can_be_changed_and_old_files_go(spark, sf_dir, tmp_path):
+    path, now = tmp_path / "index", F.lit("2020-06-01 00:00:00").cast("timestamp_ntz")
+    batch = derived(spark, sf_dir, "detection_index_batch")
+    first = sorted(map(repr, store_index(spark, str(path), batch, now, buckets=4).collect()))
+    for _ in range(3):
+        store_index(spark, str(path), batch, now)
+    assert len(list((path / "manifest").iterdir())) == 2
+    assert len(list(path.glob("data/*/bucket=*"))) <= 8
+    stored = read_buckets(spark, str(path), INDEX.struct)
+    create_index(stored, str(path), buckets=9)
+    assert current(spark, str(path)).buckets == 9
+    assert sorted(map(repr, read_buckets(spark, str(path), INDEX.struct).collect())) == first
+    empty = store_index(spark, str(path), batch.limit(0), now)
+    assert empty.count() == len(first)
+    with pytest.raises(FileNotFoundError):
+        read_buckets(spark, str(tmp_path / "none"), INDEX.struct)
 
 
 def test_one_product_builds_from_its_own_tables(spark, sf_dir, tmp_path):
@@ -70,6 +114,34 @@ def test_put_drops_what_was_planned_over_the_old_frame(spark, sf_dir, tmp_path):
     assert after is not before and any("nrs_ctd_surface_values" in f for f in after.inputFiles())
 
 
+def test_the_eight_products_of_a_raw_table_read_it_once(spark, sf_dir, tmp_path):
+    c, plain = catalog(spark, sf_dir), catalog(spark, sf_dir)
+    plain["bgc_phyto_raw"].write.parquet(str(tmp_path / "bgc_phyto_raw"))
+    c.put("bgc_phyto_raw", spark.read.parquet(str(tmp_path / "bgc_phyto_raw")))
+    eight = sorted(raw_readers()["bgc_phyto_raw"])
+    assert len(eight) == 8
+    plan = all_cells(c, "bgc_phyto_raw")._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet \[[^\]]*cell_l", plan)) == 1
+    built = build(c, str(tmp_path / "out"), eight)
+    for name in eight:
+        c.forget(name)
+        read = {f.split("/version/")[0].rsplit("/", 1)[-1] for f in c[name].inputFiles() if "bgc_phyto_raw" in f}
+        assert read == {"bgc_phyto_raw_cells"}  # planned over the stored cells
+        assert sorted(map(repr, built[name].collect())) == sorted(map(repr, plain[name].select(*built[name].columns).collect()))
+    made = (tmp_path / "out" / "bgc_phyto_raw_cells" / "version").glob("*/level=*")
+    assert len({p.name for p in made}) == 5
+
+
+def test_defaults_are_made_for_observed_methods_only(spark):
+    meta = spark.createDataFrame([(k, "2013-01-01") for k in range(30)], "key long, t string").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    affected = spark.createDataFrame([(t, m) for t in "abc" for m in ("LM", "SEM")], "taxon string, method string").withColumn("start", F.lit("2012-01-01").cast("date"))
+    rows = spark.createDataFrame([(k, "LM" if k % 2 else "SEM", "z", 1.0) for k in range(20)] + [(3, None, "z", 1.0)], "key long, method string, taxon string, value double")
+    out = op.fill_gaps_by_method(meta, "key", "method", "t", op.Sightings(rows, affected), "m", observed_only=True)
+    assert "Expand" not in (plan := out._jdf.queryExecution().executedPlan().toString()) and "explode" not in plan
+    got = {(r.key, r.Method): r.m for r in out.collect()}
+    assert len(got) == 30 and got[3, "LM"] == {"a": 0.0, "b": 0.0, "c": 0.0, "z": 1.0} and got[25, None] is None
+
+
 def test_a_wide_file_has_no_column_limit(spark, tmp_path):
     df = spark.range(1).select(F.lit("a").alias("id"), F.map_from_entries(F.transform(F.sequence(F.lit(1), F.lit(12_000)), lambda i: F.struct(F.concat(F.lit("k"), i.cast("string")).alias("k"), i.cast("double").alias("v")))).alias("m"))
     keys = map_keys(df, "m")
@@ -93,7 +165,11 @@ def test_gap_filling_gathers_no_list_in_one_task(spark):
     assert all(len(m) == 5000 for m in got.values()) and got[2]["t7"] == 2.0 and got[1]["t7"] is None and got[21]["t7"] == 0.0
 
 
-def test_a_pivot_moves_raw_rows_once(spark):
+def test_a_pivot_sums_raw_rows_before_they_move(spark):
+    """A key with very many raw rows must not be one task's before they are one row per taxon, so
+    the first exchange goes by (key, taxon), behind a partial aggregate; only the second by key."""
     raw = spark.range(1000).select((F.col("id") % 10).alias("key"), (F.col("id") % 50).cast("string").alias("taxon"), F.col("id").cast("double").alias("v"))
     plan = op.to_maps(raw, ["key"], "taxon", "v", "m")._jdf.queryExecution().executedPlan().toString()
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+    first, second = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)[::-1]
+    assert "taxon" in first and "taxon" not in second
+    assert re.search(r"partial_max\(v", plan.split("Exchange hashpartitioning")[-1])

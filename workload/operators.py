@@ -490,8 +490,9 @@ def snapshot_round_trip(spark, sf):
 _SAMP_KEYS = ("sample", "trip_code", "region")
 
 
-def _land_lines(df: DataFrame, path: str, files: int = 4) -> None:
+def _land_lines(df: DataFrame, path: str, of_file: int = 50_000) -> None:
     """CSV lines as they come from elsewhere: line breaks in quotes, cells too many or too few."""
+    files = 1 + df.count() // of_file
     digit = F.substring("sample", -1, 1)
     quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
     region = F.when(digit == "5", F.concat(F.col("region"), F.lit(", first\nsecond line"))).otherwise(F.col("region"))
@@ -517,10 +518,10 @@ def dq_rows(spark, sf):
 
 @query("""SELECT sample, trip_code, CASE sample[-1] WHEN '5' THEN region || ', first' || chr(10) || 'second line' WHEN '7' THEN NULL ELSE region END AS region FROM {cpr_samp}""")
 def csv_rows_whole(spark, sf):
-    """Every landed row once, with quoted line breaks inside its cells."""
+    """Every landed row once, with quoted line breaks inside its cells; files are read in splits."""
     path = scratch_dir(spark, "whole")
     _land_lines(derived(spark, sf, "cpr_samp"), path)
-    return read_table(spark, path, TABLES["cpr_samp"]).select(*_SAMP_KEYS)
+    return read_table(spark, path, TABLES["cpr_samp"], in_splits=True).select(*_SAMP_KEYS)
 
 
 @query("""SELECT animal_id AS id, CASE event_id % 7 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN 'n/a' ELSE event_type END AS animal_sex, CAST(NULL AS BIGINT) AS nb_detections
@@ -579,7 +580,7 @@ def index_upsert(spark, sf):
     """Stored: the index as it is, then a batch that came as CSV, was checked, and is merged twice."""
     path, landed = scratch_dir(spark, "index"), scratch_dir(spark, "batch")
     now, spec = F.lit(_NOW).cast("timestamp_ntz"), TABLES["detection_index_batch"]
-    write_snapshot(derived(spark, sf, "detection_file_index"), path)
+    upsert.create_index(derived(spark, sf, "detection_file_index"), path)
     t_form = {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss") for c in ("time_coverage_start", "time_coverage_end")}
     _land_csv(derived(spark, sf, "detection_index_batch").withColumns(t_form), landed)
     batch = read_table(spark, landed, spec)
