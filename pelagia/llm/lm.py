@@ -6,10 +6,13 @@ in classes of equal size by frequency; end and "any other word" are classes of t
 probability of a token is that of its class given the state, times that of the word in its class
 given the state; another word's share of "any other" is its smoothed count among those.
 
-The network is trained by truncated backpropagation in numpy on a bounded sample of training
-documents (SAMPLE); its output biases start from the counts over the whole corpus. In scoring,
-documents of a batch run side by side, in windows of STEPS tokens; the state goes on from window
-to window, so the sum is the log-likelihood of the complete document.
+The network is trained by truncated backpropagation in numpy on every training row, in ROUNDS
+rounds of which each takes the rows of its share of a hash. All tasks of a round start from the same
+weights; each trains on all its rows, a block of them at a time, and sends its weights in pieces of
+fixed size. Their averages by tokens, also formed in tasks, are what the next round starts from. The
+output biases start from the counts over the whole corpus. In scoring, documents of a batch run
+side by side, in windows of STEPS tokens; the state goes on from window to window, so the sum is
+the log-likelihood of the complete document.
 
 Counts of rare words would not fit on every executor. Each document keeps the rare words it has
 as hashes; these meet the counted words in one join on the hash, and only sums come back.
@@ -38,9 +41,13 @@ from .common import Scratch, split_of, table
 
 #: Words of the network, words whose counts go to every task, and classes of words.
 VOCABULARY, COMMON, CLASS_SIZE = 4_096, 65_536, 64
-#: Documents in the training sample, its streams, the steps of a window, and windows trained.
-SAMPLE, STREAMS, STEPS, UPDATES = 600, 64, 24, 500
-EMBED, HIDDEN, RATE = 24, 32, 0.004
+#: Rounds of training, streams side by side, the steps of a window, and tokens held by a task.
+ROUNDS, STREAMS, STEPS, BLOCK = 4, 512, 24, 1 << 19
+#: Windows a task trains in a round at least; a task with few rows goes over them again.
+UPDATES = 120
+EMBED, HIDDEN, RATE = 16, 24, 0.006
+#: Numbers of the weights that travel together.
+PIECE = 8_192
 #: Documents side by side in scoring, distinct words counted before they are handed on.
 TOGETHER, DISTINCT = 1024, 300_000
 END, OTHER = 0, 1
@@ -132,73 +139,99 @@ class Network:
             out[at] += inside[np.arange(len(at)), (target[at] - 2) % CLASS_SIZE]
         return out
 
-    def train(self, documents: list[np.ndarray], updates: int = UPDATES) -> None:
-        """Truncated backpropagation over parallel streams of whole documents, each reset at its start."""
-        flat = np.concatenate([np.concatenate([[END], d]) for d in documents]) if documents else np.zeros(0, np.int64)
-        streams = min(STREAMS, len(flat) // (STEPS + 1))
-        if not streams or not self.words:
-            return
+    def weights(self) -> np.ndarray:
+        return np.concatenate([x.ravel() for x in self.p.values()])
+
+    def load(self, flat: np.ndarray) -> None:
+        at = 0
+        for k, x in self.p.items():
+            self.p[k] = flat[at : at + x.size].reshape(x.shape).astype(np.float32)
+            at += x.size
+
+    def train(self, flat: np.ndarray, moments: dict, rate: float = RATE, updates: int = 0) -> None:
+        """Truncated backpropagation over documents in a row, each begun by an END. They run in
+        parallel streams; a stream goes on in the next window with the state it has.
+
+        At least ``updates`` windows are trained, over the same tokens again if need be.
+        """
+        streams = min(STREAMS, max(1, len(flat) // (16 * STEPS)))
         length = len(flat) // streams
+        windows = (length - 1) // STEPS
+        if windows < 1 or not self.words:
+            return
         grid = flat[: streams * length].reshape(streams, length)
-        moments = {k: (np.zeros_like(x), np.zeros_like(x)) for k, x in self.p.items()}
-        h, at = np.zeros((streams, HIDDEN), np.float32), 0
-        for t in range(1, updates + 1):
-            if at + STEPS + 1 > length:
-                at, h = 0, np.zeros((streams, HIDDEN), np.float32)
+        for done in range(max(windows, updates)):
+            at = done % windows * STEPS
+            if not at:
+                h = np.zeros((streams, HIDDEN), self.p["U"].dtype)
             grads, h = self._window(grid[:, at : at + STEPS].T, grid[:, at + 1 : at + STEPS + 1].T, h)
-            at += STEPS
-            norm = math.sqrt(sum(float((g**2).sum()) for g in grads.values()))
-            rate = RATE * (1.0 if t < updates * 0.6 else 0.3) * math.sqrt(1 - 0.999**t) / (1 - 0.9**t)
+            moments["t"] = t = moments.get("t", 0) + 1
+            norm = math.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+            step = rate * math.sqrt(1 - 0.999**t) / (1 - 0.9**t)
             for k, g in grads.items():
-                g = g * min(1.0, 5.0 / (norm + 1e-9))
-                m, s = moments[k]
+                if norm > 5.0:
+                    g = g * np.float32(5.0 / norm)
+                m, v = moments.setdefault(k, (np.zeros_like(g), np.zeros_like(g)))
                 m += 0.1 * (g - m)
-                s += 0.001 * (g * g - s)
-                self.p[k] -= rate * m / (np.sqrt(s) + 1e-6)
+                v += 0.001 * (g * g - v)
+                self.p[k] -= step * m / (np.sqrt(v) + 1e-6)
 
     def _window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
-        p, steps, streams = self.p, *x.shape
-        projected = (p["E"][x.reshape(-1)] @ p["W"] + p["b"]).reshape(steps, streams, -1)
-        states, parts = [], []
+        p, (steps, streams), kind, H = self.p, x.shape, self.p["U"].dtype, HIDDEN
+        projected = (p["E"] @ p["W"] + p["b"])[x]
+        goes_on = (x != END)[:, :, None]  # a document starts from nothing
+        states, before, parts = np.empty((steps, streams, H), kind), np.empty((steps, streams, H), kind), []
         for t in range(steps):
-            h = h * (x[t] != END)[:, None]  # a document starts from nothing
-            new, *gates = self.step(projected[t], h)
-            parts.append((h, *gates))
-            states.append(new)
-            h = new
-        grads = {k: np.zeros_like(v) for k, v in p.items()}
-        top, target = np.concatenate(states), y.reshape(-1)
-        group, n = self.group(target), float(len(target))
-        share = np.exp(_log_softmax(top @ p["C"] + p["c"]))
-        share[np.arange(len(top)), group] -= 1.0
+            before[t] = h * goes_on[t]
+            h, *gates = self.step(projected[t], before[t])
+            states[t] = h
+            parts.append(gates)
+        top, target = states.reshape(-1, H), y.reshape(-1)
+        group, n = self.group(target), kind.type(len(target))
+        share = _log_softmax(top @ p["C"] + p["c"])
+        np.exp(share, out=share)
+        share[np.arange(len(top)), group] -= 1
         share /= n
-        grads["C"], grads["c"] = top.T @ share, share.sum(0)
+        grads = {"C": top.T @ share, "c": share.sum(0)}
         dtop = share @ p["C"].T
+        # Tokens of one class lie together, so a class is a slice.
         order = np.argsort(group, kind="stable")
         cuts = np.searchsorted(group[order], np.arange(self.classes + 1))
+        order = order[: cuts[-1]]
+        sorted_top, place = top[order], (target[order] - 2) % CLASS_SIZE
+        back = np.empty_like(sorted_top)
+        grads["V"], grads["v"] = np.zeros_like(p["V"]), np.zeros_like(p["v"])
         for k in np.flatnonzero(np.diff(cuts)):
-            at = order[cuts[k] : cuts[k + 1]]
-            inside = np.exp(_log_softmax(top[at] @ p["V"][k] + p["v"][k]))
-            inside[np.arange(len(at)), (target[at] - 2) % CLASS_SIZE] -= 1.0
+            own = slice(cuts[k], cuts[k + 1])
+            inside = _log_softmax(sorted_top[own] @ p["V"][k] + p["v"][k])
+            np.exp(inside, out=inside)
+            inside[np.arange(len(inside)), place[own]] -= 1
             inside /= n
-            grads["V"][k], grads["v"][k] = top[at].T @ inside, inside.sum(0)
-            dtop[at] += inside @ p["V"][k].T
-        dtop = dtop.reshape(steps, streams, HIDDEN)
-        back, dproj = np.zeros((streams, HIDDEN), np.float32), np.empty_like(projected)
+            grads["V"][k], grads["v"][k] = sorted_top[own].T @ inside, inside.sum(0)
+            back[own] = inside @ p["V"][k].T
+        dtop[order] += back
+        dtop = dtop.reshape(steps, streams, H)
+        dproj, dgates = np.empty_like(projected), np.empty_like(projected)
+        carried, across = np.zeros((streams, H), kind), np.ascontiguousarray(p["U"].T)
         for t in range(steps - 1, -1, -1):
-            before, z, r, cand, gn = parts[t]
-            d = dtop[t] + back
+            z, r, cand, gn = parts[t]
+            d = dtop[t] + carried
             dn = d * (1 - z) * (1 - cand * cand)
-            dz = d * (before - cand) * z * (1 - z)
-            dr = dn * gn * r * (1 - r)
-            dproj[t] = np.concatenate([dz, dr, dn], 1)
-            dg = np.concatenate([dz, dr, dn * r], 1)
-            grads["U"] += before.T @ dg
-            back = (d * z + dg @ p["U"].T) * (x[t] != END)[:, None]
-        dproj = dproj.reshape(len(target), -1)
+            dproj[t, :, :H] = d * (before[t] - cand) * z * (1 - z)
+            dproj[t, :, H : 2 * H] = dn * gn * r * (1 - r)
+            dproj[t, :, 2 * H :] = dn
+            dgates[t, :, : 2 * H] = dproj[t, :, : 2 * H]
+            dgates[t, :, 2 * H :] = dn * r
+            carried = (d * z + dgates[t] @ across) * goes_on[t]
+        grads["U"] = before.reshape(-1, H).T @ dgates.reshape(-1, 3 * H)
+        # Rows of one input are summed first: there are fewer inputs than tokens.
         ids = x.reshape(-1)
-        grads["W"], grads["b"] = p["E"][ids].T @ dproj, dproj.sum(0)
-        np.add.at(grads["E"], ids, dproj @ p["W"].T)
+        by_id = np.argsort(ids, kind="stable")
+        firsts = np.flatnonzero(np.diff(ids[by_id], prepend=-1))
+        sums, used = np.add.reduceat(dproj.reshape(-1, 3 * H)[by_id], firsts, axis=0), ids[by_id[firsts]]
+        grads["W"], grads["b"] = p["E"][used].T @ sums, sums.sum(0)
+        grads["E"] = np.zeros_like(p["E"])
+        grads["E"][used] = sums @ p["W"].T
         return grads, h
 
     def score(self, documents: list[np.ndarray]) -> np.ndarray:
@@ -277,7 +310,7 @@ class Model:
 
 
 def fit(train: DataFrame, counts: DataFrame, id: str = "doc_id", text: str = "text") -> Model:
-    """A model from training rows and their counted words (key, n)."""
+    """A model from all training rows and their counted words (key, n)."""
     total, distinct, ends = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.max(F.when(F.col("key") == _END_KEY, F.col("n"))), F.lit(0))).first()
     # A histogram of counts says from where on the COMMON most frequent words lie, so that tasks
     # send these and the rest of one narrow bin, not COMMON words each.
@@ -289,15 +322,69 @@ def fit(train: DataFrame, counts: DataFrame, id: str = "doc_id", text: str = "te
             break
     top = words.filter(bins >= least).orderBy(F.desc("n"), "key").limit(COMMON).collect()
     model = Model(total, distinct, ends, [r.key for r in top], np.array([r.n for r in top], np.int64))
-    # A draw by hash: about SAMPLE documents, at most twice as many.
-    share = min(1.0, SAMPLE / max(1, ends))
-    drawn = F.pmod(F.xxhash64(F.lit("sample"), id), F.lit(1 << 30)) < int(share * (1 << 30))
-    sample = train.filter(drawn).select(F.xxhash64(id).alias("h"), text).limit(2 * SAMPLE).collect()
-    codes = Codes(model.ranks)
-    model.network.train([model.ids(codes.of(tokens_of(t))) for _, t in sorted((r[0], r[1] or "") for r in sample)])
+    learn(model, train, id, text)
     return model
 
 
+def _round(model: Model, rate: float):
+    """Training rows to the weights a task has learned from all of them, in pieces."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net, moments = model.network, {}
+        codes = Codes({k: i for k, i in model.ranks.items() if i < model.words})
+        held, size, seen = [], 0, 0
+
+        def block(updates: int) -> None:
+            net.train(np.concatenate([np.append(END, d) for d in held]), moments, rate, updates)
+
+        for b in batches:
+            for text in b.column(0).to_pylist():
+                held.append(model.ids(codes.of(tokens_of(text))))
+                size += len(held[-1]) + 1
+                if size >= BLOCK:
+                    block(0)
+                    held, seen, size = [], seen + size, 0
+        if held:
+            block(0 if seen else UPDATES)
+            seen += size
+        if "t" in moments:
+            flat = net.weights()
+            pieces = [flat[at : at + PIECE] for at in range(0, len(flat), PIECE)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(pieces)), pa.int32()), pa.array([seen] * len(pieces), pa.int64()), pa.array([x.tobytes() for x in pieces], pa.binary())], ["piece", "tokens", "weights"])
+
+    return run
+
+
+def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces of weights to their averages by tokens; a sum per piece is held."""
+    sums: dict[int, list] = {}
+    for b in batches:
+        for piece, tokens, raw in zip(*(b[c].to_pylist() for c in ("piece", "tokens", "weights"))):
+            own = sums.setdefault(piece, [0, 0.0])
+            own[0] += tokens
+            own[1] = own[1] + tokens * np.frombuffer(raw, np.float32).astype(np.float64)
+    if sums:
+        means = [(total / tokens).astype(np.float32).tobytes() for tokens, total in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([t for t, _ in sums.values()], pa.int64()), pa.array(means, pa.binary())], ["piece", "tokens", "weights"])
+
+
+def learn(model: Model, train: DataFrame, id: str = "doc_id", text: str = "text") -> int:
+    """Train the network on all rows: rounds of tasks that start alike and are averaged. The number
+    of tokens learned from, repeats aside."""
+    schema = "piece int, tokens long, weights binary"
+    share = F.pmod(F.xxhash64(F.lit("round"), id, text), F.lit(ROUNDS))
+    learned = 0
+    for k in range(ROUNDS):
+        rate = RATE * (1.0 if k < ROUNDS - 1 else 0.3)
+        # The same rows always come in the same order: partitions of a scan, filtered.
+        found = train.filter(share == k).select(text).mapInArrow(_round(model, rate), schema)
+        rows = found.repartition("piece").mapInArrow(_average, schema).collect()
+        if rows:
+            model.network.load(np.concatenate([np.frombuffer(r.weights, np.float32) for r in sorted(rows, key=lambda r: r.piece)]))
+            learned += rows[0].tokens
+    return learned
+
+
 SCORED = "row long, doc_id {kind}, n_tokens long, known long, logs double, other double, score double, rare array<long>, times array<int>"
 
 

@@ -140,6 +140,33 @@ def test_scores_and_counts_match_brute_force(make, prose, monkeypatch):
     assert lm.score_documents(make([]), make([])).count() == 0
 
 
+def test_network_learns_from_every_training_row(make, prose, monkeypatch):
+    monkeypatch.setattr(lm, "UPDATES", 20)
+    monkeypatch.setattr(lm, "BLOCK", 3000)
+    rare = ["kopf wald turm berg fluss", "turm fluss kopf berg wald"]  # a language of few rows, in one order of words
+    rows = [(k, prose(40, k)) for k in range(400)] + [(5000 + k, " ".join(rare[k % 2] for _ in range(12))) for k in range(30)] + [(9000, None), (None, "la")]
+    docs = make(rows)
+    train = docs.filter(lm.split_of("doc_id", 7) != 2)
+    counts = train.select("text").mapInArrow(lm._count, "key long, n long").groupBy("key").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n")
+    model = lm.fit(train, counts)
+    before = model.network.weights()
+    assert lm.learn(model, train) == model.total == sum(len(lm.tokens_of(r.text)) + 1 for r in train.collect())
+    assert not np.array_equal(before, model.network.weights())
+    out = lm.score_documents(docs, train).withColumn("held", lm.split_of("doc_id", 7) == 2).filter("held AND doc_id >= 5000 AND doc_id < 9000").collect()
+    assert out and all(r.score > r.base_score for r in out)
+
+
+def test_averaged_rounds_weigh_tasks_by_their_tokens():
+    import pyarrow as pa
+
+    one, two = np.arange(4, dtype=np.float32), np.ones(4, np.float32)
+    rows = [(0, 1, one), (1, 1, two), (0, 3, two)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows]), pa.array([r[2].tobytes() for r in rows])], ["piece", "tokens", "weights"])
+    (out,) = lm._average(iter([batch]))
+    got = {p: np.frombuffer(w, np.float32).tolist() for p, w in zip(out["piece"].to_pylist(), out["weights"].to_pylist())}
+    assert got == {0: ((one + 3 * two) / 4).tolist(), 1: two.tolist()} and out["tokens"].to_pylist() == [4, 1]
+
+
 def test_quoted_terms_and_copied_clean_documents_stay_in_the_lexicon(spark, make, prose):
     rows = [(k, prose(60, k) + " zorgwitz " + prose(60, 5000 + k), 1) for k in range(100)]
     rows += [(1000 + k, prose(60, 1000 + k) + ' they called it "zorgwitz" then', 0) for k in range(60)]
