@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,10 +108,10 @@ def segments(data: np.ndarray, starts: np.ndarray, prefixes: Prefixes) -> tuple[
 
 
 def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents to one row per segment: name, hash, id, text mark, start, windows."""
+    """Documents to one row per segment: name, hash, id, row number, start, windows."""
     prefixes = Prefixes()
     for b in batches:
-        ids, marks = b["doc"].to_numpy(), b["mark"].to_numpy()
+        ids, numbers = b["doc"].to_numpy(), b["row"].to_numpy()
         texts, low = b["text"].cast(pa.binary()).to_pylist(), 0
         while low < len(texts):
             high, size = low, 0
@@ -123,13 +124,13 @@ def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             name, begin, windows, content = segments(np.frombuffer(b"".join(t for _, t in part), np.uint8), starts, prefixes)
             at = np.searchsorted(starts, begin, "right") - 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(name), pa.array(content.view(np.int64)), pa.array(ids[rows[at]]), pa.array(marks[rows[at]]), pa.array((begin - starts[at]).astype(np.int32)), pa.array(windows.astype(np.int16))],
-                ["name", "content", "doc", "mark", "start", "windows"],
+                [pa.array(name), pa.array(content.view(np.int64)), pa.array(ids[rows[at]]), pa.array(numbers[rows[at]]), pa.array((begin - starts[at]).astype(np.int32)), pa.array(windows.astype(np.int16))],
+                ["name", "content", "doc", "row", "start", "windows"],
             )
             low = high
 
 
-FOUND = "name long, doc long, mark int, start int, windows short, open boolean, first boolean"
+FOUND = "name long, doc long, row long, start int, windows short, open boolean, first boolean"
 
 
 def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +141,7 @@ def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     several, waiting = False, []
 
     def out(b: pa.RecordBatch, rows: np.ndarray, open_: bool, first: np.ndarray) -> pa.RecordBatch:
-        part = b.take(pa.array(rows)).select(["name", "doc", "mark", "start", "windows"])
+        part = b.take(pa.array(rows)).select(["name", "doc", "row", "start", "windows"])
         return pa.RecordBatch.from_arrays([*part.columns, pa.array(np.full(len(rows), open_)), pa.array(first[rows])], [*part.schema.names, "open", "first"])
 
     for b in batches:
@@ -224,18 +225,17 @@ def covered_windows(strings: list[bytes], docs: np.ndarray) -> tuple[np.ndarray,
 def _bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with their open segments to one row per segment with its bytes."""
     for b in batches:
-        docs, marks = b["doc"].to_pylist(), b["mark"].to_pylist()
-        names, owners, owner_marks, starts, out = [], [], [], [], []
-        for doc, mark, text, open_ in zip(docs, marks, b["text"].cast(pa.binary()).to_pylist(), b["segments"].to_pylist()):
+        names, places, starts, out = [], [], [], []
+        for place, (text, open_) in enumerate(zip(b["text"].cast(pa.binary()).to_pylist(), b["segments"].to_pylist())):
             for s in open_:
                 names.append(s["name"])
-                owners.append(doc)
-                owner_marks.append(mark)
+                places.append(place)
                 starts.append(s["start"])
                 out.append(text[s["start"] : s["start"] + s["windows"] + LENGTH - 1])
+        own = pa.array(places, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.int64()), pa.array(owners, pa.int64()), pa.array(owner_marks, pa.int32()), pa.array(starts, pa.int32()), pa.array(out, pa.binary())],
-            ["name", "doc", "mark", "start", "bytes"],
+            [pa.array(names, pa.int64()), b["doc"].take(own), b["row"].take(own), pa.array(starts, pa.int32()), pa.array(out, pa.binary())],
+            ["name", "doc", "row", "start", "bytes"],
         )
 
 
@@ -252,44 +252,57 @@ def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 contents.append(int.from_bytes(digest[8:], "little", signed=True))
         own = b.take(pa.array(rows, pa.int64()))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.int64()), pa.array(contents, pa.int32()), own["doc"], own["mark"], pa.array(starts, pa.int32()), pa.array(np.ones(len(rows), np.int16))],
-            ["name", "content", "doc", "mark", "start", "windows"],
+            [pa.array(names, pa.int64()), pa.array(contents, pa.int32()), own["doc"], own["row"], pa.array(starts, pa.int32()), pa.array(np.ones(len(rows), np.int16))],
+            ["name", "content", "doc", "row", "start", "windows"],
         )
 
 
-def _order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments sorted by name to covered runs of windows; a collection ends between two names."""
+def _collection(t: pa.Table) -> pa.RecordBatch:
+    """Segments of whole names to the covered runs of each."""
+    coded = t["bytes"].combine_chunks().dictionary_encode()
+    code = coded.indices.to_numpy().astype(np.int64)
+    name, doc, row, start = (t[c].to_numpy() for c in ("name", "doc", "row", "start"))
+    # What one document repeats is one string of the collection, handed to each of its rows.
+    order = np.lexsort((code, doc, name))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(name[order]) != 0) | (np.diff(doc[order]) != 0) | (np.diff(code[order]) != 0)
+    key = np.empty(len(order), np.int64)
+    key[order] = np.cumsum(new) - 1
+    firsts = order[new]
+    string, at, n = covered_windows(coded.dictionary.take(pa.array(code[firsts])).to_pylist(), doc[firsts])
+    cuts = np.searchsorted(string, np.arange(len(firsts) + 1))
+    sizes = np.diff(cuts)[key]
+    own = np.repeat(np.arange(len(key)), sizes)
+    run = np.arange(len(own)) + np.repeat(cuts[key] - np.cumsum(sizes) + sizes, sizes)
+    none = pa.array(np.zeros(len(own), bool))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(name[own]), pa.array(doc[own]), pa.array(row[own]), pa.array((start[own] + at[run]).astype(np.int32)), pa.array(n[run].astype(np.int16)), none, none],
+        ["name", "doc", "row", "start", "windows", "open", "first"],
+    )
 
-    def solve(keys: list[tuple], rows: list[tuple]) -> pa.RecordBatch:
-        """Runs of the distinct (name, doc, bytes), handed to each row (key, mark, start) of theirs."""
-        key, mark, start = (np.array(c, np.int64) for c in zip(*rows))
-        s, at, n = covered_windows([k[2] for k in keys], np.array([k[1] for k in keys], np.int64))
-        cuts = np.searchsorted(s, np.arange(len(keys) + 1))
-        sizes = np.diff(cuts)[key]
-        row = np.repeat(np.arange(len(key)), sizes)
-        run = np.arange(len(row)) + np.repeat(cuts[key] - np.cumsum(sizes) + sizes, sizes)
-        name, doc = (np.array([k[i] for k in keys], np.int64)[key[row]] for i in (0, 1))
-        none = pa.array(np.zeros(len(row), bool))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(name), pa.array(doc), pa.array(mark[row].astype(np.int32)), pa.array((start[row] + at[run]).astype(np.int32)), pa.array(n[run].astype(np.int16)), none, none],
-            ["name", "doc", "mark", "start", "windows", "open", "first"],
-        )
 
-    keys: dict[tuple, int] = {}
-    rows: list[tuple] = []
-    size, last = 0, None
+def _order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments sorted by name to covered runs of windows; a collection ends between two names."""
+    held: list[pa.RecordBatch] = []
+    size = 0
     for b in batches:
-        for name, doc, mark, start, raw in zip(*(b[c].to_pylist() for c in ("name", "doc", "mark", "start", "bytes"))):
-            if size >= BLOCK and name != last:
-                yield solve(list(keys), rows)
-                keys, rows, size = {}, [], 0
-            if (name, doc, raw) not in keys:
-                keys[name, doc, raw] = len(keys)
-                size += len(raw)
-            rows.append((keys[name, doc, raw], mark, start))
-            last = name
-    if rows:
-        yield solve(list(keys), rows)
+        # A batch may be large; a collection should not be.
+        sizes = np.cumsum(pc.binary_length(b["bytes"]).to_numpy(zero_copy_only=False))
+        cuts = [0, *np.searchsorted(sizes, np.arange(BLOCK, sizes[-1] if len(sizes) else 0, BLOCK)).tolist(), b.num_rows]
+        for low, high in zip(cuts, cuts[1:]):
+            if high > low:
+                held.append(b.slice(low, high - low))
+                size += int(sizes[high - 1] - (sizes[low - 1] if low else 0))
+            if size >= BLOCK:
+                t = pa.Table.from_batches(held)
+                names = t["name"].to_numpy()
+                end = int(np.flatnonzero(np.diff(names))[-1]) + 1 if names[0] != names[-1] else 0
+                if end:
+                    yield _collection(t.slice(0, end))
+                    rest = t.slice(end)
+                    held, size = rest.to_batches(), int(pc.sum(pc.binary_length(rest["bytes"])).as_py())
+    if held:
+        yield _collection(pa.Table.from_batches(held))
 
 
 def _cut(with_text: bool):
@@ -326,33 +339,38 @@ def _cut(with_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", with_text: bool = True, most: int = MOST) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and kept: the bytes that are left."""
+def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", with_text: bool = True, most: int = MOST, stored: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and kept: the bytes that are left.
+
+    Rows are told apart by their number, not their id, and are read three times; ``stored`` says that
+    ``docs`` is a table as read from storage, whose rows come in the same order each time. Anything
+    else is stored first.
+    """
     scratch = Scratch(docs.sparkSession, "suffix")
-    text_of = F.coalesce(F.col(text), F.lit(""))
-    docs = docs.select(F.col(id).alias("doc_id"), text_of.alias("text"))
-    # The mark tells rows apart that share an id; the id orders them.
-    keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)).cast("long").alias("doc"), F.pmod(F.xxhash64("text"), F.lit(1 << 15)).cast("int").alias("mark"), "text")
-    covers = keyed.select("doc", "mark", "text").mapInArrow(_cover, "name long, content long, doc long, mark int, start int, windows short")
+    docs = docs.select(F.col(id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    if not stored:
+        docs = scratch.keep(docs, "docs")
+    keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)).cast("long").alias("doc"), F.monotonically_increasing_id().alias("row"), "text")
+    covers = keyed.select("doc", "row", "text").mapInArrow(_cover, "name long, content long, doc long, row long, start int, windows short")
     ordered = covers.repartition("name").sortWithinPartitions("name", "content", "doc")
     found = scratch.keep(ordered.mapInArrow(_refine, FOUND), "found")
     # Segments whose name has several contents get their bytes back and are ordered.
     hot = found.filter("open").groupBy("name").agg(F.count_if("first").alias("n")).filter(F.col("n") > most).select("name", F.lit(True).alias("hot"))
-    asked = found.filter("open").groupBy("doc", "mark").agg(F.collect_list(F.struct("name", "start", "windows")).alias("segments"))
-    strings = keyed.select("doc", "mark", "text").join(asked, ["doc", "mark"]).select("doc", "mark", "text", "segments")
-    strings = strings.mapInArrow(_bytes, "name long, doc long, mark int, start int, bytes binary")
+    asked = found.filter("open").groupBy("row").agg(F.collect_list(F.struct("name", "start", "windows")).alias("segments"))
+    strings = keyed.select("doc", "row", "text").join(asked, "row").select("doc", "row", "text", "segments")
+    strings = strings.mapInArrow(_bytes, "name long, doc long, row long, start int, bytes binary")
     strings = scratch.keep(strings.join(hot, "name", "left"), "strings")
     more = strings.filter("hot IS NULL").repartition("name").sortWithinPartitions("name", "doc").mapInArrow(_order, FOUND)
-    split = strings.filter("hot").mapInArrow(_single, "name long, content int, doc long, mark int, start int, windows short")
+    split = strings.filter("hot").mapInArrow(_single, "name long, content int, doc long, row long, start int, windows short")
     split = split.repartition("name", "content").sortWithinPartitions("name", "content", "doc").mapInArrow(_refine, FOUND)
     more = scratch.keep(more.unionByName(split.filter(~F.col("open"))), "more")
     scratch.drop("strings")
-    runs = found.filter(~F.col("open")).unionByName(more).groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
-    met = keyed.join(runs, ["doc", "mark"], "left").select("doc_id", "text", "runs")
+    runs = found.filter(~F.col("open")).unionByName(more).groupBy("row").agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
+    met = keyed.join(runs, "row", "left").select("doc_id", "text", "runs")
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return met.mapInArrow(_cut(with_text), schema + (", kept binary" if with_text else ""))
 
 
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+    return remove_repeats(table(spark, sf_dir, "documents"), with_text=False, stored=True)

@@ -69,6 +69,25 @@ def test_repeats_inside_the_smallest_document_are_covered(make, prose, most):
     assert {r[2] for r in got if r[0] == 2} == {400}
 
 
+@pytest.mark.parametrize("id", [5, None])
+def test_rows_that_share_an_id_keep_their_own_cuts(spark, make, prose, id):
+    """Texts whose 15-bit hashes agree, under one id or none, beside a smaller document that one repeats."""
+    from pyspark.sql import functions as F
+
+    shared = prose(80, 1)[:300]
+    many = [(k, prose(40, 50_000 + k)[:207]) for k in range(3000)]
+    marked = make([(0, shared), *many]).select("doc_id", "text", F.pmod(F.xxhash64("text"), F.lit(1 << 15)).alias("m")).collect()
+    by_mark: dict = {}
+    for r in marked:
+        by_mark.setdefault(r.m, set()).add(r.text)
+    clashing = [sorted(v) for v in by_mark.values() if len(v) > 1]
+    assert clashing
+    one, two = clashing[0][:2]
+    rows = [(None if id is None else 1, one + shared), (id, one), (id, two), (id, shared), (id, two), (9, shared), (9, one)]
+    got = [tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in remove_repeats(make(rows)).collect()]
+    assert sorted(got, key=repr) == brute(rows)
+
+
 def test_segments_of_one_name_are_told_apart_by_64_bits(make):
     rng = np.random.default_rng(3)
     letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)
