@@ -88,19 +88,16 @@ class Tokens:
         self.specials = [t["content"] for t in vocab.get("added_tokens", [])]
         #: A special string may begin inside a chunk and end behind it, and the pattern looks ahead.
         self.margin = max(map(len, self.specials), default=0) + 2
-        # The memo knows the byte-level pattern and takes special strings for ordinary text.
-        self.memo = Encoder.of_worker(path) if self.splices else None
+        # The encoder by ranks takes special strings for ordinary text.
+        self.plain = Encoder.of_worker(path) if self.splices else None
 
     def count(self, texts: list[str]) -> list[int]:
         """Tokens of whole texts."""
         if self.model is not None:
             return [len(ids) for ids in self.model.encode(texts, num_threads=1)] if texts else []
-        if self.memo is None:
-            return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        special = [any(s in t for s in self.specials) for t in texts]
-        plain = iter(self.memo.encode([t for t, s in zip(texts, special) if not s]))
+        special = [self.plain is None or any(s in t for s in self.specials) for t in texts]
         rare = iter(self.tokenizer.encode_batch_fast([t for t, s in zip(texts, special) if s], add_special_tokens=False))
-        return [len(next(rare)) if s else len(next(plain)) // 4 for s in special]
+        return [len(next(rare)) if s else self.plain.count(t) for t, s in zip(texts, special)]
 
     def encode(self, texts: list[str]) -> list:
         return self.tokenizer.encode_batch(texts, add_special_tokens=False)
