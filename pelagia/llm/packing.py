@@ -5,6 +5,10 @@ takes what is over, so all others are full. What is left is bin packing. Pieces
 problems of bounded size. Each problem is evolved on several islands, all the problem's own
 tasks; between epochs the best packing of each island moves on to the next island.
 
+Each problem leaves some bins that are not full. Their pieces, from all problems together, are the
+pieces of a next level, packed the same way, until a level is one problem; a level that saves no
+bin is left as it was.
+
 A packing is a list of bins, and the operators work on bins, not on single pieces. Crossover
 takes well-filled bins of one parent into the other, drops the bins there that hold the same
 pieces twice, and puts the displaced pieces back by best fit, longest first. Mutation empties the
@@ -20,6 +24,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import reduce
 from random import Random
 
 import numpy as np
@@ -34,7 +39,11 @@ from .tokens import Encoder
 
 CAPACITY = 2048
 #: Pieces of one problem, islands of a problem, packings on an island, and generations an epoch.
-PROBLEM, ISLANDS, POPULATION, EPOCHS, GENERATIONS = 4096, 2, 4, 2, 4
+#: Evolution ends early only where a packing has as few bins as any can have.
+PROBLEM, ISLANDS, POPULATION, EPOCHS, GENERATIONS = 4096, 2, 6, 3, 40
+#: Bins filled less than this, and at most one of so many of a problem, are packed again together
+#: with those of the other problems.
+FILLED, AGAIN = 0.98, 8
 #: Texts encoded at a time.
 BATCH = 1024
 
@@ -197,27 +206,25 @@ def _epoch(capacity: int, generations: int, epoch: int):
     return run
 
 
-def pack(rows: DataFrame, scratch: Scratch, capacity: int = CAPACITY, problem: int = PROBLEM) -> DataFrame:
-    """Give pieces (``length``, ``slot``, any more columns) their sequence_id and offset.
-
-    ``rows`` must be a stored table. A problem's size is fixed, so tasks stay as small as they
-    are however many documents there are.
-    """
-    n = rows.count()
-    problems = max(1, -(-n // problem))
-    rows = rows.withColumn("problem", F.pmod(F.col("slot"), F.lit(problems)))
+def _level(rows: DataFrame, scratch: Scratch, capacity: int, problems: int, level: int) -> DataFrame:
+    """The pieces with sequence_id, offset, and ``open``: whether their bin may be packed again."""
+    rows = rows.withColumn("problem", F.pmod(F.xxhash64("slot", F.lit(level)), F.lit(problems)))
     islands = F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1)))
     state = rows.select("problem", "slot", "length", islands.alias("island")).groupBy("problem", "island")
-    state = scratch.keep(state.applyInPandas(_epoch(capacity, GENERATIONS, 0), ISLAND), "epoch0")
+    state = scratch.keep(state.applyInPandas(_epoch(capacity, GENERATIONS, 0), ISLAND), f"epoch{level}_0")
+    least = rows.groupBy("problem").agg(F.ceil(F.sum("length") / capacity).cast("int").alias("least"))
     for e in range(1, EPOCHS):
-        # The elite of every island also goes on to the next one in the ring.
-        elite = state.filter("rank = 0").withColumn("island", ((F.col("island") + 1) % ISLANDS).cast("int"))
-        grown = state.unionByName(elite).groupBy("problem", "island").applyInPandas(_epoch(capacity, GENERATIONS, e), ISLAND)
-        state = scratch.keep(grown, f"epoch{e}")
-        scratch.drop(f"epoch{e - 1}")
+        # Problems that are solved rest; the elite of every other island goes on to the next one.
+        short = state.groupBy("problem").agg(F.min("bins").alias("bins")).join(least, "problem").filter("bins > least").select("problem")
+        left = scratch.keep(state.join(short, "problem", "left_semi"), f"left{level}_{e}")
+        if left.isEmpty():
+            break
+        elite = left.filter("rank = 0").withColumn("island", ((F.col("island") + 1) % ISLANDS).cast("int"))
+        grown = left.unionByName(elite).groupBy("problem", "island").applyInPandas(_epoch(capacity, GENERATIONS, e), ISLAND)
+        state = scratch.keep(grown.unionByName(state.join(short, "problem", "left_anti")), f"epoch{level}_{e}")
     best = state.filter("rank = 0").groupBy("problem").agg(F.min_by("packing", F.struct("bins", "island")).alias("packing"))
 
-    names = [c for c in rows.columns if c not in ("problem", "slot")]
+    names = [c for c in rows.columns if c != "problem"]
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
 
     def place(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -227,13 +234,43 @@ def pack(rows: DataFrame, scratch: Scratch, capacity: int = CAPACITY, problem: i
         length = left["length"].to_numpy()[order]
         ends = np.cumsum(length)
         first = np.searchsorted(flat[order], flat[order])  # where each piece's sequence begins
-        left = left.iloc[order].drop(columns=["problem", "slot"])
-        left["sequence_id"] = (int(key[0]) << 24) + flat[order].astype(np.int64)
+        fill = np.bincount(flat, left["length"].to_numpy())
+        emptiest = np.argsort(fill, kind="stable")[: max(1, len(fill) // AGAIN)]
+        again = np.zeros(len(fill), bool)
+        again[emptiest[fill[emptiest] < FILLED * capacity]] = True
+        left = left.iloc[order].drop(columns=["problem"])
+        left["sequence_id"] = (level << 56) + (int(key[0]) << 24) + flat[order].astype(np.int64)
         left["offset"] = ends - length - (ends - length)[first]
+        left["open"] = again[flat[order]]
         return left
 
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", sequence_id long, offset long"
-    return rows.groupBy("problem").cogroup(best.groupBy("problem")).applyInPandas(place, schema)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", sequence_id long, offset long, open boolean"
+    return scratch.keep(rows.groupBy("problem").cogroup(best.groupBy("problem")).applyInPandas(place, schema), f"placed{level}")
+
+
+def pack(rows: DataFrame, scratch: Scratch, capacity: int = CAPACITY, problem: int = PROBLEM) -> DataFrame:
+    """Give pieces (``length``, ``slot``, any more columns) their sequence_id and offset.
+
+    ``rows`` must be a stored table. A problem's size is fixed, so tasks stay as small as they
+    are however many documents there are.
+    """
+    done, before, placed, level = [], None, None, 0
+    while True:
+        problems = max(1, -(-rows.count() // problem))
+        now = _level(rows, scratch, capacity, problems, level)
+        if placed is not None and now.select("sequence_id").distinct().count() >= before:
+            done.append(placed.filter("open"))  # nothing saved
+            break
+        if problems == 1:
+            done.append(now)
+            break
+        placed, level = now, level + 1
+        done.append(placed.filter("NOT open"))
+        before = placed.filter("open").select("sequence_id").distinct().count()
+        if not before:
+            break
+        rows = placed.filter("open").drop("sequence_id", "offset", "open")
+    return reduce(DataFrame.unionByName, done).drop("slot", "open")
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, id: str = "doc_id", text: str = "text", with_ids: bool = False, problem: int = PROBLEM) -> DataFrame:
