@@ -21,6 +21,25 @@ def split_of(doc_id: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), F.lit(folds))
 
 
+ROW = "__row"
+
+
+def numbered(docs: DataFrame, scratch: Scratch, stored: bool) -> DataFrame:
+    """The rows with a number of their own in ``ROW``, the same each time they are read.
+
+    Filters name rows by it, as ids may repeat or be NULL. ``stored`` says that ``docs`` is a table as
+    read from storage, so that its rows keep their places; anything else is stored first.
+    """
+    rows = docs if stored else scratch.keep(docs, "rows")
+    return rows.withColumn(ROW, F.monotonically_increasing_id())
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Numbered rows less those whose ``ROW`` is in ``gone``. What goes grows with the corpus: it is
+    merged, not broadcast, at every size."""
+    return rows.join(gone.select(ROW).distinct().hint("merge"), ROW, "left_anti").drop(ROW)
+
+
 class Scratch:
     """Tables written to the shared folder of the cluster and read back.
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordHashes, ngram_hashes, table
+from .common import ROW, Scratch, WordHashes, ngram_hashes, numbered, table, without
 
 NGRAM, THRESHOLD = 3, 0.5
 #: Bits of the map that lets documents' 3-grams pass; its size does not depend on the input.
@@ -156,11 +156,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
     return best.select("doc_id", "item_id", (-F.col("b.s")).alias("score"), "b.start_word", "b.end_word")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id") -> DataFrame:
-    """The documents without a test item, all their columns; a row without an id stays."""
-    # What goes grows with the corpus: merged, not broadcast, at every size.
-    gone = contaminated(docs, benchmark, id).select(F.col("doc_id").alias(id)).distinct()
-    return docs.join(gone.hint("merge"), id, "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", stored: bool = False) -> DataFrame:
+    """The documents without a test item, all their columns. Rows are told apart by their place,
+    so ids may repeat or be NULL."""
+    rows = numbered(docs, Scratch(docs.sparkSession, "decontam"), stored)
+    return without(rows, contaminated(rows, benchmark, ROW, text).select(F.col("doc_id").alias(ROW)))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

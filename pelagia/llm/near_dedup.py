@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordHashes, mix, ngram_hashes, table
+from .common import ROW, Scratch, WordHashes, mix, ngram_hashes, numbered, table, without
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
@@ -317,11 +317,13 @@ def near_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", words:
     )
 
 
-def drop_near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, one of each class, all their columns; a row without an id stays."""
-    # What goes grows with the corpus: merged, not broadcast, at every size.
-    gone = near_classes(docs, id, text).filter("doc_id <> class_id").select(F.col("doc_id").alias(id)).distinct()
-    return docs.join(gone.hint("merge"), id, "left_anti")
+def drop_near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", stored: bool = False) -> DataFrame:
+    """The documents that stay, one row of each class, all their columns. Rows are told apart by
+    their place, so ids may repeat or be NULL."""
+    scratch = Scratch(docs.sparkSession, "near")
+    rows = numbered(docs, scratch, stored)
+    classes = near_classes(rows, ROW, text)
+    return without(rows, classes.filter("doc_id <> class_id").select(F.col("doc_id").alias(ROW)))
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,6 +31,22 @@ def test_exact_copies_leave_one_row(make):
     assert drop_copies(make([])).count() == 0 and exact_groups(make([])).count() == 0
 
 
+def test_one_row_of_a_text_is_kept_whatever_ids_repeat(make):
+    docs = make([(1, "a b"), (1, "ab"), (2, "ab"), (5, "same"), (5, "same"), (None, "q"), (None, "q"), (None, "other"), (7, "q"), (9, "x y"), (9, "x y"), (8, "xy")])
+    got = exact_groups(docs).collect()
+    kept = sorted(((r.doc_id, r.group_size) for r in got if r.kept), key=repr)
+    assert kept == sorted([(1, 3), (5, 2), (None, 3), (None, 1), (9, 3)], key=repr)
+    assert {r.keep_id for r in got if r.group_size == 3 and r.doc_id in (1, 2)} == {1}
+    left = sorted(((r.doc_id, r.text) for r in drop_copies(docs).collect()), key=repr)
+    assert left == sorted([(1, "a b"), (5, "same"), (None, "q"), (None, "other"), (9, "x y")], key=repr)
+
+
+def test_clashing_columns_are_no_matter(make):
+    docs = make([(1, "a"), (2, "a")]).selectExpr("*", "'x' AS text_sha256", "'y' AS keep_id", "'z' AS chars", "1 AS prefix")
+    assert drop_copies(docs).columns == docs.columns and drop_copies(docs).count() == 1
+    assert exact_groups(docs).count() == 2
+
+
 def turns_table(spark, rows):
     return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, piece string, at string").select("*")
 
