@@ -7,7 +7,7 @@ rules count on the map side first, so a key repeated without end is one row per
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +30,7 @@ def _fault(rule: str, column: str, value: Column) -> Column:
     )
 
 
-def _key_text(key: tuple[str, ...]) -> Column:
+def key_text(key: tuple[str, ...]) -> Column:
     if not key:
         return F.lit(None).cast("string")
     parts = [F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in key]
@@ -69,14 +69,14 @@ def cell_faults(text: DataFrame, spec: Table) -> DataFrame:
     """Required, type, pattern and range faults, all rules in one pass over the rows."""
     rules = [r for f in spec.fields for r in cell_rules(f)]
     if not rules:
-        return _shape(text.limit(0).select(F.lit("").alias("rule"), F.lit("").alias("column"), F.lit("").alias("key"), F.lit("").alias("value"), F.lit(1).alias("n")), spec.name)
+        return shaped(text.limit(0).select(F.lit("").alias("rule"), F.lit("").alias("column"), F.lit("").alias("key"), F.lit("").alias("value"), F.lit(1).alias("n")), spec.name)
     found = text.select(
-        _key_text(spec.key).alias("key"), F.explode(F.array_compact(F.array(*rules))).alias("f")
+        key_text(spec.key).alias("key"), F.explode(F.array_compact(F.array(*rules))).alias("f")
     )
-    return _shape(found.select("f.rule", "f.column", "key", "f.value", F.lit(1).alias("n")), spec.name)
+    return shaped(found.select("f.rule", "f.column", "key", "f.value", F.lit(1).alias("n")), spec.name)
 
 
-def _shape(df: DataFrame, table: str) -> DataFrame:
+def shaped(df: DataFrame, table: str) -> DataFrame:
     return df.select(F.lit(table).alias("table"), "rule", "column", "key", "value", F.col("n").cast("bigint").alias("n"))
 
 
@@ -87,11 +87,11 @@ def unique_faults(df: DataFrame, table: str, key: tuple[str, ...], rule: str = "
     """
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
     repeated = df.filter(whole).groupBy(*key).agg(F.count("*").alias("rows")).filter("rows > 1")
-    return _shape(
+    return shaped(
         repeated.select(
             F.lit(rule).alias("rule"),
             F.lit(",".join(key)).alias("column"),
-            _key_text(key).alias("key"),
+            key_text(key).alias("key"),
             F.col("rows").cast("string").alias("value"),
             (F.col("rows") - 1).alias("n"),
         ),
@@ -110,7 +110,7 @@ def link_faults(
     values = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("rows"))
     keys = parent.select(F.col(parent_key).alias(column)).distinct()
     orphans = values.join(keys, column, "left_anti")
-    return _shape(
+    return shaped(
         orphans.select(
             F.lit("foreign-key").alias("rule"),
             F.lit(column).alias("column"),
@@ -127,7 +127,20 @@ def header_faults(spark: SparkSession, names: list[str], spec: Table) -> DataFra
     report = check_header(names, spec)
     rows = [("missing-field", c) for c in report.missing] + [("extra-field", c) for c in report.extra]
     listed = spark.createDataFrame([(r, c, None, c, 1) for r, c in rows], "rule string, column string, key string, value string, n bigint")
-    return _shape(listed, spec.name)
+    return shaped(listed, spec.name)
+
+
+def _cells() -> Column:
+    """Number of cells of an odd row, separators inside quotes aside."""
+    bare = F.regexp_replace(ODD_ROW, r'"(?:[^"]|"")*"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
+
+
+def odd_row_rule(width: int) -> Column:
+    """A fault struct for a row of a scan with more or fewer cells than ``width``, or NULL."""
+    rule = F.when(_cells() > width, "extra-cell").otherwise("missing-cell")
+    fault = F.struct(rule.alias("rule"), F.lit(None).cast("string").alias("column"), _cells().cast("string").alias("value"))
+    return F.when(F.col(ODD_ROW).isNotNull(), fault)
 
 
 def row_faults(rows: DataFrame, spec: Table, width: int) -> DataFrame:
@@ -135,19 +148,8 @@ def row_faults(rows: DataFrame, spec: Table, width: int) -> DataFrame:
 
     ``value`` is the number of cells found, separators inside quotes aside.
     """
-    bare = F.regexp_replace(ODD_ROW, r'"(?:[^"]|"")*"', "")
-    cells = F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
-    key = _key_text(spec.key)
-    return _shape(
-        rows.filter(F.col(ODD_ROW).isNotNull()).select(
-            F.when(cells > width, "extra-cell").otherwise("missing-cell").alias("rule"),
-            F.lit(None).cast("string").alias("column"),
-            key.alias("key"),
-            cells.cast("string").alias("value"),
-            F.lit(1).alias("n"),
-        ),
-        spec.name,
-    )
+    found = rows.filter(F.col(ODD_ROW).isNotNull()).select(odd_row_rule(width).alias("f"), key_text(spec.key).alias("key"))
+    return shaped(found.select("f.rule", "f.column", "key", "f.value", F.lit(1).alias("n")), spec.name)
 
 
 def volume_faults(raw: DataFrame, table: str) -> DataFrame:
@@ -155,7 +157,7 @@ def volume_faults(raw: DataFrame, table: str) -> DataFrame:
     volumes = raw.groupBy("sample").agg(
         F.min("sampvol_m3").alias("low"), F.max("sampvol_m3").alias("high")
     )
-    return _shape(
+    return shaped(
         volumes.filter("low < high").select(
             F.lit("volume-warning").alias("rule"),
             F.lit("sampvol_m3").alias("column"),
@@ -167,29 +169,54 @@ def volume_faults(raw: DataFrame, table: str) -> DataFrame:
     )
 
 
+def keys_of(spec: Table) -> dict[tuple[str, ...], str]:
+    """The columns that must not repeat, and the rule that says so."""
+    keyed = {(f.name,): "unique" for f in spec.fields if f.unique and (f.name,) != spec.key}
+    return keyed | ({spec.key: "primary-key"} if spec.key else {})
+
+
 def table_faults(text: DataFrame, spec: Table) -> DataFrame:
     """All single-table rules: cells, primary key, unique columns.
 
     Keys are compared by typed value, so '1' and '01' of an integer key are the same key.
     """
     faults = [cell_faults(text, spec)]
-    keyed = {(f.name,): "unique" for f in spec.fields if f.unique and (f.name,) != spec.key}
-    if spec.key:
-        keyed[spec.key] = "primary-key"
-    for key, rule in keyed.items():
+    for key, rule in keys_of(spec).items():
         values = text.select(*[parse(F.col(k).cast("string"), spec[k].kind).alias(k) for k in key])
         faults.append(unique_faults(values, spec.name, key, rule))
     return reduce(DataFrame.unionByName, faults)
 
 
+def links_faults(tables: Mapping[str, DataFrame], links: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """Faults of many links (child table, column, parent table, key) in one shuffle.
+
+    Each table is read once and gives its values under every link that it is a side of. One
+    aggregate per (link, value) tells how many child rows there are and whether a parent is;
+    partial sums make a popular value one row per task. NULL passes.
+    """
+    sides: dict[str, list[Column]] = {}
+    for n, (child, column, parent, key) in enumerate(links):
+        for table, name, rows, there in ((child, column, 1, 0), (parent, key, 0, 1)):
+            value = F.col(name).cast("string").alias("value")
+            sides.setdefault(table, []).append(F.struct(F.lit(n).alias("link"), value, F.lit(rows).alias("rows"), F.lit(there).alias("there")))
+    tagged = [tables[t].select(F.explode(F.array(*entries)).alias("e")).select("e.*").filter("value IS NOT NULL") for t, entries in sides.items()]
+    met = reduce(DataFrame.unionByName, tagged).groupBy("link", "value").agg(F.sum("rows").alias("rows"), F.max("there").alias("there"))
+    names = F.array(*[F.struct(F.lit(c).alias("child"), F.lit(k).alias("column"), F.lit(p).alias("parent")) for c, k, p, _ in links])
+    orphans = met.filter("rows > 0 AND there = 0").select(F.element_at(names, F.col("link") + 1).alias("of"), "value", "rows")
+    return orphans.select(
+        F.col("of.child").alias("table"),
+        F.lit("foreign-key").alias("rule"),
+        F.col("of.column").alias("column"),
+        F.col("value").alias("key"),
+        F.col("of.parent").alias("value"),
+        F.col("rows").cast("bigint").alias("n"),
+    )
+
+
 def all_link_faults(tables: Mapping[str, DataFrame]) -> DataFrame | None:
     """Foreign-key faults for every declared link whose two tables are at hand."""
-    found = [
-        link_faults(tables[child], tables[parent], child, column, key, parent)
-        for child, column, parent, key in LINKS
-        if child in tables and parent in tables
-    ]
-    return reduce(DataFrame.unionByName, found) if found else None
+    links = [(child, column, parent, key) for child, column, parent, key in LINKS if child in tables and parent in tables]
+    return links_faults(tables, links) if links else None
 
 
 def message() -> Column:

@@ -21,6 +21,7 @@ from pelagia.operators.diversity import (
     shares_of_total,
     zooplankton_indices,
 )
+from pelagia.operators.ingest import ingest_all
 from pelagia.operators.nearest import band_join, nearest_in_time
 from pelagia.operators.profile import below_reference, reference_level
 from pelagia.plans import taxa as taxon_plans
@@ -687,17 +688,54 @@ def dq_sample_volumes(spark, sf):
 _ALL_TRIP = " UNION ALL ".join(_REQUIRED + _TYPE + _RANGE + _UNIQUE)
 
 
-@query(f"""SELECT * FROM (WITH faults AS ({_ALL_TRIP}), errors AS (SELECT * FROM faults WHERE rule <> 'range-warning')
+_REPORT = f"""SELECT * FROM (WITH faults AS ({_ALL_TRIP}), errors AS (SELECT * FROM faults WHERE rule <> 'range-warning')
 SELECT t."table", (SELECT coalesce(sum(n), 0) FROM errors e WHERE e."table" = t."table") = 0 AS valid,
   CAST((SELECT coalesce(sum(n), 0) FROM errors e WHERE e."table" = t."table") AS BIGINT) AS errors,
   CAST((SELECT coalesce(sum(n), 0) FROM faults f WHERE f."table" = t."table" AND rule = 'range-warning') AS BIGINT) AS warnings,
   coalesce((SELECT string_agg(rule || ' in "' || "column" || '": ' || coalesce(value, 'NULL'), ' / ' ORDER BY place)
    FROM (SELECT *, row_number() OVER (PARTITION BY "table" ORDER BY rule, "column", key NULLS LAST, value NULLS LAST) AS place FROM errors) r
    WHERE place <= 5 AND r."table" = t."table"), '') AS messages
-FROM (VALUES ('bgc_trip'), ('cpr_samp')) t("table")) whole""")
+FROM (VALUES ('bgc_trip'), ('cpr_samp')) t("table")) whole"""
+
+
+@query(_REPORT)
 def dq_report(spark, sf):
     """The faulty visits and a clean table, as one report."""
     clean = comparable(derived(spark, sf, "cpr_samp"))
     faults = Q.table_faults(*_dirty(spark, sf)).unionByName(Q.table_faults(clean, TABLES["cpr_samp"]))
     listed = spark.createDataFrame([("bgc_trip",), ("cpr_samp",)], "table string")
     return Q.report(faults, listed).withColumn("messages", F.array_join("messages", " / "))
+
+
+_LINKED = {
+    "bgc_phyto_raw": ("trip_code", "{orphan_counts}", "bgc_trip"),
+    "bgc_zoop_raw": ("trip_code", "{bgc_zoop_raw}", "bgc_trip"),
+    "bgc_pigments": ("trip_code", "{bgc_pigments}", "bgc_trip"),
+    "cpr_phyto_raw": ("sample", "{cpr_phyto_raw}", "cpr_samp"),
+    "cpr_zoop_raw": ("sample", "{cpr_zoop_raw}", "cpr_samp"),
+}
+# Parents without some of their rows, so that links of both programmes have orphans.
+_PARENTS = {"bgc_trip": "SELECT * FROM {bgc_trip} WHERE NOT trip_code LIKE '%7'", "cpr_samp": "SELECT * FROM {cpr_samp} WHERE NOT sample LIKE '%3'"}
+
+
+@query(" UNION ALL ".join(f"""SELECT '{child}' AS "table", 'foreign-key' AS rule, '{key}' AS "column", CAST({key} AS VARCHAR) AS key, '{parent}' AS value, count(*) AS n
+FROM {source} c WHERE NOT EXISTS (SELECT 1 FROM ({_PARENTS[parent]}) p WHERE p.{key} = c.{key}) AND {key} IS NOT NULL GROUP BY {key}"""
+    for child, (key, source, parent) in _LINKED.items()))
+def dq_links(spark, sf):
+    """All declared links between the tables at hand, in one shuffle."""
+    tables = {child: derived(spark, sf, source.strip("{}")) for child, (_, source, _) in _LINKED.items()}
+    tables["bgc_trip"] = derived(spark, sf, "bgc_trip").filter(~F.col("trip_code").like("%7"))
+    tables["cpr_samp"] = derived(spark, sf, "cpr_samp").filter(~F.col("sample").like("%3"))
+    return Q.all_link_faults(tables)
+
+
+@query(_REPORT)
+def ingest_report(spark, sf):
+    """The same tables landed as CSV: stored and validated with one scan, and reported."""
+    landing, out = scratch_dir(spark, "landing"), scratch_dir(spark, "checked")
+    dirty, trip = _dirty(spark, sf)
+    _land_csv(dirty, f"{landing}/bgc_trip.csv")
+    _land_csv(derived(spark, sf, "cpr_samp"), f"{landing}/cpr_samp.csv")
+    _, faults = ingest_all(spark, landing, out, {"bgc_trip": trip, "cpr_samp": TABLES["cpr_samp"]})
+    listed = spark.createDataFrame([("bgc_trip",), ("cpr_samp",)], "table string")
+    return Q.report(faults, listed).withColumn("messages", F.array_join("messages", " / "))
