@@ -40,7 +40,7 @@ from .tokens import Encoder
 CAPACITY = 2048
 #: Pieces of one problem, islands of a problem, packings on an island, and generations an epoch.
 #: Evolution ends early only where a packing has as few bins as any can have.
-PROBLEM, ISLANDS, POPULATION, EPOCHS, GENERATIONS = 4096, 2, 6, 3, 40
+PROBLEM, ISLANDS, POPULATION, EPOCHS, GENERATIONS = 4096, 2, 6, 3, 16
 #: Bins filled less than this, and at most one of so many of a problem, are packed again together
 #: with those of the other problems.
 FILLED, AGAIN = 0.98, 8
@@ -145,12 +145,15 @@ def mutate(bins: list[list[int]], size: list[int], capacity: int, rng: Random) -
 
 
 def first_packings(size: list[int], capacity: int, rng: Random, n: int) -> list[list[list[int]]]:
-    """Best fit over the pieces from long to short, exactly and with more and more disorder."""
-    out = []
+    """Best fit over the pieces from long to short, exactly and with more and more disorder; one
+    that no packing can beat is the last."""
+    out, least = [], -(-sum(size) // capacity)
     for k in range(n):
         noise = 0.05 * k * capacity
         order = sorted(range(len(size)), key=lambda i: -size[i] - noise * rng.random())
         out.append(best_fit([], order, size, capacity))
+        if len(out[-1]) <= least:
+            break
     return out
 
 

@@ -17,7 +17,7 @@ def test_operators_keep_every_piece_once_and_fit():
     rng = Random(1)
     size = [rng.randint(1, 2048) for _ in range(300)]
     population = first_packings(size, 2048, rng, 4)
-    child = mutate(crossover(population[0], population[3], size, 2048, rng), size, 2048, rng)
+    child = mutate(crossover(population[0], population[-1], size, 2048, rng), size, 2048, rng)
     best = evolve(population, size, 2048, rng, 12)[0]
     for bins in (*population, child, best, best_fit([], list(range(300)), size, 2048)):
         assert whole(bins, 300) and all(sum(size[i] for i in b) <= 2048 for b in bins)
