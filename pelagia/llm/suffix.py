@@ -11,7 +11,8 @@
    built column by column: each round puts one more symbol in front of every string and reads the
    collection's Burrows-Wheeler transform once, from front to back, in a stable distribution by
    symbol that yields the next order. Neighbours that share LENGTH bytes are one group; each
-   member outside the group's smallest document is covered.
+   member outside the group's smallest document is covered. Strings that share too little around
+   their name to have a window in common are left out before.
 4. Cut. Covered windows meet their documents; their union is what is removed.
 
 A name with more than MOST distinct segments (what follows a passage that very many documents
@@ -84,15 +85,20 @@ class Prefixes:
             return mix((total[high] - total[low]) * self.down[low] + (high - low).astype(np.uint64))
 
 
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """The hash of the GRAM bytes from each place on."""
+    w = _words(data)
+    with np.errstate(over="ignore"):
+        last, middle = w[GRAM - 8 :], w[GRAM // 2 - 4 : len(w) - GRAM + GRAM // 2 + 4]
+        return mix(mix(w[: len(last)] * _ODD ^ middle[: len(last)]) + last)
+
+
 def segments(data: np.ndarray, starts: np.ndarray, prefixes: Prefixes) -> tuple[np.ndarray, ...]:
     """(name, low, windows, hash) of the segments of the texts that begin at ``starts``."""
     none = np.zeros(0, np.int64)
     if len(data) < LENGTH:
         return none, none, none, none
-    w = _words(data)
-    with np.errstate(over="ignore"):
-        last, middle = w[GRAM - 8 :], w[GRAM // 2 - 4 : len(w) - GRAM + GRAM // 2 + 4]
-        grams = mix(mix(w[: len(last)] * _ODD ^ middle[: len(last)]) + last)
+    grams = gram_hashes(data)
     name = _running(grams, LENGTH - GRAM + 1, np.minimum)
     owner = np.zeros(len(data), np.int32)
     owner[starts[1:]] = 1
@@ -257,6 +263,39 @@ def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def may_share(strings: list[bytes], names: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Which strings can have a window of another document's string of the same name.
+
+    A window holds the string that names it and LENGTH - GRAM bytes around that, half of them on
+    one side. So two strings with a window in common also share the named string with as many
+    bytes on its left or on its right; one that shares neither with another document is done.
+    Where the named string stands twice, the string is not judged.
+    """
+    side = (LENGTH - GRAM) // 2
+    sizes = np.array([len(s) for s in strings], np.int64)
+    data = np.frombuffer(b"".join(strings), np.uint8)
+    starts = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(strings)), sizes)[: len(data) - GRAM + 1]
+    at = np.flatnonzero((gram_hashes(data) == names.view(np.uint64)[owner]) & (np.arange(len(owner)) - starts[owner] + GRAM <= sizes[owner]))
+    own = owner[at]
+    prefixes = Prefixes()
+    kept = np.bincount(own, minlength=len(strings)) != 1
+    for low, high in ((at - side, at + GRAM), (at, at + GRAM + side)):
+        inside = (low >= starts[own]) & (high <= starts[own] + sizes[own])
+        who = own[inside]
+        content = prefixes.of(data, low[inside], high[inside])
+        # Equal (name, bytes) of several documents stand together in this order.
+        order = np.lexsort((docs[who], content, names[who]))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(names[who][order]) != 0) | (content[order][1:] != content[order][:-1])
+        group = np.cumsum(new) - 1
+        firsts = np.flatnonzero(new)
+        lasts = np.append(firsts[1:], len(order)) - 1
+        several = docs[who][order][firsts] != docs[who][order][lasts] if len(order) else np.zeros(0, bool)
+        kept[who[order][several[group]]] = True
+    return kept
+
+
 def _collection(t: pa.Table) -> pa.RecordBatch:
     """Segments of whole names to the covered runs of each."""
     coded = t["bytes"].combine_chunks().dictionary_encode()
@@ -269,7 +308,10 @@ def _collection(t: pa.Table) -> pa.RecordBatch:
     key = np.empty(len(order), np.int64)
     key[order] = np.cumsum(new) - 1
     firsts = order[new]
-    string, at, n = covered_windows(coded.dictionary.take(pa.array(code[firsts])).to_pylist(), doc[firsts])
+    strings = coded.dictionary.take(pa.array(code[firsts])).to_pylist()
+    some = np.flatnonzero(may_share(strings, name[firsts], doc[firsts]))
+    string, at, n = covered_windows([strings[i] for i in some], doc[firsts[some]])
+    string = some[string]
     cuts = np.searchsorted(string, np.arange(len(firsts) + 1))
     sizes = np.diff(cuts)[key]
     own = np.repeat(np.arange(len(key)), sizes)

@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from pelagia.llm.suffix import Prefixes, covered_windows, remove_repeats, segments, suffix_order
+from pelagia.llm.suffix import Prefixes, covered_windows, may_share, remove_repeats, segments, suffix_order
 
 
 def brute(rows):
@@ -43,6 +43,26 @@ def test_covered_windows_of_a_collection():
     assert sorted(zip(s.tolist(), at.tolist(), n.tolist())) == [(0, 10, 21), (2, 0, 1)]
 
 
+def test_strings_that_share_a_window_are_never_left_out():
+    rng = random.Random(6)
+    for _ in range(60):
+        texts = []
+        passage = bytes(rng.choice(b"abcdef ") for _ in range(rng.choice([50, 51, 64, 90])))
+        for k in range(rng.randint(2, 6)):
+            around = [bytes(rng.choice(b"abcdef ") for _ in range(rng.randint(0, 60))) for _ in range(2)]
+            texts.append(around[0] + (passage if rng.random() < 0.7 else b"") + around[1])
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        starts = np.cumsum([0] + [len(t) for t in texts])[:-1]
+        name, begin, windows, _ = segments(data, starts, Prefixes())
+        doc = np.searchsorted(starts, begin, "right") - 1
+        strings = [data[b : b + w + 49].tobytes() for b, w in zip(begin, windows)]
+        kept = may_share(strings, name, doc)
+        for a in range(len(strings)):
+            own = {strings[a][k : k + 50] for k in range(len(strings[a]) - 49)}
+            if any(name[b] == name[a] and doc[b] != doc[a] and any(strings[b][k : k + 50] in own for k in range(len(strings[b]) - 49)) for b in range(len(strings))):
+                assert kept[a]
+
+
 @pytest.mark.parametrize("most", [20_000, 1])
 def test_removal_matches_brute_force(make, prose, most):
     passage = prose(25, 1)
