@@ -117,7 +117,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
-        "identical",
+        F.when(F.col("identical"), True).otherwise(F.raise_error(F.concat(F.lit("does not read back identical: "), F.col("conv_id").cast("string"))).cast("boolean")).alias("identical"),
     )
 
 

@@ -19,7 +19,6 @@ Ties between languages go to the first in alphabetical order. Repeated rows are
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +32,11 @@ WINDOW, WIDTH, ORDERS = 800, 8192, 3
 PER_LANGUAGE, LANDMARKS, RIDGE = 300, 160, 1e-3
 #: Windows in one matrix product.
 BLOCK = 256
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; powers, fractions and other numbers are none."""
+    return any(map(str.isalpha, text))
 
 
 def presence(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -82,25 +85,39 @@ class Classifier:
         alpha = np.linalg.solve(left, knm.T @ y)
         self.weights = (marks.T @ alpha).astype(np.float32)
 
+    def _blocks(self, texts: list[str]) -> Iterator[tuple[list[int], list[str], list[int]]]:
+        """(text, piece, windows of it) of letter texts, up to BLOCK windows at a time. A long text
+        is cut between windows; a piece has the letters that its last n-grams reach into."""
+        own, pieces, windows = [], [], []
+        for i, text in enumerate(texts):
+            if not (self.langs and has_letter(text)):
+                continue
+            low = text.lower()
+            for at in range(0, len(low), WINDOW * BLOCK):
+                n = min(BLOCK, -(-(len(low) - at) // WINDOW))
+                if sum(windows) + n > BLOCK:
+                    yield own, pieces, windows
+                    own, pieces, windows = [], [], []
+                own.append(i)
+                pieces.append(low[at : at + WINDOW * BLOCK + ORDERS - 1])
+                windows.append(n)
+        if own:
+            yield own, pieces, windows
+
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
-        some = [i for i, t in enumerate(texts) if self.langs and _LETTER.search(t)]
         out: list[tuple[str, float]] = [("und", 0.0)] * len(texts)
-        low = 0
-        while low < len(some):
-            high, windows = low, 0
-            while high < len(some) and (high == low or windows < BLOCK):
-                windows += -(-len(texts[some[high]]) // WINDOW)
-                high += 1
-            part = some[low:high]
-            x, owner = presence([texts[i] for i in part])
-            kernel = (x @ self.weights) / np.sqrt(np.maximum(1, x.sum(1, keepdims=True)))
-            total = np.zeros((len(part), len(self.langs)))
-            np.add.at(total, owner, kernel)
-            mean = total / np.bincount(owner, minlength=len(part))[:, None]
-            best = mean.argmax(1)
-            for i, b, m in zip(part, best, mean):
-                out[i] = (self.langs[b], float(np.clip((m[b] + 1) / 2, 0.0, 1.0)))
-            low = high
+        total, count = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
+        for own, pieces, windows in self._blocks(texts):
+            x, piece = presence(pieces)
+            place = np.arange(len(piece)) - np.searchsorted(piece, piece)
+            counted = place < np.array(windows)[piece]  # what only the letters behind a cut make is no window
+            x, text = x[counted], np.array(own)[piece[counted]]
+            np.add.at(total, text, (x @ self.weights) / np.sqrt(np.maximum(1, x.sum(1, keepdims=True))))
+            np.add.at(count, text, 1)
+        for i in np.flatnonzero(count):
+            mean = total[i] / count[i]
+            best = int(mean.argmax())
+            out[i] = (self.langs[best], float(np.clip((mean[best] + 1) / 2, 0.0, 1.0)))
         return out
 
 

@@ -273,8 +273,10 @@ def _learn(labelled: DataFrame, scratch: Scratch) -> Model:
     rows = scratch.keep(rows.dropDuplicates(["text", "toxic"]), "rows")
     total, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     base = toxic / total if total else 0.0
-    if not toxic or toxic == total:
+    if not toxic:
         return Model([], {}, {}, 0.0)
+    if toxic == total:  # nothing tells the labels apart, and label 1 is all there is
+        return Model([], {}, {}, (toxic + 1) / (total + 2))
     counted = rows.mapInArrow(_count, "word string, n long, toxic long, free long, free_toxic long")
     words = scratch.keep(counted.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("n", "toxic", "free", "free_toxic"))), "words")
     # Words of any document that no label can lift above chance leave with the aggregate.

@@ -72,6 +72,27 @@ def test_kernel_is_presence_over_geometric_mean():
     assert x[0].sum() == 3 + 3 + 3 and x[0] @ x[1] == 3 and x[2].sum() == 0
 
 
+def test_long_texts_are_read_in_blocks_of_windows(monkeypatch):
+    rng = np.random.default_rng(4)
+    letters = list("abcdefghij klmno")
+    texts = ["".join(rng.choice(letters, n)) for n in (10, 799, 800, 801, 5000, 16_003)] + ["²½ 12", "İ" * 3000]
+    model = langid.Classifier([t[:800] for t in texts[2:6]] + ["zzz zz zzzz"] * 2, ["a", "b", "a", "b", "c", "c"])
+    whole = model.predict(texts)
+    monkeypatch.setattr(langid, "BLOCK", 3)
+    assert all(a[0] == b[0] and abs(a[1] - b[1]) < 1e-6 for a, b in zip(whole, model.predict(texts)))
+    assert whole[6] == ("und", 0.0)
+    for i in (0, 3, 5):  # brute force: the kernel of each window with the weights, averaged
+        x, _ = langid.presence([texts[i]])
+        mean = ((x @ model.weights) / np.sqrt(np.maximum(1, x.sum(1, keepdims=True)))).mean(0)
+        assert whole[i][0] == model.langs[mean.argmax()] and abs(whole[i][1] - np.clip((mean.max() + 1) / 2, 0, 1)) < 1e-6
+
+
+def test_nothing_but_toxic_labels_gives_high_scores(spark, make):
+    rows = spark.createDataFrame([(f"word{k} vile", 1) for k in range(50)], "text string, toxic int")
+    got = toxicity.with_scores(make([(1, "vile"), (2, None)]), toxicity.learn(rows), name="s").collect()
+    assert all(r.s > 0.9 for r in got)
+
+
 def test_network_gradients_and_normalisation():
     rng = np.random.default_rng(0)
     net = lm.Network(np.arange(70, 0, -1).astype(float), 30, 20)
