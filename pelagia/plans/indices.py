@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,18 +94,46 @@ def profile_indices(c: Catalog) -> DataFrame:
     return below_reference(rows, levels, key, depth, temp, sal, chl, keep_all=True)
 
 
+# ---- facts: what the index products join, one row per key each ----------------------------
+
+Fact = Callable[[Catalog], DataFrame]
+
+NRS_FACTS: dict[str, Fact] = {
+    "nrs_zooplankton_fact": lambda c: zooplankton_indices(c["bgc_zoop_raw"], c["zoopinfo"], "trip_code"),
+    "nrs_phytoplankton_fact": lambda c: phytoplankton_indices(
+        c["bgc_phyto_raw"], "trip_code", "cell_l", "biovolume_um3l", "PhytoBiomassCarbon_pgL", "PhytoAbundance_CellsL"
+    ),
+    "nrs_profile_fact": profile_indices,
+    "nrs_chemistry_fact": lambda c: chemistry_means(c["bgc_chemistry"]),
+    "nrs_pigment_fact": lambda c: pigment_means(c["bgc_pigments"]),
+}
+CPR_FACTS: dict[str, Fact] = {
+    "cpr_zooplankton_fact": lambda c: zooplankton_indices(c["cpr_zoop_raw"], c["zoopinfo"], "sample"),
+    "cpr_phytoplankton_fact": lambda c: phytoplankton_indices(
+        c["cpr_phyto_raw"], "sample", "phyto_abundance_m3", "biovol_um3m3", "PhytoBiomassCarbon_pgm3", "PhytoAbundance_Cellsm3"
+    ),
+}
+# Index product -> the key of its star, its base as it is stored by key, and its facts.
+STARS: dict[str, tuple[str, str, dict[str, Fact]]] = {
+    "nrs_derived_indices_data": ("trip_code", "nrs_trips_by_key", NRS_FACTS),
+    "cpr_derived_indices_data": ("sample", "cpr_samples_by_key", CPR_FACTS),
+}
+BASES: dict[str, Fact] = {"nrs_trips_by_key": lambda c: c["bgc_trip_metadata"], "cpr_samples_by_key": lambda c: c["cpr_samp"]}
+
+
+def stored_or_made(c: Catalog, name: str, make: Fact) -> DataFrame:
+    """A fact that a build has stored by its key, else as planned from its tables."""
+    return c[name] if c.has(name) else make(c)
+
+
+def facts_of(c: Catalog, facts: dict[str, Fact]) -> list[DataFrame]:
+    return [stored_or_made(c, name, make) for name, make in facts.items()]
+
+
 @product("nrs_derived_indices_data")
 def nrs_indices(c: Catalog) -> DataFrame:
-    trips = c["bgc_trip_metadata"].filter(F.col("Project") == PROJECT)
-    facts = [
-        zooplankton_indices(c["bgc_zoop_raw"], c["zoopinfo"], "trip_code"),
-        phytoplankton_indices(
-            c["bgc_phyto_raw"], "trip_code", "cell_l", "biovolume_um3l", "PhytoBiomassCarbon_pgL", "PhytoAbundance_CellsL"
-        ),
-        profile_indices(c),
-        chemistry_means(c["bgc_chemistry"]),
-        pigment_means(c["bgc_pigments"]),
-    ]
+    trips = stored_or_made(c, "nrs_trips_by_key", BASES["nrs_trips_by_key"]).filter(F.col("Project") == PROJECT)
+    facts = facts_of(c, NRS_FACTS)
     return star(trips, "trip_code", facts).select(
         "Project",
         "StationName",
@@ -133,13 +163,8 @@ def nrs_indices(c: Catalog) -> DataFrame:
 
 @product("cpr_derived_indices_data")
 def cpr_indices(c: Catalog) -> DataFrame:
-    facts = [
-        zooplankton_indices(c["cpr_zoop_raw"], c["zoopinfo"], "sample"),
-        phytoplankton_indices(
-            c["cpr_phyto_raw"], "sample", "phyto_abundance_m3", "biovol_um3m3", "PhytoBiomassCarbon_pgm3", "PhytoAbundance_Cellsm3"
-        ),
-    ]
-    return star(c["cpr_samp"], "sample", facts).select(
+    samples = stored_or_made(c, "cpr_samples_by_key", BASES["cpr_samples_by_key"])
+    return star(samples, "sample", facts_of(c, CPR_FACTS)).select(
         F.col("trip_code").alias("TripCode"),
         F.col("sample").alias("Sample_ID"),
         F.col("latitude").alias("Latitude"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..sources.placed import write_placed
 from ..sources.snapshot import write_snapshot
 from . import acoustic, ctd, fish, indices, metadata, taxa, water  # noqa: F401  (register products)
 from .catalog import PRODUCTS, Catalog
@@ -35,12 +36,16 @@ def build_order(catalog: Catalog, names: list[str] | None = None) -> list[str]:
 
 
 def build(
-    catalog: Catalog, out: str, names: list[str] | None = None, store_views: bool = False
+    catalog: Catalog, out: str, names: list[str] | None = None, store_views: bool = False, buckets: int | None = None
 ) -> dict[str, DataFrame]:
     """Compute and store products under ``out/<name>``; dependants read the stored copy.
 
     Raw counts that several of the products show are reduced first, once for all of them, and
     stored by level of naming under ``out/<raw table>_cells``.
+
+    With ``buckets`` the facts of the index products and what they are joined to are stored by
+    key, in so many buckets, so that their joins move no rows; choose it so that a bucket of the
+    largest fact fits a task.
     """
     built = {}
     order = build_order(catalog, names)
@@ -51,6 +56,11 @@ def build(
             for reader in readers & set(order):
                 catalog.forget(reader)
     for name in order:
+        if buckets and name in indices.STARS:
+            key, base, facts = indices.STARS[name]
+            for fact, make in {base: indices.BASES[base], **facts}.items():
+                catalog.put(fact, write_placed(make(catalog), f"{out}/{fact}", key, buckets))
+            catalog.forget(name)
         df = catalog[name]
         if store_views or name not in PLAIN_VIEWS:
             df = write_snapshot(df, f"{out}/{name}")

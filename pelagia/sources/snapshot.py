@@ -37,22 +37,36 @@ def write_snapshot(df: DataFrame, path: str, keep: int = 2, by: str | None = Non
     every upstream product. The last ``keep`` versions stay, so that readers of the one
     before are not cut off. ``by`` lays the rows of each of its few values in a folder of their own.
     """
-    spark = df.sparkSession
-    before = _pointers(spark, path)
-    number, version = (before[-1][0] + 1 if before else 1), uuid.uuid4().hex
+    spark, version = df.sparkSession, uuid.uuid4().hex
     (df.write.partitionBy(by) if by else df.write).parquet(f"{path}/version/{version}")
+    turn_pointer(spark, path, version, keep)
+    return read_snapshot(spark, path, df.schema)
+
+
+def turn_pointer(spark: SparkSession, path: str, version: str, keep: int) -> list[str]:
+    """Make a written version the current one, and remove and return those that are too old."""
+    before = _pointers(spark, path)
+    number = before[-1][0] + 1 if before else 1
     # The pointer appears whole: Spark moves a finished file into place.
     line = spark.range(1).selectExpr(f"'{number} {version}' AS value").coalesce(1)
     line.write.text(f"{path}/pointer/{number:012d}")
-    for n, old in before[: max(0, len(before) + 1 - keep)]:
+    gone = before[: max(0, len(before) + 1 - keep)]
+    for n, old in gone:
         remove_dir(spark, f"{path}/pointer/{n:012d}")
         remove_dir(spark, f"{path}/version/{old}")
-    return read_snapshot(spark, path, df.schema)
+        remove_dir(spark, f"{path}/layout/{old}")
+    return [old for _, old in gone]
 
 
-def read_snapshot(spark: SparkSession, path: str, schema=None) -> DataFrame:
+def read_pointer(spark: SparkSession, path: str) -> str:
+    """The current version."""
     found = _pointers(spark, path)
     if not found:
         raise FileNotFoundError(f"no snapshot at {path}")
+    return found[-1][1]
+
+
+def read_snapshot(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    version = read_pointer(spark, path)
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{path}/version/{found[-1][1]}")
+    return reader.parquet(f"{path}/version/{version}")
