@@ -86,3 +86,20 @@ def test_shares_sum_to_one(spark):
     out = shares_of_total(spark.createDataFrame(rows, "k string, i bigint, v double"), "k", "i", "v")
     for r in out.groupBy("k").agg(F.sum("share").alias("s")).collect():
         assert r.s == pytest.approx(1)
+
+
+def test_distinct_counts_merge_exactly(spark):
+    from pelagia.operators.distinct import dense_codes, distinct_counts, merged, value_bitmaps
+
+    rows = spark.range(40_000).select((F.col("id") % 37).alias("a"), (F.col("id") % 5).alias("b"), F.when(F.col("id") % 11 > 0, F.concat(F.lit("v"), (F.col("id") * 7919) % 36_000)).alias("v"))
+    codes = dense_codes(rows, "v", parts=16)
+    got = codes.agg(F.count("*"), F.min("code"), F.max("code"), F.count_distinct("code"), F.count_distinct("v")).first()
+    assert got[0] == got[3] == got[4] == got[2] + 1 and got[1] == 0
+    bits = value_bitmaps(rows, ["a", "b"], "v", codes)
+    assert bits.select("bucket").distinct().count() > 1  # values of several bitmaps
+    for keys in (["a", "b"], ["a"], ["b"]):
+        want = rows.groupBy(*keys).agg(F.count_distinct("v").alias("n"))
+        assert sorted(map(tuple, distinct_counts(bits, keys).collect())) == sorted(map(tuple, want.collect()))
+        assert sorted(map(tuple, distinct_counts(merged(bits, keys), keys).collect())) == sorted(map(tuple, want.collect()))
+    nothing = rows.limit(0)
+    assert distinct_counts(value_bitmaps(nothing, ["a"], "v", dense_codes(nothing, "v")), ["a"]).count() == 0

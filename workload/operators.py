@@ -21,6 +21,7 @@ from pelagia.operators.diversity import (
     shares_of_total,
     zooplankton_indices,
 )
+from pelagia.operators.distinct import dense_codes, distinct_counts, value_bitmaps
 from pelagia.operators.ingest import ingest_all
 from pelagia.operators.nearest import band_join, nearest_in_time
 from pelagia.operators.profile import below_reference, reference_level
@@ -739,3 +740,20 @@ def ingest_report(spark, sf):
     _, faults = ingest_all(spark, landing, out, {"bgc_trip": trip, "cpr_samp": TABLES["cpr_samp"]})
     listed = spark.createDataFrame([("bgc_trip",), ("cpr_samp",)], "table string")
     return Q.report(faults, listed).withColumn("messages", F.array_join("messages", " / "))
+
+
+_VISITED = "SELECT taxon_name, t.* FROM {bgc_phyto_raw} r JOIN (SELECT trip_code, stationcode, CAST(year(sampledateutc) AS VARCHAR) AS year FROM {bgc_trip}) t ON t.trip_code = r.trip_code"
+
+
+@query(f"""SELECT 'trip' AS level, trip_code AS key, count(DISTINCT taxon_name) AS n FROM ({_VISITED}) v GROUP BY trip_code
+UNION ALL SELECT 'station', stationcode, count(DISTINCT taxon_name) FROM ({_VISITED}) v GROUP BY stationcode
+UNION ALL SELECT 'year', year, count(DISTINCT taxon_name) FROM ({_VISITED}) v GROUP BY year""")
+def distinct_taxa_merged(spark, sf):
+    """Taxa per visit, station and year, each counted from one stored table of bitmaps."""
+    seen: dict = {}
+    trips = derived(spark, sf, "bgc_trip", seen).select("trip_code", "stationcode", F.year("sampledateutc").cast("string").alias("year"))
+    rows = derived(spark, sf, "bgc_phyto_raw", seen).select("trip_code", "taxon_name").join(trips, "trip_code")
+    keys = ["trip_code", "stationcode", "year"]
+    bitmaps = write_snapshot(value_bitmaps(rows, keys, "taxon_name", dense_codes(rows, "taxon_name")), scratch_dir(spark, "bitmaps"))
+    levels = [distinct_counts(bitmaps, [k]).select(F.lit(name).alias("level"), F.col(k).alias("key"), "n") for name, k in zip(("trip", "station", "year"), keys)]
+    return reduce(DataFrame.unionByName, levels)
