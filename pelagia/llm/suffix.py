@@ -273,26 +273,39 @@ def may_share(strings: list[bytes], names: np.ndarray, docs: np.ndarray) -> np.n
     """
     side = (LENGTH - GRAM) // 2
     sizes = np.array([len(s) for s in strings], np.int64)
-    data = np.frombuffer(b"".join(strings), np.uint8)
-    starts = np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(strings)), sizes)[: len(data) - GRAM + 1]
-    at = np.flatnonzero((gram_hashes(data) == names.view(np.uint64)[owner]) & (np.arange(len(owner)) - starts[owner] + GRAM <= sizes[owner]))
-    own = owner[at]
-    prefixes = Prefixes()
-    kept = np.bincount(own, minlength=len(strings)) != 1
-    for low, high in ((at - side, at + GRAM), (at, at + GRAM + side)):
-        inside = (low >= starts[own]) & (high <= starts[own] + sizes[own])
-        who = own[inside]
-        content = prefixes.of(data, low[inside], high[inside])
+    found = [np.zeros((4, 0), np.int64)]  # string, side, hash of that side, and 0 for a place of the name alone
+    low = 0
+    while low < len(strings):  # some strings at a time, so that hashes of all places stay few
+        high = max(low + 1, int(np.searchsorted(np.cumsum(sizes[low:]), CHUNK // 2, "right")) + low)
+        data = np.frombuffer(b"".join(strings[low:high]), np.uint8)
+        starts = np.cumsum(sizes[low:high]) - sizes[low:high]
+        owner = np.repeat(np.arange(low, high), sizes[low:high])[: len(data) - GRAM + 1]
+        at = np.flatnonzero((gram_hashes(data) == names.view(np.uint64)[owner]) & (np.arange(len(owner)) - starts[owner - low] + GRAM <= sizes[owner]))
+        own = owner[at]
+        begin = starts[own - low]
+        for left in (True, False):
+            first = at - side if left else at
+            inside = (first >= begin) & (first + GRAM + side <= begin + sizes[own])
+            bytes_ = data[first[inside][:, None] + np.arange(GRAM + side)].astype(np.uint64)
+            with np.errstate(over="ignore"):
+                content = mix((mix(bytes_ + _ODD) * mix(np.arange(1, GRAM + side + 1, dtype=np.uint64) * _ODD)).sum(1, dtype=np.uint64))
+            found.append(np.stack([own[inside], np.full(inside.sum(), left), content.view(np.int64), np.ones(inside.sum(), np.int64)]))
+        found.append(np.stack([own, np.zeros_like(own), np.zeros_like(own), np.zeros_like(own)]))
+        low = high
+    who, left, content, judged = np.concatenate(found, 1)
+    kept = np.bincount(who[judged == 0], minlength=len(strings)) != 1
+    for side_ in (1, 0):
+        own, bytes_ = who[(judged == 1) & (left == side_)], content[(judged == 1) & (left == side_)]
+        if not len(own):
+            continue
         # Equal (name, bytes) of several documents stand together in this order.
-        order = np.lexsort((docs[who], content, names[who]))
+        order = np.lexsort((docs[own], bytes_, names[own]))
         new = np.ones(len(order), bool)
-        new[1:] = (np.diff(names[who][order]) != 0) | (content[order][1:] != content[order][:-1])
-        group = np.cumsum(new) - 1
+        new[1:] = (np.diff(names[own][order]) != 0) | (np.diff(bytes_[order]) != 0)
         firsts = np.flatnonzero(new)
         lasts = np.append(firsts[1:], len(order)) - 1
-        several = docs[who][order][firsts] != docs[who][order][lasts] if len(order) else np.zeros(0, bool)
-        kept[who[order][several[group]]] = True
+        several = docs[own][order][firsts] != docs[own][order][lasts]
+        kept[own[order][several[np.cumsum(new) - 1]]] = True
     return kept
 
 
