@@ -194,8 +194,9 @@ def _filled(
     else:
         pairs = _default_rows(visits, found.affected, slices, salts)
     defaults = pairs.select("__key", "__time", *methods, "taxon", _default(F.col("__time"), F.col("start")).alias("value"))
-    # Reduced to one row per taxon ahead of the shuffle; the map gathers those.
-    merged = seen.unionByName(defaults)
+    # Raw rows are summed by now, so a key has a row per taxon and changelog part, and a default per
+    # taxon: placed by key once, for the merge of each taxon, the map, and the join to the metadata.
+    merged = seen.unionByName(defaults).repartition("__key")
     return merged.groupBy("__key", "__time", *methods, "taxon").agg(F.max("value").alias("value"))
 
 
