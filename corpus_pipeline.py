@@ -1,8 +1,9 @@
 """The corpus pipeline: five stages, each on all that the one before it kept.
 
 Toxic documents go, exact copies go, one document of each group of near copies stays, documents
-that hold a test item go, and what is left is packed into sequences. A filter names rows by their place in the stored table that it is given, so ids may repeat or be
-NULL. Every stage but the last returns the columns of ``documents``; each stage's rows are written and read again by the next.
+that hold a test item go, and what is left is packed into sequences. A filter names rows by their
+place in the stored table that it is given, so ids may repeat or be NULL. Every stage but the last
+returns the columns of ``documents``; each stage's rows are written and read again by the next.
 """
 
 from __future__ import annotations
