@@ -148,3 +148,39 @@ def test_edited_copies_are_found_beside_one_verbatim_copy(spark, make, prose):
     benchmark = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
     found = {r.doc_id: r.score for r in contaminated(make(rows), benchmark).collect()}
     assert set(found) == set(range(40)) and found[0] == 1.0 and all(abs(found[k] - 0.7) < 1e-9 for k in range(1, 40))
+
+
+def test_phrase_of_many_items_joins_only_items_whose_words_are_near(spark, make, prose):
+    phrase = "which of the following is"
+    own = lambda k: " ".join(f"w{k}x{j}" for j in range(7))
+    items = [(k, f"{phrase} {own(k)}") for k in range(200)] + [(2000, phrase), (2001, phrase + " true")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(k, f"{prose(30, k)} {items[k][1]} {prose(30, 90 + k)}") for k in range(20)]
+    rows += [(100 + k, f"{prose(30, k)} {phrase} {prose(40, 70 + k)}") for k in range(20)]
+    # Beside the phrase, only words that stand alone: no other 3-gram is left.
+    rows += [(400 + k, f"{prose(9, k)} {phrase} " + " between ".join(own(k).split()[:5])) for k in range(5)]
+    docs = make(rows)
+    fields = ("doc_id", "item_id", "score", "start_word", "end_word")
+    took = sorted(map(tuple, contaminated(docs, benchmark).select(*fields).collect()))
+    every = sorted(map(tuple, contaminated(docs, benchmark, rare=10**6).select(*fields).collect()))
+    assert took == every
+    assert {(d, i) for d, i, *_ in took if i < 1000} == {(k, k) for k in range(20)} | {(400 + k, k) for k in range(5)}
+    assert {d for d, i, *_ in took if i == 2000} == {d for d, _ in rows}
+
+
+def test_common_seeds_find_what_every_seed_finds(spark, make, prose):
+    rng = random.Random(9)
+    stock = [prose(4, 300 + k) for k in range(6)]
+    items = [(k, " ".join(rng.sample(stock, 3)) + " " + prose(rng.randint(1, 10), 800 + k)) for k in range(60)]
+    rows = []
+    for k in range(60):
+        body = items[k % 60][1].split()
+        for _ in range(rng.randint(0, 8)):
+            at = rng.randrange(len(body))
+            body[at : at + rng.randint(0, 2)] = ["odd"] * rng.randint(0, 2)
+            body = body or ["odd"]
+        rows.append((k, f"{prose(20, k)} {' '.join(body)} {prose(20, 40 + k)} {rng.choice(stock)}"))
+    docs, benchmark = make(rows), spark.createDataFrame(items, "item_id long, text string")
+    fields = ("doc_id", "item_id", "score", "start_word", "end_word")
+    results = [sorted(map(tuple, contaminated(docs, benchmark, rare=n).select(*fields).collect())) for n in (0, 2, 10**6)]
+    assert results[0] == results[1] == results[2] and len(results[0]) > 50
