@@ -46,6 +46,8 @@ ROUNDS, STREAMS, STEPS, BLOCK = 4, 512, 24, 1 << 19
 #: Windows a task trains in a round at least; a task with few rows goes over them again.
 UPDATES = 120
 EMBED, HIDDEN, RATE = 16, 24, 0.006
+#: Tokens whose class probabilities are worked on together.
+PART = 1_024
 #: Numbers of the weights that travel together.
 PIECE = 8_192
 #: Documents side by side in scoring, distinct words counted before they are handed on.
@@ -91,6 +93,14 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(1, keepdims=True))
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Probabilities, in place of what they are made from."""
+    x -= x.max(1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(1, keepdims=True)
+    return x
+
+
 class Network:
     """Inputs and targets: 0 end, 1 any other word, then the vocabulary by rank."""
 
@@ -178,7 +188,11 @@ class Network:
 
     def _window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
         p, (steps, streams), kind, H = self.p, x.shape, self.p["U"].dtype, HIDDEN
-        projected = (p["E"] @ p["W"] + p["b"])[x]
+        ids = x.reshape(-1)
+        embedded = p["E"][ids]
+        projected = embedded @ p["W"]
+        projected += p["b"]
+        projected = projected.reshape(steps, streams, 3 * H)
         goes_on = (x != END)[:, :, None]  # a document starts from nothing
         states, before, parts = np.empty((steps, streams, H), kind), np.empty((steps, streams, H), kind), []
         for t in range(steps):
@@ -188,12 +202,16 @@ class Network:
             parts.append(gates)
         top, target = states.reshape(-1, H), y.reshape(-1)
         group, n = self.group(target), kind.type(len(target))
-        share = _log_softmax(top @ p["C"] + p["c"])
-        np.exp(share, out=share)
-        share[np.arange(len(top)), group] -= 1
-        share /= n
-        grads = {"C": top.T @ share, "c": share.sum(0)}
-        dtop = share @ p["C"].T
+        grads, dtop = {"C": np.zeros_like(p["C"]), "c": np.zeros_like(p["c"])}, np.empty_like(top)
+        # A part of the tokens at a time: their shares of all classes stay in the processor's cache.
+        for low in range(0, len(top), PART):
+            own = slice(low, low + PART)
+            share = _softmax(top[own] @ p["C"] + p["c"])
+            share[np.arange(len(share)), group[own]] -= 1
+            share /= n
+            grads["C"] += top[own].T @ share
+            grads["c"] += share.sum(0)
+            dtop[own] = share @ p["C"].T
         # Tokens of one class lie together, so a class is a slice.
         order = np.argsort(group, kind="stable")
         cuts = np.searchsorted(group[order], np.arange(self.classes + 1))
@@ -203,15 +221,14 @@ class Network:
         grads["V"], grads["v"] = np.zeros_like(p["V"]), np.zeros_like(p["v"])
         for k in np.flatnonzero(np.diff(cuts)):
             own = slice(cuts[k], cuts[k + 1])
-            inside = _log_softmax(sorted_top[own] @ p["V"][k] + p["v"][k])
-            np.exp(inside, out=inside)
+            inside = _softmax(sorted_top[own] @ p["V"][k] + p["v"][k])
             inside[np.arange(len(inside)), place[own]] -= 1
             inside /= n
             grads["V"][k], grads["v"][k] = sorted_top[own].T @ inside, inside.sum(0)
             back[own] = inside @ p["V"][k].T
         dtop[order] += back
         dtop = dtop.reshape(steps, streams, H)
-        dproj, dgates = np.empty_like(projected), np.empty_like(projected)
+        dproj, dreset = np.empty_like(projected), np.empty_like(states)
         carried, across = np.zeros((streams, H), kind), np.ascontiguousarray(p["U"].T)
         for t in range(steps - 1, -1, -1):
             z, r, cand, gn = parts[t]
@@ -220,18 +237,14 @@ class Network:
             dproj[t, :, :H] = d * (before[t] - cand) * z * (1 - z)
             dproj[t, :, H : 2 * H] = dn * gn * r * (1 - r)
             dproj[t, :, 2 * H :] = dn
-            dgates[t, :, : 2 * H] = dproj[t, :, : 2 * H]
-            dgates[t, :, 2 * H :] = dn * r
-            carried = (d * z + dgates[t] @ across) * goes_on[t]
-        grads["U"] = before.reshape(-1, H).T @ dgates.reshape(-1, 3 * H)
-        # Rows of one input are summed first: there are fewer inputs than tokens.
-        ids = x.reshape(-1)
-        by_id = np.argsort(ids, kind="stable")
-        firsts = np.flatnonzero(np.diff(ids[by_id], prepend=-1))
-        sums, used = np.add.reduceat(dproj.reshape(-1, 3 * H)[by_id], firsts, axis=0), ids[by_id[firsts]]
-        grads["W"], grads["b"] = p["E"][used].T @ sums, sums.sum(0)
-        grads["E"] = np.zeros_like(p["E"])
-        grads["E"][used] = sums @ p["W"].T
+            dreset[t] = dn * r
+            carried = (d * z + dproj[t, :, : 2 * H] @ across[: 2 * H] + dreset[t] @ across[2 * H :]) * goes_on[t]
+        past, flat = before.reshape(-1, H).T, dproj.reshape(-1, 3 * H)
+        grads["U"] = np.concatenate([past @ flat[:, : 2 * H], past @ dreset.reshape(-1, H)], axis=1)
+        grads["W"], grads["b"] = embedded.T @ flat, flat.sum(0)
+        # Brought to the size of an embedding first, rows of one input are summed a column at a time.
+        inputs = np.ascontiguousarray((flat @ p["W"].T).T)
+        grads["E"] = np.stack([np.bincount(ids, c, len(p["E"])) for c in inputs], axis=1).astype(kind)
         return grads, h
 
     def score(self, documents: list[np.ndarray]) -> np.ndarray:
