@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import first_word
 
@@ -165,59 +166,65 @@ def _default(time: Column, start: Column) -> Column:
     return F.when(time < start, F.lit(None).cast("double")).otherwise(F.lit(0.0))
 
 
-def _default_rows(visits: DataFrame, affected: DataFrame, slices: int, salts: int) -> DataFrame:
-    """Each visit (columns ``__key``, ``__time``) with each affected taxon, as rows.
+def _seen(found: Sightings, key: str, methods: list[str]) -> DataFrame:
+    """``__key``[, method], ``__seen``: the observed (taxon, value) entries of each key, in text order.
 
-    The taxa are dealt into slices and each slice is copied per salt. Every visit goes to all
-    slices at its own salt, so the rows to make are spread over slices x salts join keys, a row
-    of either side is copied a fixed number of times, and no task holds the list of taxa.
+    Raw rows are summed by now, so a key has a row per taxon and changelog part: they are placed by
+    key once, for the merge of each taxon, the entries, and the join to the metadata.
     """
-    dealt = affected.withColumn("__slice", F.pmod(F.hash("taxon"), F.lit(slices))).withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    sent = visits.withColumn("__salt", F.pmod(F.hash("__key"), F.lit(salts))).withColumn(
-        "__slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
-    )
-    return sent.join(dealt, ["__slice", "__salt"]).drop("__slice", "__salt")
+    rows = found.rows.select(F.col(key).alias("__key"), *methods, "taxon", F.col("value").cast("double").alias("value")).repartition("__key")
+    largest = rows.groupBy("__key", *methods, "taxon").agg(F.max("value").alias("value"))
+    return largest.groupBy("__key", *methods).agg(F.sort_array(F.collect_list(F.struct("taxon", "value"))).alias("__seen"))
 
 
-def _filled(
-    meta: DataFrame, key: str, time: str, found: Sightings, methods: list[str], observed_only: bool, slices: int, salts: int
-) -> DataFrame:
-    """Rows (__key, __time[, method], taxon, value): observed values over defaults."""
-    visits = meta.select(F.col(key).alias("__key"), F.col(time).alias("__time")).distinct()
-    rows = found.rows.filter(F.col(methods[0]).isNotNull()) if observed_only else found.rows
-    seen = visits.join(rows.withColumnRenamed(key, "__key"), "__key").select("__key", "__time", *methods, "taxon", "value")
-    if observed_only:
-        # Each observed (key, method) meets the list of its method: what is made is what is kept.
-        pairs = seen.select("__key", "__time", *methods).distinct().join(found.affected, methods)
-    else:
-        pairs = _default_rows(visits, found.affected, slices, salts)
-    defaults = pairs.select("__key", "__time", *methods, "taxon", _default(F.col("__time"), F.col("start")).alias("value"))
-    # Raw rows are summed by now, so a key has a row per taxon and changelog part, and a default per
-    # taxon: placed by key once, for the merge of each taxon, the map, and the join to the metadata.
-    merged = seen.unionByName(defaults).repartition("__key")
-    return merged.groupBy("__key", "__time", *methods, "taxon").agg(F.max("value").alias("value"))
+def _starts(affected: DataFrame, by: list[str], time_type: T.DataType) -> DataFrame:
+    """``by``, ``__starts``: the affected taxa as one map taxon -> (start), in text order."""
+    entry = F.struct("taxon", F.struct(F.col("start").cast(time_type).alias("start")).alias("at"))
+    return affected.groupBy(*by).agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("__starts"))
 
 
-def _attached(meta: DataFrame, key: str, time: str, filled: DataFrame, methods: list[str], out: str) -> DataFrame:
-    maps = filled.groupBy("__key", "__time", *methods).agg(
-        typed_entries(F.collect_list(F.struct("taxon", "value"))).alias("__map")
-    )
-    same = meta[key].eqNullSafe(maps["__key"]) & meta[time].eqNullSafe(maps["__time"])
-    return meta.join(maps, same, "left").select(
-        *[meta[f"`{c}`"] for c in meta.columns], *[F.col(m).alias("Method") for m in methods], F.col("__map").alias(out)
-    )
+def _filled_map(seen: Column, starts: Column, time: Column) -> Column:
+    """Observed entries over the defaults of the affected taxa, taxa in text order.
+
+    Equal to the larger of an observed value and the default where a taxon has both.
+    """
+
+    def value(_taxon: Column, at: Column, v: Column) -> Column:
+        return F.when(at.isNull(), v).otherwise(F.greatest(v, _default(time, at["start"])))
+
+    both = F.map_from_entries(F.sort_array(F.map_entries(F.map_zip_with(starts, F.map_from_entries(seen), value))))
+    only = F.map_from_entries(F.sort_array(F.map_entries(F.transform_values(starts, lambda _t, at: _default(time, at["start"])))))
+    return F.when(starts.isNull(), F.map_from_entries(seen)).when(seen.isNull(), only).otherwise(both)
+
+
+def _with_lists(rows: DataFrame, key: str, lists: DataFrame, copies: int) -> DataFrame:
+    """Each row with the one row of ``lists`` of its salt.
+
+    A list travels whole, as it does in every published map, so no default is a row of its own and
+    none is shuffled. It is copied per salt: where it is too large to be broadcast, rows meet it in
+    as many join keys.
+    """
+    return rows.withColumn("__salt", F.pmod(F.hash(key), F.lit(copies))).join(lists, "__salt", "left").drop("__salt")
+
+
+def _copied(affected: DataFrame, copies: int) -> DataFrame:
+    return affected.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+
+
+def _attached(meta: DataFrame, key: str, facts: DataFrame) -> DataFrame:
+    return meta.join(facts, meta[key] == facts["__key"], "left").drop("__key")
 
 
 def fill_gaps(meta: DataFrame, key: str, time: str, found: Sightings, out: str, slices: int = 8, salts: int = 8) -> DataFrame:
     """Attach the gap-filled map of each metadata row as column ``out``.
 
-    Defaults are rows like the observed ones until one aggregate per key builds the map, which
-    holds every affected taxon by definition; nothing else ever holds them together.
+    Only observed values are shuffled. The map of a row, which holds every affected taxon by
+    definition, is made where the row already is. The list has slices x salts copies.
     """
-    filled = _filled(meta, key, time, found, [], False, slices, salts)
-    return _attached(meta, key, time, filled, [], out)
+    lists = _starts(_copied(found.affected, slices * salts), ["__salt"], meta.schema[time].dataType)
+    rows = _with_lists(_attached(meta, key, _seen(found, key, [])), key, lists, slices * salts)
+    filled = _filled_map(F.col("__seen"), F.col("__starts"), F.col(time))
+    return rows.select(*[f"`{c}`" for c in meta.columns], filled.alias(out))
 
 
 def fill_gaps_by_method(
@@ -236,13 +243,33 @@ def fill_gaps_by_method(
     A row appears for every method observed or affected; ``observed_only`` keeps just the
     observed, non-NULL methods of the key. Keys with neither keep one row without a map.
     """
-    filled = _filled(meta, key, time, found, [method], observed_only, slices, salts)
-    return _attached(meta, key, time, filled, [method], out)
+    columns, time_type = [f"`{c}`" for c in meta.columns], meta.schema[time].dataType
+    seen = _seen(found, key, [method]).withColumnRenamed(method, "__method")
+    affected = found.affected.withColumnRenamed(method, "__method")
+    if observed_only:
+        # Each observed (key, method) meets the list of its method: what is made is what is kept.
+        kept = seen.filter(F.col("__method").isNotNull()).join(_starts(affected, ["__method"], time_type), "__method", "left")
+        rows = _attached(meta, key, kept)
+        return rows.select(*columns, F.col("__method").alias("Method"), _filled_map(F.col("__seen"), F.col("__starts"), F.col(time)).alias(out))
+    by_key = seen.groupBy("__key").agg(F.collect_list(F.struct("__method", "__seen")).alias("__by"))
+    of_method = _starts(_copied(affected, slices * salts), ["__salt", "__method"], time_type)
+    lists = of_method.groupBy("__salt").agg(F.collect_list(F.struct("__method", "__starts")).alias("__lists"))
+    rows = _with_lists(_attached(meta, key, by_key), key, lists, slices * salts)
+    each = F.array_distinct(F.concat(*[F.coalesce(F.col(c)["__method"], F.array().cast(T.ArrayType(affected.schema["__method"].dataType))) for c in ("__by", "__lists")]))
+    rows = rows.withColumn("__method", F.explode_outer(each))
+
+    def of(column: str, field: str) -> Column:
+        return F.get(F.filter(column, lambda x: x["__method"].eqNullSafe(F.col("__method"))), F.lit(0))[field]
+
+    # Looked up once, as columns of their own, before the map reads them several times.
+    rows = rows.withColumns({"__seen": of("__by", "__seen"), "__starts": of("__lists", "__starts")})
+    return rows.select(*columns, F.col("__method").alias("Method"), _filled_map(F.col("__seen"), F.col("__starts"), F.col(time)).alias(out))
 
 
 def filled_rows(
     meta: DataFrame, key: str, time: str, found: Sightings, slices: int = 16, salts: int = 16
 ) -> DataFrame:
     """The gap-filled values of :func:`fill_gaps` as rows (key, taxon, value)."""
-    filled = _filled(meta, key, time, found, [], False, slices, salts)
-    return filled.groupBy(F.col("__key").alias(key), "taxon").agg(F.max("value").alias("value"))
+    visits = meta.select(key, time).distinct()
+    rows = fill_gaps(visits, key, time, found, "__map", slices, salts).select(key, F.explode("__map").alias("taxon", "value"))
+    return rows.groupBy(key, "taxon").agg(F.max("value").alias("value"))

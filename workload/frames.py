@@ -40,9 +40,12 @@ def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
 def map_text(column: str):
     """A map as 'k=v;k=v' in key order, values whole with six decimals."""
     def entry(e):
-        return F.concat(e["key"], F.lit("="), F.coalesce(e["value"].cast("decimal(38,6)").cast("string"), F.lit("null")))
+        v = e["value"]
+        # Most entries are defaults, whose text is known without a decimal.
+        text = F.when(v.isNull(), F.lit("=null")).when(v == 0, F.lit("=0.000000"))
+        return F.concat(e["key"], text.otherwise(F.concat(F.lit("="), F.coalesce(v.cast("decimal(38,6)").cast("string"), F.lit("null")))))
 
-    return F.array_join(F.transform(F.array_sort(F.map_entries(column)), entry), ";")
+    return F.array_join(F.transform(F.sort_array(F.map_entries(column)), entry), ";")
 
 
 def comparable(df: DataFrame, rounded: dict[str, int] | None = None) -> DataFrame:
