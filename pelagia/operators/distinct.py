@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Parts in which values are numbered; the table of their sizes has as many rows.
 PARTS = 256
+#: Bits of a word, the piece in which a bitmap is kept and merged.
+WORD = 64
 
 
 def dense_codes(values: DataFrame, column: str, parts: int = PARTS) -> DataFrame:
@@ -28,17 +30,22 @@ def dense_codes(values: DataFrame, column: str, parts: int = PARTS) -> DataFrame
 
 
 def value_bitmaps(rows: DataFrame, keys: list[str], column: str, codes: DataFrame) -> DataFrame:
-    """keys, bucket, bits: which values each key has. Rows reduce to bits before the shuffle."""
+    """keys, bucket, bits: which values each key has. Rows reduce to bits before the shuffle.
+
+    A row holds one word of a key's bitmap and no word is empty, so a key with few values is as
+    short as they are, and a task holds 8 bytes a word, not a buffer of fixed size for each key.
+    """
     coded = rows.filter(F.col(column).isNotNull()).select(*keys, column).join(codes, column)
-    bits = F.bitmap_construct_agg(F.bitmap_bit_position("code")).alias("bits")
-    return coded.groupBy(*keys, F.bitmap_bucket_number("code").alias("bucket")).agg(bits)
+    word = F.floor(F.col("code") / WORD).cast("bigint").alias("bucket")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("code", F.lit(WORD)).cast("int"))
+    return coded.groupBy(*keys, word).agg(F.bit_or(bit).alias("bits"))
 
 
 def merged(bitmaps: DataFrame, keys: list[str]) -> DataFrame:
     """Bitmaps of finer keys as those of coarser ones."""
-    return bitmaps.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return bitmaps.groupBy(*keys, "bucket").agg(F.bit_or("bits").alias("bits"))
 
 
 def distinct_counts(bitmaps: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
     """Exact number of distinct values per key, from bitmaps of these or finer keys."""
-    return merged(bitmaps, keys).groupBy(*keys).agg(F.sum(F.bitmap_count("bits")).cast("bigint").alias(name))
+    return merged(bitmaps, keys).groupBy(*keys).agg(F.sum(F.bit_count("bits")).cast("bigint").alias(name))
