@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import number_text, sample_id
 from ..functions.times import stamp_text
-from ..operators.rows import union_distinct
 from .catalog import Catalog, product
 from .metadata import LAB_TABLES, lab_trips
 
@@ -176,8 +177,8 @@ def combined_data(c: Catalog) -> DataFrame:
 
     Depth is text here, since two of the tables hold the word for 'whole column' in it;
     numeric chemistry depths take the same plain notation so that both sides can meet.
-    The set of (trip, depth) pairs and the four tables are partitioned alike, so the four
-    left joins run on the exchange the distinct already made.
+    The pairs are placed by trip while they are narrow and meet their trips first, so that no
+    exchange carries the columns of all tables side by side.
     """
     trips = lab_trips(c).filter(F.col("Project") == COMBINED_PROJECT)
 
@@ -198,7 +199,8 @@ def combined_data(c: Catalog) -> DataFrame:
         "bgc_picoplankton": lab("bgc_picoplankton", PICOPLANKTON),
     }
     pair = ["TripCode", "SampleDepth_m"]
-    out = union_distinct([df.select(*pair) for df in labs.values()])
+    found = reduce(DataFrame.unionByName, [df.select(*pair) for df in labs.values()])
+    out = found.repartition("TripCode").distinct().join(trips, "TripCode")
     for df in labs.values():
         out = out.join(df, pair, "left")
     times = [F.col(f"__time_{t}") for t in labs]
@@ -209,7 +211,7 @@ def combined_data(c: Catalog) -> DataFrame:
         *PIGMENTS.values(),
         *MICROBIOME.values(),
     ]
-    return out.join(trips, "TripCode").select(
+    return out.select(
         *TRIP_FRONT,
         F.coalesce(*times).alias("SampleTime_Local"),
         *TRIP_PLACE,
