@@ -82,26 +82,25 @@ def nearest_in_time(
     )
     t = F.col("__t")
 
-    # One row per bucket: its first and last match. Only buckets within the tolerance can hold
-    # a nearer one, so each offers its own to that many neighbours and the best offer is an
-    # aggregate: nothing walks along all buckets of a ``by`` value.
-    edges = (
-        moments.filter("__id IS NOT NULL")
-        .groupBy(by, "__bucket")
-        .agg(
-            F.min(_hit(t, F.col("__id"))).alias("__first"),
-            F.max(_hit(t, F.col("__id"))).alias("__last"),
-        )
-    )
-    reach = -(-seconds // bucket_seconds)
-    steps = F.explode(F.array(*[F.lit(k) for k in range(-reach, reach + 1) if k]))
-    offers = edges.withColumn("__step", steps).select(
+    # One row per bucket: its first and last match, and whether a left row asks for one. Only buckets
+    # within the tolerance can hold a nearer one. Spans are as long as that, so a bucket's rows are
+    # shown to its own span and the two beside it, and the nearest on either side is a running value
+    # over the buckets of three spans: nothing walks along all buckets of a ``by`` value.
+    match = F.when(F.col("__id").isNotNull(), _hit(t, F.col("__id")))
+    buckets = moments.groupBy(by, "__bucket").agg(F.min(match).alias("__first"), F.max(match).alias("__last"), F.max("__left").alias("__asks"))
+    span = -(-seconds // bucket_seconds)
+    steps = F.when(F.col("__first").isNotNull(), F.array(F.lit(0), F.lit(-1), F.lit(1))).otherwise(F.array(F.lit(0)))
+    shown = buckets.withColumn("__step", F.explode(steps)).withColumn("__span", F.floor(F.col("__bucket") / span) + F.col("__step"))
+    of_span = Window.partitionBy(by, "__span")
+    past = of_span.orderBy(F.asc("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = of_span.orderBy(F.desc("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    carried = shown.select(
         by,
-        (F.col("__bucket") + F.col("__step")).alias("__bucket"),
-        F.when(F.col("__step") > 0, F.col("__last")).alias("__before"),
-        F.when(F.col("__step") < 0, F.col("__first")).alias("__after"),
-    )
-    carried = offers.groupBy(by, "__bucket").agg(F.max("__before").alias("__before"), F.min("__after").alias("__after"))
+        "__bucket",
+        ((F.col("__asks") == 1) & (F.col("__step") == 0)).alias("__asks"),
+        F.last("__last", ignorenulls=True).over(past).alias("__before"),
+        F.last("__first", ignorenulls=True).over(ahead).alias("__after"),
+    ).filter("__asks").drop("__asks")
 
     up = Window.partitionBy(by, "__bucket").orderBy(F.asc("__t")).rowsBetween(Window.unboundedPreceding, 0)
     down = Window.partitionBy(by, "__bucket").orderBy(F.desc("__t")).rowsBetween(Window.unboundedPreceding, 0)

@@ -78,7 +78,9 @@ def pigment_means(pigments: DataFrame) -> DataFrame:
 def profile_indices(c: Catalog) -> DataFrame:
     """Per trip: the picks below the reference level, and the surface means taken with that level."""
     names = ("trip_code", "SampleDepth_m", "Temperature_degC", "Salinity_psu", "Chla_mgm3")
-    rows = c["nrs_depth_binned_ctd_data"].select(*names)
+    # Rows without a trip meet none. Said here, it holds for both readers of the rows alike, so that
+    # what lies below them is planned once.
+    rows = c["nrs_depth_binned_ctd_data"].select(*names).filter(F.col("trip_code").isNotNull())
     key, depth, temp, sal, chl = names
     levels = reference_level(
         rows,

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -74,3 +75,17 @@ def test_station_filed_under_another_site(spark):
     casts = spark.createDataFrame([(1, "VBM100", T0), (2, "NRSVBM", T0), (3, "NRSMAI", T0), (4, "SOTSMAI", T0)], "file_id bigint, site_code string, time_coverage_start timestamp_ntz")
     c = Catalog(spark, {"bgc_trip": spark.createDataFrame(rows, trip), "deployments": casts})
     assert {(r.trip_code, r.file_id) for r in c["nrs_depth_binned_ctd_map"].collect()} == {("v", 1), ("m", 3)}
+
+
+def test_a_bucket_is_shown_to_three_spans(spark):
+    left, right = frames(spark, [("a", "A", hours(0))], [("A", 1, hours(2))])
+    found = nearest_in_time(left, right, "site", "t", "c", "file_id")
+    made = re.findall(r"Generate explode\(([^\n]*)", found._jdf.queryExecution().optimizedPlan().toString())
+    # An offer to each bucket within a day would be 48 rows a bucket.
+    assert made and all(not re.search(r"-24, ?-23", m) and "[0,-1,1]" in m for m in made)
+
+
+def test_matches_on_both_ends_of_the_tolerance(spark):
+    trips = [(f"t{h}", "A", hours(h)) for h in range(-60, 60)]
+    for casts in ([("A", 1, hours(-24)), ("A", 2, hours(24))], [("A", 1, hours(0.5))], [("A", k, hours(k * 47 + 0.25)) for k in range(-1, 2)]):
+        assert run(spark, trips, casts) == brute(trips, casts)
