@@ -116,6 +116,10 @@ class Level:
     changed: str = "name"
 
 
+def _lookup(level: Level) -> Column:
+    return (F.lit(None) if level.lookup is None else level.lookup).cast("string").alias("lookup")
+
+
 def level_cells(raw: DataFrame, changelog: DataFrame | None, keys: list[str], levels: dict[str, Level], values: list[str]) -> DataFrame:
     """Raw rows under several levels of naming and several measures, in one read and one shuffle.
 
@@ -125,8 +129,7 @@ def level_cells(raw: DataFrame, changelog: DataFrame | None, keys: list[str], le
     """
 
     def named(name: str, level: Level) -> list[Column]:
-        lookup = F.lit(None) if level.lookup is None else level.lookup
-        return [F.lit(name).alias("level"), level.taxon.alias("taxon"), lookup.cast("string").alias("lookup")]
+        return [F.lit(name).alias("level"), level.taxon.alias("taxon"), _lookup(level)]
 
     if len(levels) == 1:  # the condition can reach the scan
         ((name, level),) = levels.items()
@@ -153,6 +156,21 @@ def sightings_of(cells: DataFrame, keys: list[str], value: str) -> Sightings:
     return Sightings(rows, _earliest(cells.filter("changed"), ["taxon", *keys[1:]]))
 
 
+def sightings_of_level(raw: DataFrame, changelog: DataFrame, keys: list[str], level: Level, value: str) -> Sightings:
+    """:func:`sightings_of` for one level that is read off the raw rows.
+
+    The affected taxa depend on the names alone, so these are reduced to their distinct set where the
+    rows are, and only they are looked up: no row is placed by its key a second time.
+    """
+    cells = level_cells(raw, changelog, keys, {level.changed: level}, [value])
+    word = first_word if level.changed == "genus" else F.col
+    log = changelog.filter(word("taxon_name") != word("parent_name")).select(F.col("taxon_name").alias("lookup"), F.col("startdate").alias("start"))
+    counted = raw if level.counted is None else raw.filter(level.counted)
+    names = counted.select(level.taxon.alias("taxon"), _lookup(level), *keys[1:]).distinct()
+    rows = cells.select(*keys, "taxon", F.col(f"sum_{value}").alias("value"))
+    return Sightings(rows, _earliest(names.join(log, "lookup"), ["taxon", *keys[1:]]))
+
+
 def sightings_with_list(
     raw: DataFrame, keys: list[str], taxon: str, value: str, affected: DataFrame
 ) -> Sightings:

@@ -165,6 +165,13 @@ def cells(c: Catalog, f: Family, level: str) -> DataFrame:
     return op.level_cells(c[f.raw], changelog, f.keys, {level: chosen}, [f.value])
 
 
+def sightings(c: Catalog, f: Family, level: str) -> op.Sightings:
+    """What gap filling needs of one level: from stored cells, else from the raw rows."""
+    if c.has(cells_name(f.raw)):
+        return op.sightings_of(cells(c, f, level), f.keys, f.value)
+    return op.sightings_of_level(c[f.raw], c[f.changelog], f.keys, levels_of(f)[level], f.value)
+
+
 # ---- products ------------------------------------------------------------------------------
 
 
@@ -200,11 +207,11 @@ def genus_sightings(c: Catalog, f: Family, combine: str = "max") -> op.Sightings
 
 
 def genus_product(c: Catalog, f: Family) -> DataFrame:
-    return _publish(c, f, op.sightings_of(cells(c, f, GENUS), f.keys, f.value))
+    return _publish(c, f, sightings(c, f, GENUS))
 
 
 def species_product(c: Catalog, f: Family, copepod: str | None = None) -> DataFrame:
-    return _publish(c, f, op.sightings_of(cells(c, f, _species_level(f, copepod)), f.keys, f.value))
+    return _publish(c, f, sightings(c, f, _species_level(f, copepod)))
 
 
 def raw_readers() -> dict[str, set[str]]:

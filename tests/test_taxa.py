@@ -138,3 +138,17 @@ def test_rows_equal_maps_and_brute_force(spark):
 def test_built_in_group_lists():
     assert plans.BGC_ZOOP_GROUPS.groups[0] == "Ciliophora" and plans.CPR_ZOOP_GROUPS.groups[0] == "Ciliate"
     assert set(plans.BGC_PHYTO_GROUPS.methods) == {"LM", "SEM"}
+
+
+def test_affected_taxa_are_read_off_distinct_names(spark):
+    raw = spark.createDataFrame(
+        [("k1", "A a", "A", "a", 1.0), ("k2", "A a", "A", "a", 2.0), ("k2", "B b", "B", "b", 3.0), ("k3", None, None, "c", 4.0), (None, "D d", "D", "d", 5.0)], RAW
+    )
+    log = changelog(spark, [("A a", START, "Old a"), ("A a", dt.date(2009, 1, 1), "Older a"), ("B b", START, "B old"), ("D d", None, "Old d")])
+    level = op.Level(F.col("genus"), F.col("genus").isNotNull(), F.col("taxon_name"), "genus")
+    found = op.sightings_of_level(raw.groupBy("key", "taxon_name", "genus").agg(F.sum("v").alias("v")), log, ["key"], level, "v")
+    cells = op.sightings_of(op.level_cells(raw, log, ["key"], {"genus": level}, ["v"]), ["key"], "v")
+    assert sorted(map(str, found.affected.collect())) == sorted(map(str, cells.affected.collect()))
+    assert sorted(map(str, found.rows.collect())) == sorted(map(str, cells.rows.collect()))
+    # Nothing is placed by its key to find them.
+    assert "hashpartitioning(key" not in found.affected._jdf.queryExecution().executedPlan().toString()
