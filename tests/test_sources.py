@@ -127,3 +127,18 @@ def test_wide_export(spark, tmp_path):
     assert sorted(map(tuple, long_rows(df, "taxa").collect()), key=repr) == [
         ("a", "m", None), ("a", "z", 1.0), ("b", None, None), ("c", "k", 2.0)
     ]
+
+
+def test_landed_files_are_packed_and_read_whole(spark, tmp_path):
+    from pelagia.schemas import TABLES
+    from pelagia.sources.csv import scan_text
+    from workload.operators import _land_csv
+
+    rows = spark.createDataFrame([(f"S{i}", f'C"{i}"', f"Region\n{i % 3}, x") for i in range(200)], "sample string, trip_code string, region string").repartition(3)
+    _land_csv(rows, str(tmp_path / "t.csv"))
+    parts = [p for p in (tmp_path / "t.csv").iterdir() if p.name.startswith("part-")]
+    assert parts and all(p.name.endswith(".csv.gz") for p in parts)
+    want = sorted(map(tuple, rows.collect()))
+    for in_splits in (False, True):
+        got = scan_text(spark, str(tmp_path / "t.csv"), TABLES["cpr_samp"], in_splits).select("sample", "trip_code", "region")
+        assert sorted(map(tuple, got.collect())) == want

@@ -427,10 +427,10 @@ def qc_mask_near_surface(spark, sf):
 
 
 def _land_csv(df: DataFrame, path: str) -> None:
-    """Write a frame the way files arrive: upper-case header and a leading row id."""
+    """Write a frame the way files arrive: upper-case header, a leading row id, and packed by gzip."""
     text = comparable(df)
     named = text.select(F.monotonically_increasing_id().alias("FID"), *[F.col(c).alias(c.upper()) for c in text.columns])
-    named.write.option("header", True).option("escape", '"').csv(path)
+    named.write.option("header", True).option("escape", '"').option("compression", "gzip").csv(path)
 
 
 @query(f"SELECT * REPLACE ({stamp('sampledateutc')} AS sampledateutc, {stamp('sampledatelocal')} AS sampledatelocal) FROM {{cpr_samp}}")
