@@ -85,22 +85,46 @@ class Codes(dict):
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-x))
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _small(weights: np.ndarray, biases: np.ndarray) -> bool:
+    """Whether no state can bring a sum of these so far that its exponential leaves the range of a
+    float: a state's numbers are between -1 and 1. Their maximum need not be taken off then."""
+    return bool((np.abs(weights).sum(-2) + np.abs(biases)).max(initial=0.0) < 60.0)
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    """Probabilities, in place of what they are made from."""
-    x -= x.max(1, keepdims=True)
+def _exponentials(x: np.ndarray, small: bool) -> np.ndarray:
+    """Shares before they are divided, in place, and their sums by row."""
+    if not small:
+        x -= x.max(1, keepdims=True)
     np.exp(x, out=x)
-    x /= x.sum(1, keepdims=True)
+    return x @ np.ones(x.shape[1], x.dtype)
+
+
+def _softmax(x: np.ndarray, small: bool, n: float) -> np.ndarray:
+    """Probabilities over ``n``, in place of what they are made from."""
+    x *= (1 / (_exponentials(x, small) * n))[:, None]
     return x
 
 
+def _log_share(x: np.ndarray, at: np.ndarray, small: bool = False) -> np.ndarray:
+    """Logarithm of the probability of one entry of each row; ``x`` is used up."""
+    if not small:
+        x -= x.max(1, keepdims=True)
+    picked = x[np.arange(len(x)), at]
+    return picked - np.log(_exponentials(x, True))
+
+
+def _parts(x: np.ndarray) -> np.ndarray:
+    """Columns of the update, reset and new gate as three arrays."""
+    return np.ascontiguousarray(x.reshape(-1, 3, HIDDEN).transpose(1, 0, 2))
+
+
 class Network:
     """Inputs and targets: 0 end, 1 any other word, then the vocabulary by rank."""
 
@@ -131,22 +155,51 @@ class Network:
         return np.where(target >= 2, (target - 2) // CLASS_SIZE, self.classes + target)
 
     def step(self, projected: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        g = h @ self.p["U"]
-        zr = _sigmoid(projected[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        n = np.tanh(projected[:, 2 * HIDDEN :] + r * g[:, 2 * HIDDEN :])
-        return n + z * (h - n), z, r, n, g[:, 2 * HIDDEN :]
-
-    def log_probability(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """The next state, from rows of an input's three parts side by side."""
+        return self._step(projected.reshape(len(h), 3, HIDDEN).transpose(1, 0, 2), h, _parts(self.p["U"]))
+
+    def _step(self, projected: np.ndarray, h: np.ndarray, across: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The same with the three parts one after the other, so that each lies in one piece."""
+        g = h @ across
+        zr = g[:2]
+        zr += projected[:2]
+        z, r = _sigmoid(zr)
+        n = r * g[2]
+        n += projected[2]
+        np.tanh(n, out=n)
+        out = h - n
+        out *= z
+        out += n
+        return out, z, r, n, g[2]
+
+    def small(self) -> tuple[bool, bool]:
+        """Whether the sums of classes, and those of words, are small in any state."""
+        return _small(self.p["C"], self.p["c"]), _small(self.p["V"], self.p["v"])
+
+    def by_class(self, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The order that brings tokens of one class together, and where each class begins."""
+        # Numbers of classes are short, so this is a radix sort.
+        order = np.argsort(group.astype(np.int16), kind="stable")
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(group, minlength=self.classes)[: self.classes])])
+        return order[: cuts[-1]], cuts
+
+    def log_probability(self, h: np.ndarray, target: np.ndarray, small: tuple[bool, bool] = (False, False)) -> np.ndarray:
         """Natural log of each target's probability given the state before it."""
-        group = self.group(target)
-        out = _log_softmax(h @ self.p["C"] + self.p["c"])[np.arange(len(h)), group]
-        order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(self.classes + 1))
+        group, out = self.group(target), np.empty(len(h), h.dtype)
+        # A part of the tokens at a time stays in the processor's cache.
+        for low in range(0, len(h), PART):
+            own = slice(low, low + PART)
+            x = h[own] @ self.p["C"]
+            x += self.p["c"]
+            out[own] = _log_share(x, group[own], small[0])
+        order, cuts = self.by_class(group)
+        states, place, inside = h[order], (target[order] - 2) % CLASS_SIZE, np.empty(len(order), h.dtype)
         for k in np.flatnonzero(np.diff(cuts)):
-            at = order[cuts[k] : cuts[k + 1]]
-            inside = _log_softmax(h[at] @ self.p["V"][k] + self.p["v"][k])
-            out[at] += inside[np.arange(len(at)), (target[at] - 2) % CLASS_SIZE]
+            own = slice(cuts[k], cuts[k + 1])
+            x = states[own] @ self.p["V"][k]
+            x += self.p["v"][k]
+            inside[own] = _log_share(x, place[own], small[1])
+        out[order] += inside
         return out
 
     def weights(self) -> np.ndarray:
@@ -188,69 +241,80 @@ class Network:
 
     def _window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
         p, (steps, streams), kind, H = self.p, x.shape, self.p["U"].dtype, HIDDEN
-        ids = x.reshape(-1)
+        ids, W, U = x.reshape(-1), _parts(p["W"]), _parts(p["U"])
         embedded = p["E"][ids]
-        projected = embedded @ p["W"]
-        projected += p["b"]
-        projected = projected.reshape(steps, streams, 3 * H)
+        projected = embedded @ W
+        projected += p["b"].reshape(3, 1, H)
+        projected = projected.reshape(3, steps, streams, H)
         goes_on = (x != END)[:, :, None]  # a document starts from nothing
         states, before, parts = np.empty((steps, streams, H), kind), np.empty((steps, streams, H), kind), []
         for t in range(steps):
-            before[t] = h * goes_on[t]
-            h, *gates = self.step(projected[t], before[t])
+            np.multiply(h, goes_on[t], out=before[t])
+            h, *gates = self._step(projected[:, t], before[t], U)
             states[t] = h
             parts.append(gates)
         top, target = states.reshape(-1, H), y.reshape(-1)
-        group, n = self.group(target), kind.type(len(target))
+        group, n, small = self.group(target), kind.type(len(target)), self.small()
         grads, dtop = {"C": np.zeros_like(p["C"]), "c": np.zeros_like(p["c"])}, np.empty_like(top)
         # A part of the tokens at a time: their shares of all classes stay in the processor's cache.
         for low in range(0, len(top), PART):
             own = slice(low, low + PART)
-            share = _softmax(top[own] @ p["C"] + p["c"])
-            share[np.arange(len(share)), group[own]] -= 1
-            share /= n
+            share = top[own] @ p["C"]
+            share += p["c"]
+            _softmax(share, small[0], n)
+            share[np.arange(len(share)), group[own]] -= 1 / n
             grads["C"] += top[own].T @ share
-            grads["c"] += share.sum(0)
+            grads["c"] += np.ones(len(share), kind) @ share
             dtop[own] = share @ p["C"].T
         # Tokens of one class lie together, so a class is a slice.
-        order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(self.classes + 1))
-        order = order[: cuts[-1]]
+        order, cuts = self.by_class(group)
         sorted_top, place = top[order], (target[order] - 2) % CLASS_SIZE
         back = np.empty_like(sorted_top)
         grads["V"], grads["v"] = np.zeros_like(p["V"]), np.zeros_like(p["v"])
         for k in np.flatnonzero(np.diff(cuts)):
             own = slice(cuts[k], cuts[k + 1])
-            inside = _softmax(sorted_top[own] @ p["V"][k] + p["v"][k])
-            inside[np.arange(len(inside)), place[own]] -= 1
-            inside /= n
-            grads["V"][k], grads["v"][k] = sorted_top[own].T @ inside, inside.sum(0)
+            inside = sorted_top[own] @ p["V"][k]
+            inside += p["v"][k]
+            _softmax(inside, small[1], n)
+            inside[np.arange(len(inside)), place[own]] -= 1 / n
+            grads["V"][k], grads["v"][k] = sorted_top[own].T @ inside, np.ones(len(inside), kind) @ inside
             back[own] = inside @ p["V"][k].T
         dtop[order] += back
         dtop = dtop.reshape(steps, streams, H)
         dproj, dreset = np.empty_like(projected), np.empty_like(states)
-        carried, across = np.zeros((streams, H), kind), np.ascontiguousarray(p["U"].T)
+        carried, back = np.zeros((streams, H), kind), np.ascontiguousarray(U.transpose(0, 2, 1))
         for t in range(steps - 1, -1, -1):
             z, r, cand, gn = parts[t]
-            d = dtop[t] + carried
-            dn = d * (1 - z) * (1 - cand * cand)
-            dproj[t, :, :H] = d * (before[t] - cand) * z * (1 - z)
-            dproj[t, :, H : 2 * H] = dn * gn * r * (1 - r)
-            dproj[t, :, 2 * H :] = dn
-            dreset[t] = dn * r
-            carried = (d * z + dproj[t, :, : 2 * H] @ across[: 2 * H] + dreset[t] @ across[2 * H :]) * goes_on[t]
-        past, flat = before.reshape(-1, H).T, dproj.reshape(-1, 3 * H)
-        grads["U"] = np.concatenate([past @ flat[:, : 2 * H], past @ dreset.reshape(-1, H)], axis=1)
-        grads["W"], grads["b"] = embedded.T @ flat, flat.sum(0)
+            d, (dz, dr, dn) = dtop[t] + carried, dproj[:, t]
+            kept = d * z
+            np.subtract(d, kept, out=dn)
+            # d * z * (1 - z) * (before - cand)
+            np.multiply(dn, z, out=dz)
+            dz *= before[t] - cand
+            dn *= 1 - cand * cand
+            np.multiply(dn, r, out=dreset[t])
+            np.multiply(dreset[t], gn, out=dr)
+            dr *= 1 - r
+            kept += dz @ back[0]
+            kept += dr @ back[1]
+            kept += dreset[t] @ back[2]
+            carried = np.multiply(kept, goes_on[t], out=kept)
+        past, own = before.reshape(-1, H).T, dproj.reshape(3, -1, H)
+        grads["U"] = np.concatenate([past @ own[0], past @ own[1], past @ dreset.reshape(-1, H)], axis=1)
+        grads["W"] = np.concatenate(list(embedded.T @ own), axis=1)
+        grads["b"] = np.concatenate(list(np.ones(len(ids), kind) @ own))
         # Brought to the size of an embedding first, rows of one input are summed a column at a time.
-        inputs = np.ascontiguousarray((flat @ p["W"].T).T)
+        inputs = W[0] @ own[0].T
+        inputs += W[1] @ own[1].T
+        inputs += W[2] @ own[2].T
         grads["E"] = np.stack([np.bincount(ids, c, len(p["E"])) for c in inputs], axis=1).astype(kind)
         return grads, h
 
     def score(self, documents: list[np.ndarray]) -> np.ndarray:
         """Natural log-likelihood of each document, given as vocabulary ids without the end."""
         out = np.zeros(len(documents))
-        table = self.p["E"] @ self.p["W"] + self.p["b"]
+        U, small = _parts(self.p["U"]), self.small()
+        table = self.p["E"] @ _parts(self.p["W"]) + self.p["b"].reshape(3, 1, HIDDEN)
         by_length = np.argsort([-len(d) for d in documents], kind="stable")
         for low in range(0, len(documents), TOGETHER):
             rows = by_length[low : low + TOGETHER]
@@ -260,17 +324,19 @@ class Network:
             starts = np.cumsum(lengths + 1) - lengths - 1
             h, done = np.zeros((len(rows), HIDDEN), np.float32), 0
             longest = int(lengths[0])
+            # Documents with a token at each place.
+            going = len(rows) - np.cumsum(np.bincount(lengths, minlength=longest + 1))
             while done < longest:
                 states, targets, owners = [], [], []
                 for t in range(done, min(done + STEPS, longest)):
-                    n = int(np.searchsorted(-lengths, -t, "left"))  # documents with a token at t
+                    n = going[t]
                     at = starts[:n] + t
-                    h = self.step(table[flat[at]], h[:n])[0]
+                    h = self._step(table[:, flat[at]], h[:n], U)[0]
                     states.append(h)
                     targets.append(flat[at + 1])
                     owners.append(rows[:n])
                 done += STEPS
-                logs = self.log_probability(np.concatenate(states), np.concatenate(targets))
+                logs = self.log_probability(np.concatenate(states), np.concatenate(targets), small)
                 out += np.bincount(np.concatenate(owners), logs, len(documents))
         return out
 

@@ -199,3 +199,17 @@ def test_quoted_terms_and_copied_clean_documents_stay_in_the_lexicon(spark, make
     got = {r.doc_id: r.s for r in toxicity.with_scores(make([(i, t) for i, t, _ in rows]), model, name="s").collect()}
     assert all(got[i] >= 0.7 for i, _, y in rows if y)
     assert all(got[i] < 0.7 for i, _, _ in rows if 1000 <= i < 2000 or i >= 4000)
+
+
+def test_small_weights_need_no_maximum_and_large_ones_keep_it():
+    rng = np.random.default_rng(3)
+    net = lm.Network(np.arange(130, 0, -1).astype(float), 30, 20)
+    for k in ("C", "V"):
+        net.p[k] = (rng.standard_normal(net.p[k].shape) * 0.3).astype(np.float32)
+    h, target = np.tanh(rng.standard_normal((3000, lm.HIDDEN))).astype(np.float32), rng.integers(0, 132, 3000)
+    assert net.small() == (True, True)
+    assert np.allclose(net.log_probability(h, target), net.log_probability(h, target, net.small()), atol=1e-4)
+    for k in ("C", "V"):
+        net.p[k] = net.p[k] * np.float32(200)
+    assert net.small() == (False, False)
+    assert np.isfinite(net.log_probability(h, target, net.small())).all()
