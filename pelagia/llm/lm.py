@@ -17,6 +17,9 @@ the log-likelihood of the complete document.
 Counts of rare words would not fit on every executor. Each document keeps the rare words it has
 as hashes; these meet the counted words in one join on the hash, and only sums come back.
 
+Texts are read into numbers of words once the common words are known, and these are stored: the
+rounds of training and the scoring read numbers, two bytes a token, in place of texts.
+
 Words are told apart by 64-bit hashes (62 bits of them free).
 
 Cases. NULL text is empty: its only token is the end. Without training rows every count is 0,
@@ -34,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, split_of, table
@@ -53,12 +56,16 @@ PIECE = 8_192
 #: Documents side by side in scoring, distinct words counted before they are handed on.
 TOGETHER, DISTINCT = 1024, 300_000
 END, OTHER = 0, 1
+#: How a token of the network is stored.
+ID = np.dtype("<u2")
+_END = np.zeros(1, np.int64)
 _END_KEY = 1 << 61
+_KEY_BITS, _KEY_MARK, _hash = (1 << 62) - 1, 1 << 62, xxhash.xxh3_64_intdigest
 
 
 def word_key(word: bytes) -> int:
     """A positive number of at least 2**62, so that it is never a rank."""
-    return (xxhash.xxh3_64_intdigest(word) & ((1 << 62) - 1)) | (1 << 62)
+    return (_hash(word) & _KEY_BITS) | _KEY_MARK
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -74,13 +81,13 @@ class Codes(dict):
         self.ranks, self.limit = ranks, limit
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        key = word_key(word)
+        key = (_hash(word) & _KEY_BITS) | _KEY_MARK
         self[word] = code = self.ranks.get(key, key)
         return code
 
     def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) >= self.limit:
+            self.clear()
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
@@ -112,12 +119,11 @@ def _softmax(x: np.ndarray, small: bool, n: float) -> np.ndarray:
     return x
 
 
-def _log_share(x: np.ndarray, at: np.ndarray, small: bool = False) -> np.ndarray:
-    """Logarithm of the probability of one entry of each row; ``x`` is used up."""
-    if not small:
-        x -= x.max(1, keepdims=True)
-    picked = x[np.arange(len(x)), at]
-    return picked - np.log(_exponentials(x, True))
+def _with_one(x: np.ndarray) -> np.ndarray:
+    """States with a last column of ones, which the biases are multiplied by."""
+    out = np.ones((len(x), x.shape[1] + 1), x.dtype)
+    out[:, :-1] = x
+    return out
 
 
 def _parts(x: np.ndarray) -> np.ndarray:
@@ -172,34 +178,55 @@ class Network:
         out += n
         return out, z, r, n, g[2]
 
+    def projections(self) -> np.ndarray:
+        """What each input adds to the update, reset and new gate."""
+        table = self.p["E"] @ _parts(self.p["W"])
+        table += self.p["b"].reshape(3, 1, HIDDEN)
+        return table
+
     def small(self) -> tuple[bool, bool]:
         """Whether the sums of classes, and those of words, are small in any state."""
         return _small(self.p["C"], self.p["c"]), _small(self.p["V"], self.p["v"])
 
+    def joint(self) -> np.ndarray:
+        """For each class the weights of all classes and those of its words side by side, biases below."""
+        p, heads = self.p, self.classes + 2
+        out = np.zeros((heads, HIDDEN + 1, heads + CLASS_SIZE), p["C"].dtype)
+        out[:, :-1, :heads], out[:, -1, :heads] = p["C"], p["c"]
+        out[:-2, :-1, heads:], out[:-2, -1, heads:] = p["V"], p["v"]
+        return out
+
     def by_class(self, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The order that brings tokens of one class together, and where each class begins."""
         # Numbers of classes are short, so this is a radix sort.
         order = np.argsort(group.astype(np.int16), kind="stable")
-        cuts = np.concatenate([[0], np.cumsum(np.bincount(group, minlength=self.classes)[: self.classes])])
-        return order[: cuts[-1]], cuts
+        return order, np.concatenate([[0], np.cumsum(np.bincount(group, minlength=self.classes + 2))])
 
     def log_probability(self, h: np.ndarray, target: np.ndarray, small: tuple[bool, bool] = (False, False)) -> np.ndarray:
         """Natural log of each target's probability given the state before it."""
-        group, out = self.group(target), np.empty(len(h), h.dtype)
-        # A part of the tokens at a time stays in the processor's cache.
-        for low in range(0, len(h), PART):
-            own = slice(low, low + PART)
-            x = h[own] @ self.p["C"]
-            x += self.p["c"]
-            out[own] = _log_share(x, group[own], small[0])
-        order, cuts = self.by_class(group)
-        states, place, inside = h[order], (target[order] - 2) % CLASS_SIZE, np.empty(len(order), h.dtype)
-        for k in np.flatnonzero(np.diff(cuts)):
-            own = slice(cuts[k], cuts[k + 1])
-            x = states[own] @ self.p["V"][k]
-            x += self.p["v"][k]
-            inside[own] = _log_share(x, place[own], small[1])
-        out[order] += inside
+        return self._log_probability(_with_one(h), target, small, self.joint())
+
+    def _log_probability(self, states: np.ndarray, target: np.ndarray, small: tuple[bool, bool], joint: np.ndarray) -> np.ndarray:
+        order, cuts = self.by_class(self.group(target))
+        heads, ends = self.classes + 2, np.zeros((joint.shape[2], 2), states.dtype)
+        ends[:heads, 0] = ends[heads:, 1] = 1
+        states, place, logs = states.take(order, 0), (target[order] - 2) % CLASS_SIZE, np.empty(len(order), states.dtype)
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            words = k < self.classes  # end and other have none
+            # A part of a class at a time stays in the processor's cache.
+            for low in range(cuts[k], cuts[k + 1], PART):
+                own = slice(low, min(low + PART, cuts[k + 1]))
+                x = states[own] @ (joint[k] if words else joint[k][:, :heads])
+                if not small[0]:
+                    x[:, :heads] -= x[:, :heads].max(1, keepdims=True)
+                if words and not small[1]:
+                    x[:, heads:] -= x[:, heads:].max(1, keepdims=True)
+                picked = x[:, k] + x[np.arange(len(x)), heads + place[own]] if words else x[:, k].copy()
+                np.exp(x, out=x)
+                sums = x @ (ends if words else ends[:heads, :1])
+                logs[own] = picked - np.log(sums).sum(1)
+        out = np.empty_like(logs)
+        out[order] = logs
         return out
 
     def weights(self) -> np.ndarray:
@@ -241,16 +268,14 @@ class Network:
 
     def _window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
         p, (steps, streams), kind, H = self.p, x.shape, self.p["U"].dtype, HIDDEN
-        ids, W, U = x.reshape(-1), _parts(p["W"]), _parts(p["U"])
-        embedded = p["E"][ids]
-        projected = embedded @ W
-        projected += p["b"].reshape(3, 1, H)
-        projected = projected.reshape(3, steps, streams, H)
+        ids, W, U, table, projected = x.reshape(-1), _parts(p["W"]), _parts(p["U"]), self.projections(), np.empty((3, streams, H), kind)
         goes_on = (x != END)[:, :, None]  # a document starts from nothing
         states, before, parts = np.empty((steps, streams, H), kind), np.empty((steps, streams, H), kind), []
         for t in range(steps):
             np.multiply(h, goes_on[t], out=before[t])
-            h, *gates = self._step(projected[:, t], before[t], U)
+            for part, found in zip(table, projected):
+                part.take(x[t], 0, found, "clip")
+            h, *gates = self._step(projected, before[t], U)
             states[t] = h
             parts.append(gates)
         top, target = states.reshape(-1, H), y.reshape(-1)
@@ -268,10 +293,11 @@ class Network:
             dtop[own] = share @ p["C"].T
         # Tokens of one class lie together, so a class is a slice.
         order, cuts = self.by_class(group)
+        order = order[: cuts[self.classes]]
         sorted_top, place = top[order], (target[order] - 2) % CLASS_SIZE
         back = np.empty_like(sorted_top)
         grads["V"], grads["v"] = np.zeros_like(p["V"]), np.zeros_like(p["v"])
-        for k in np.flatnonzero(np.diff(cuts)):
+        for k in np.flatnonzero(np.diff(cuts[: self.classes + 1])):
             own = slice(cuts[k], cuts[k + 1])
             inside = sorted_top[own] @ p["V"][k]
             inside += p["v"][k]
@@ -281,7 +307,7 @@ class Network:
             back[own] = inside @ p["V"][k].T
         dtop[order] += back
         dtop = dtop.reshape(steps, streams, H)
-        dproj, dreset = np.empty_like(projected), np.empty_like(states)
+        dproj, dreset = np.empty((3, steps, streams, H), kind), np.empty_like(states)
         carried, back = np.zeros((streams, H), kind), np.ascontiguousarray(U.transpose(0, 2, 1))
         for t in range(steps - 1, -1, -1):
             z, r, cand, gn = parts[t]
@@ -301,7 +327,7 @@ class Network:
             carried = np.multiply(kept, goes_on[t], out=kept)
         past, own = before.reshape(-1, H).T, dproj.reshape(3, -1, H)
         grads["U"] = np.concatenate([past @ own[0], past @ own[1], past @ dreset.reshape(-1, H)], axis=1)
-        grads["W"] = np.concatenate(list(embedded.T @ own), axis=1)
+        grads["W"] = np.concatenate(list(p["E"].take(ids, 0).T @ own), axis=1)
         grads["b"] = np.concatenate(list(np.ones(len(ids), kind) @ own))
         # Brought to the size of an embedding first, rows of one input are summed a column at a time.
         inputs = W[0] @ own[0].T
@@ -313,31 +339,47 @@ class Network:
     def score(self, documents: list[np.ndarray]) -> np.ndarray:
         """Natural log-likelihood of each document, given as vocabulary ids without the end."""
         out = np.zeros(len(documents))
-        U, small = _parts(self.p["U"]), self.small()
-        table = self.p["E"] @ _parts(self.p["W"]) + self.p["b"].reshape(3, 1, HIDDEN)
+        U, small, joint = _parts(self.p["U"]), self.small(), self.joint()
+        table = self.projections()
         by_length = np.argsort([-len(d) for d in documents], kind="stable")
+        # States, targets and documents of the tokens that are scored together, however many steps they take.
+        room = STEPS * min(TOGETHER, max(1, len(documents)))
+        states = np.ones((room, HIDDEN + 1), np.float32)
+        targets, owners, held = np.empty(room, np.int64), np.empty(room, np.int64), 0
+
+        def flush() -> None:
+            nonlocal out
+            logs = self._log_probability(states[:held], targets[:held], small, joint)
+            out += np.bincount(owners[:held], logs, len(documents))
+
         for low in range(0, len(documents), TOGETHER):
             rows = by_length[low : low + TOGETHER]
             # Inputs are end, words; targets are words, end: one flat array serves both.
-            flat = np.concatenate([x for i in rows for x in ((END,), documents[i], (END,))]).astype(np.int64)
+            flat = np.concatenate([x for i in rows for x in (_END, documents[i], _END)]).astype(np.int64)
             lengths = np.array([len(documents[i]) + 1 for i in rows])
             starts = np.cumsum(lengths + 1) - lengths - 1
-            h, done = np.zeros((len(rows), HIDDEN), np.float32), 0
+            h = np.zeros((len(rows), HIDDEN), np.float32)
             longest = int(lengths[0])
             # Documents with a token at each place.
-            going = len(rows) - np.cumsum(np.bincount(lengths, minlength=longest + 1))
-            while done < longest:
-                states, targets, owners = [], [], []
-                for t in range(done, min(done + STEPS, longest)):
-                    n = going[t]
-                    at = starts[:n] + t
-                    h = self._step(table[:, flat[at]], h[:n], U)[0]
-                    states.append(h)
-                    targets.append(flat[at + 1])
-                    owners.append(rows[:n])
-                done += STEPS
-                logs = self.log_probability(np.concatenate(states), np.concatenate(targets), small)
-                out += np.bincount(np.concatenate(owners), logs, len(documents))
+            going = (len(rows) - np.cumsum(np.bincount(lengths, minlength=longest + 1))).tolist()
+            projected = np.empty((3, len(rows), HIDDEN), np.float32)
+            for t in range(longest):
+                n = going[t]
+                if held + n > room:
+                    flush()
+                    held = 0
+                at = starts[:n] + t
+                ids, end = flat.take(at), held + n
+                for part, found in zip(table, projected):
+                    part.take(ids, 0, found[:n], "clip")
+                h = self._step(projected[:, :n], h[:n], U)[0]
+                states[held:end, :-1] = h
+                at += 1
+                flat.take(at, 0, targets[held:end], "clip")
+                owners[held:end] = rows[:n]
+                held = end
+        if held:
+            flush()
         return out
 
 
@@ -377,7 +419,7 @@ class Model:
         self.network = Network(counts[: self.words].astype(float), ends, self.others)
 
     def ids(self, codes: np.ndarray) -> np.ndarray:
-        return np.where(codes < self.words, codes + 2, OTHER)
+        return np.where(codes < self.words, codes + 2, OTHER).astype(ID)
 
     @property
     def base_log(self) -> float:
@@ -388,8 +430,8 @@ class Model:
         return math.log10(self.others + self.other_words + 1)
 
 
-def fit(train: DataFrame, counts: DataFrame, id: str = "doc_id", text: str = "text") -> Model:
-    """A model from all training rows and their counted words (key, n)."""
+def counted(counts: DataFrame) -> Model:
+    """A model that has learned nothing but the counted words (key, n)."""
     total, distinct, ends = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.max(F.when(F.col("key") == _END_KEY, F.col("n"))), F.lit(0))).first()
     # A histogram of counts says from where on the COMMON most frequent words lie, so that tasks
     # send these and the rest of one narrow bin, not COMMON words each.
@@ -400,25 +442,66 @@ def fit(train: DataFrame, counts: DataFrame, id: str = "doc_id", text: str = "te
         if held >= COMMON:
             break
     top = words.filter(bins >= least).orderBy(F.desc("n"), "key").limit(COMMON).collect()
-    model = Model(total, distinct, ends, [r.key for r in top], np.array([r.n for r in top], np.int64))
+    return Model(total, distinct, ends, [r.key for r in top], np.array([r.n for r in top], np.int64))
+
+
+def fit(train: DataFrame, counts: DataFrame, id: str = "doc_id", text: str = "text") -> Model:
+    """A model from all training rows and their counted words."""
+    model = counted(counts)
     learn(model, train, id, text)
     return model
 
 
+CODED = "row long, doc_id {kind}, round int, n_tokens long, known long, logs double, other double, ids binary, rare array<long>, times array<int>"
+
+
+def _code(model: Model):
+    """(id, text, round) to what learning and scoring need of a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, count = Codes(model.ranks), TaskContext.get().partitionId() << 33
+        known, log = model.counts > 0, np.log10(model.counts + 1.0)
+        for b in batches:
+            columns = [], [], [], [], [], [], []
+            for text in b.column(1).to_pylist():
+                own = codes.of(tokens_of(text))
+                common = own[own < len(log)]
+                rare, times = np.unique(own[own >= len(log)], return_counts=True)
+                outside = log[common[common >= model.words]]
+                # ``other``: what common words outside the network add to their share of "any other".
+                for c, v in zip(columns, (len(own) + 1, int(known[common].sum()) + (model.ends > 0), float(log[common].sum()) + math.log10(model.ends + 1), float(outside.sum()) - (len(outside) + int(times.sum())) * model.other_log, model.ids(own).tobytes(), rare, times.astype(np.int32))):
+                    c.append(v)
+            n = b.num_rows
+            lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, c)]).astype(np.int32)), pa.array(np.concatenate(c) if c else [], t)) for c, t in ((columns[5], pa.int64()), (columns[6], pa.int32()))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(count, count + n)), b.column(0), b.column(2), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64()), pa.array(columns[3], pa.float64()), pa.array(columns[4], pa.binary()), *lists],
+                ["row", "doc_id", "round", "n_tokens", "known", "logs", "other", "ids", "rare", "times"],
+            )
+            count += n
+
+    return run
+
+
+def coded(docs: DataFrame, model: Model, trained: Column, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Texts as numbers of words; ``round`` is that of a training row, NULL for another row."""
+    share = F.pmod(F.xxhash64(F.lit("round"), id, text), F.lit(ROUNDS)).cast("int")
+    rows = docs.select(F.col(id), F.col(text), F.when(trained, share).alias("round"))
+    return rows.mapInArrow(_code(model), CODED.format(kind=docs.schema[id].dataType.simpleString()))
+
+
 def _round(model: Model, rate: float):
-    """Training rows to the weights a task has learned from all of them, in pieces."""
+    """Coded training rows to the weights a task has learned from all of them, in pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, moments = model.network, {}
-        codes = Codes({k: i for k, i in model.ranks.items() if i < model.words})
         held, size, seen = [], 0, 0
 
         def block(updates: int) -> None:
-            net.train(np.concatenate([np.append(END, d) for d in held]), moments, rate, updates)
+            net.train(np.concatenate(held).astype(np.int64), moments, rate, updates)
 
         for b in batches:
-            for text in b.column(0).to_pylist():
-                held.append(model.ids(codes.of(tokens_of(text))))
+            for raw in b.column(0).to_pylist():
+                held += _END, np.frombuffer(raw, ID)
                 size += len(held[-1]) + 1
                 if size >= BLOCK:
                     block(0)
@@ -448,64 +531,70 @@ def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(model: Model, train: DataFrame, id: str = "doc_id", text: str = "text") -> int:
-    """Train the network on all rows: rounds of tasks that start alike and are averaged. The number
-    of tokens learned from, repeats aside."""
+    """Train the network on all rows. The number of tokens learned from, repeats aside."""
+    scratch = Scratch(train.sparkSession, "lm")
+    learned = learn_coded(model, scratch.keep(coded(train, model, F.lit(True), id, text).select("round", "ids"), "train"))
+    scratch.drop("train")
+    return learned
+
+
+def learn_coded(model: Model, rows: DataFrame) -> int:
+    """The same from stored rows (round, ids): rounds of tasks that start alike and are averaged."""
     schema = "piece int, tokens long, weights binary"
-    share = F.pmod(F.xxhash64(F.lit("round"), id, text), F.lit(ROUNDS))
     learned = 0
     for k in range(ROUNDS):
         rate = RATE * (1.0 if k < ROUNDS - 1 else 0.3)
         # The same rows always come in the same order: partitions of a scan, filtered.
-        found = train.filter(share == k).select(text).mapInArrow(_round(model, rate), schema)
-        rows = found.repartition("piece").mapInArrow(_average, schema).collect()
-        if rows:
-            model.network.load(np.concatenate([np.frombuffer(r.weights, np.float32) for r in sorted(rows, key=lambda r: r.piece)]))
-            learned += rows[0].tokens
+        found = rows.filter(F.col("round") == k).select("ids").mapInArrow(_round(model, rate), schema)
+        rows_of_pieces = found.repartition("piece").mapInArrow(_average, schema).collect()
+        if rows_of_pieces:
+            model.network.load(np.concatenate([np.frombuffer(r.weights, np.float32) for r in sorted(rows_of_pieces, key=lambda r: r.piece)]))
+            learned += rows_of_pieces[0].tokens
     return learned
 
 
-SCORED = "row long, doc_id {kind}, n_tokens long, known long, logs double, other double, score double, rare array<long>, times array<int>"
+SCORED = "row long, doc_id {kind}, n_tokens long, known long, logs double, other double, score double"
 
 
 def _score(model: Model):
+    """Coded rows to their scores by the network."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, count = Codes(model.ranks), TaskContext.get().partitionId() << 33
-        known, log = model.counts > 0, np.log10(model.counts + 1.0)
         for b in batches:
-            documents, columns = [], ([], [], [], [], [], [])
-            for text in b.column(1).to_pylist():
-                own = codes.of(tokens_of(text))
-                common = own[own < len(log)]
-                rare, times = np.unique(own[own >= len(log)], return_counts=True)
-                outside = log[common[common >= model.words]]
-                documents.append(model.ids(own).astype(np.int32))
-                # ``other``: what common words outside the network add to their share of "any other".
-                for c, v in zip(columns, (len(own) + 1, int(known[common].sum()) + (model.ends > 0), float(log[common].sum()) + math.log10(model.ends + 1), float(outside.sum()) - (len(outside) + int(times.sum())) * model.other_log, rare, times.astype(np.int32))):
-                    c.append(v)
-            scores = model.network.score(documents) / math.log(10)
-            n = b.num_rows
-            lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, c)]).astype(np.int32)), pa.array(np.concatenate(c) if c else [], t)) for c, t in ((columns[4], pa.int64()), (columns[5], pa.int32()))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(count, count + n)), b.column(0), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64()), pa.array(columns[3], pa.float64()), pa.array(scores), *lists],
-                ["row", "doc_id", "n_tokens", "known", "logs", "other", "score", "rare", "times"],
-            )
-            count += n
+            scores = model.network.score([np.frombuffer(raw, ID) for raw in b.column(6).to_pylist()]) / math.log(10)
+            yield pa.RecordBatch.from_arrays([*b.columns[:6], pa.array(scores)], [*b.schema.names[:6], "score"])
 
     return run
 
 
 def score_documents(docs: DataFrame, train: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of each document."""
+    return _scored(docs, train, None, id, text)
+
+
+def score_split(docs: DataFrame, trained: Column, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """:func:`score_documents` where the training rows are those of ``docs`` that ``trained`` holds for;
+    a text is read into numbers once, for learning and scoring."""
+    return _scored(docs, docs.filter(trained), trained, id, text)
+
+
+def _scored(docs: DataFrame, train: DataFrame, trained: Column | None, id: str, text: str) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "lm")
     counts = train.select(text).mapInArrow(_count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     counts = scratch.keep(counts, "counts")
-    model = fit(train.select(id, text), counts, id, text)
-    scored = scratch.keep(docs.select(id, text).mapInArrow(_score(model), SCORED.format(kind=docs.schema[id].dataType.simpleString())), "scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("key"), F.col("w.times").alias("times"))
+    model = counted(counts)
+    rows = scratch.keep(coded(docs, model, F.lit(False) if trained is None else trained, id, text), "coded")
+    if trained is None:
+        learn(model, train, id, text)
+    else:
+        learn_coded(model, rows)
+    columns = ["row", "doc_id", "n_tokens", "known", "logs", "other"]
+    scored = scratch.keep(rows.select(*columns, "ids").mapInArrow(_score(model), SCORED.format(kind=docs.schema[id].dataType.simpleString())), "scored")
+    rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("key"), F.col("w.times").alias("times"))
     # Words never counted add log10(1): the inner join leaves them out.
     sums = rare.join(counts, "key").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("rare_logs"))
     logs = F.coalesce("rare_logs", F.lit(0.0))
-    return scored.select("row", "doc_id", "n_tokens", "known", "logs", "other", "score").join(sums, "row", "left").select(
+    return scored.join(sums, "row", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
@@ -518,4 +607,4 @@ def score_documents(docs: DataFrame, train: DataFrame, id: str = "doc_id", text:
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held = split_of("doc_id", 7) == 2
-    return score_documents(docs, docs.filter(~held)).withColumn("held_out", held)
+    return score_split(docs, ~held).withColumn("held_out", held)

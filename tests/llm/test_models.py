@@ -213,3 +213,29 @@ def test_small_weights_need_no_maximum_and_large_ones_keep_it():
         net.p[k] = net.p[k] * np.float32(200)
     assert net.small() == (False, False)
     assert np.isfinite(net.log_probability(h, target, net.small())).all()
+
+
+def test_texts_are_read_into_numbers_once_for_learning_and_scoring(make, prose, monkeypatch):
+    monkeypatch.setattr(lm, "COMMON", 60)
+    monkeypatch.setattr(lm, "VOCABULARY", 30)
+    monkeypatch.setattr(lm, "UPDATES", 5)
+    coded, coder = [], lm.coded
+    monkeypatch.setattr(lm, "coded", lambda *a, **k: coded.append(a) or coder(*a, **k))
+    docs = make([(k, prose(5 + k, k)) for k in range(60)] + [(100, None), (None, "la la"), (7, "la su"), (7, "la su")])
+    trained = lm.split_of("doc_id", 7) != 2
+    split = lm.score_split(docs, trained)
+    assert len(coded) == 1
+    columns = ("n_tokens", "n_known", "train_tokens", "base_score")
+    rows = lambda df: sorted((str(r.doc_id), *(r[c] for c in columns)) for r in df.collect())
+    assert rows(split) == rows(lm.score_documents(docs, docs.filter(trained)))
+
+
+def test_documents_that_outlast_others_are_scored_in_full_windows(monkeypatch):
+    net, rng = lm.Network(np.arange(70, 0, -1).astype(float), 30, 20), np.random.default_rng(2)
+    sizes, inner = [], net._log_probability
+    monkeypatch.setattr(net, "_log_probability", lambda states, *a: sizes.append(len(states)) or inner(states, *a))
+    docs = [rng.integers(0, 72, n).astype(lm.ID) for n in (2000, *(10 for _ in range(63)))]
+    scores = net.score(docs)
+    # One document of 64 is left after 11 steps: its windows of STEPS tokens used to be worked on one by one.
+    assert sum(sizes) == sum(len(d) + 1 for d in docs) and len(sizes) == 2
+    assert np.allclose(scores[:2], [net.score([d])[0] for d in docs[:2]], rtol=1e-4)
