@@ -41,10 +41,13 @@ class Sightings:
     ``rows``: key columns, ``taxon``, ``value`` - one row per changelog part of a taxon.
     ``affected``: ``taxon`` (and ``method``), ``start`` - earliest start of each taxon
     touched by a change; ``start`` NULL means the default is always 0.
+    ``marked``: rows are one per key and taxon, and the one of the NULL taxon says that the key has
+    rows that do not count. Metadata whose key has no row at all is then dropped.
     """
 
     rows: DataFrame
     affected: DataFrame
+    marked: bool = False
 
 
 def _earliest(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -156,6 +159,12 @@ def sightings_of(cells: DataFrame, keys: list[str], value: str) -> Sightings:
     return Sightings(rows, _earliest(cells.filter("changed"), ["taxon", *keys[1:]]))
 
 
+def marked_rows(raw: DataFrame, keys: list[str], level: Level, value: str) -> DataFrame:
+    """Sums per key and taxon; what does not count under ``level`` leaves a row with a NULL taxon and value."""
+    counted = F.lit(True) if level.counted is None else level.counted
+    return raw.groupBy(*keys, F.when(counted, level.taxon).alias("taxon")).agg(F.sum(F.when(counted, F.col(value))).alias("value"))
+
+
 def sightings_of_level(raw: DataFrame, changelog: DataFrame, keys: list[str], level: Level, value: str) -> Sightings:
     """:func:`sightings_of` for one level that is read off the raw rows.
 
@@ -191,6 +200,10 @@ def _seen(found: Sightings, key: str, methods: list[str]) -> DataFrame:
     key once, for the merge of each taxon, the entries, and the join to the metadata.
     """
     rows = found.rows.select(F.col(key).alias("__key"), *methods, "taxon", F.col("value").cast("double").alias("value")).repartition("__key")
+    if found.marked:
+        entries = F.sort_array(F.collect_list(F.when(F.col("taxon").isNotNull(), F.struct("taxon", "value"))))
+        seen = rows.groupBy("__key", *methods).agg(entries.alias("__seen"))
+        return seen.withColumn("__seen", F.when(F.size("__seen") > 0, F.col("__seen")))
     largest = rows.groupBy("__key", *methods, "taxon").agg(F.max("value").alias("value"))
     return largest.groupBy("__key", *methods).agg(F.sort_array(F.collect_list(F.struct("taxon", "value"))).alias("__seen"))
 
@@ -229,8 +242,8 @@ def _copied(affected: DataFrame, copies: int) -> DataFrame:
     return affected.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
 
 
-def _attached(meta: DataFrame, key: str, facts: DataFrame) -> DataFrame:
-    return meta.join(facts, meta[key] == facts["__key"], "left").drop("__key")
+def _attached(meta: DataFrame, key: str, facts: DataFrame, how: str = "left") -> DataFrame:
+    return meta.join(facts, meta[key] == facts["__key"], how).drop("__key")
 
 
 def fill_gaps(meta: DataFrame, key: str, time: str, found: Sightings, out: str, slices: int = 8, salts: int = 8) -> DataFrame:
@@ -240,7 +253,8 @@ def fill_gaps(meta: DataFrame, key: str, time: str, found: Sightings, out: str,
     definition, is made where the row already is. The list has slices x salts copies.
     """
     lists = _starts(_copied(found.affected, slices * salts), ["__salt"], meta.schema[time].dataType)
-    rows = _with_lists(_attached(meta, key, _seen(found, key, [])), key, lists, slices * salts)
+    attached = _attached(meta, key, _seen(found, key, []), "inner" if found.marked else "left")
+    rows = _with_lists(attached, key, lists, slices * salts)
     filled = _filled_map(F.col("__seen"), F.col("__starts"), F.col(time))
     return rows.select(*[f"`{c}`" for c in meta.columns], filled.alias(out))
 

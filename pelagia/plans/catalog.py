@@ -31,6 +31,7 @@ class Catalog:
         self._known: dict[str, DataFrame] = {}
         self._reads: dict[str, set[str]] = {}
         self._open: list[str] = []
+        self._stored: set[str] = set()
 
     def __getitem__(self, name: str) -> DataFrame:
         if self._open:
@@ -54,6 +55,10 @@ class Catalog:
         """Whether ``name`` is at hand as a frame: a raw table, or something put or planned before."""
         return name in self._known or name in self._raw
 
+    def stored(self, name: str) -> bool:
+        """Whether ``name`` was given or put, so that it is read rather than computed."""
+        return name in self._stored or name in self._raw
+
     def reads(self, name: str) -> set[str]:
         """The tables and products that planning ``name`` has asked this catalog for."""
         self[name]
@@ -63,6 +68,7 @@ class Catalog:
         """Use a stored frame for ``name`` from now on; what was planned over the old one is dropped."""
         self.forget(name)
         self._known[name] = df
+        self._stored.add(name)
 
     def forget(self, name: str) -> None:
         """Plan ``name``, and all that was planned over it, anew when it is asked for."""
@@ -75,3 +81,4 @@ class Catalog:
             stale += readers
         if name in PRODUCTS:
             self._known.pop(name, None)
+            self._stored.discard(name)

@@ -49,10 +49,10 @@ _TRIP_COLUMNS = (
 _SURFACE_COLUMNS = ("CTDSST_degC", "CTDChlaSurf_mgm3", "CTDSalinity_psu")
 
 
-def _trip_map(c: Catalog, code: str, raw: str, depth: str, extra: tuple[str, ...]) -> DataFrame:
-    """Trips sampled for ``code`` that have raw rows, with CTD surface values if any."""
+def _trip_map(c: Catalog, code: str, raw: str | None, depth: str, extra: tuple[str, ...]) -> DataFrame:
+    """Trips sampled for ``code``, with CTD surface values if any: those that have raw rows, or all."""
     trips = c["bgc_trip_metadata"].filter(F.col("sampletype").contains(code))
-    sampled = in_any(trips, "trip_code", [c[raw]])
+    sampled = trips if raw is None else in_any(trips, "trip_code", [c[raw]])
     surface = c["nrs_ctd_surface_values"].select("trip_code", *_SURFACE_COLUMNS)
     return sampled.join(surface, "trip_code", "left").select(
         *_TRIP_COLUMNS,
@@ -70,10 +70,12 @@ def bgc_phytoplankton_map(c: Catalog) -> DataFrame:
 
 
 @product("bgc_zooplankton_map")
-def bgc_zooplankton_map(c: Catalog) -> DataFrame:
-    return _trip_map(
-        c, "Z", "bgc_zoop_raw", "zoopsampledepth_m", ("Biomass_mgm3", "AshFreeBiomass_mgm3")
-    )
+def bgc_zooplankton_map(c: Catalog, raw: str | None = "bgc_zoop_raw") -> DataFrame:
+    return _trip_map(c, "Z", raw, "zoopsampledepth_m", ("Biomass_mgm3", "AshFreeBiomass_mgm3"))
+
+
+# Maps without the condition that a trip has raw rows, for products that read those rows anyway.
+ALL_TRIPS = {"bgc_zooplankton_map": lambda c: bgc_zooplankton_map(c, None)}
 
 
 # Tables whose trips make up the combined map.

@@ -17,6 +17,7 @@ from ..functions.text import (
 )
 from ..operators import taxa as op
 from .catalog import PRODUCTS, Catalog
+from .metadata import ALL_TRIPS
 
 # Groups that are not counted as plankton of the product.
 PHYTO_NOT_GROUPS = ("Other", "Coccolithophore", "Diatom", "Protozoa")
@@ -195,6 +196,13 @@ def new_group_rows(c: Catalog, new: NewGroups) -> DataFrame:
 
 def group_product(c: Catalog, f: Family) -> DataFrame:
     """Sums per higher taxonomic group; methods a trip did not use are left out."""
+    meta = c[f.meta]
+    if f.meta in ALL_TRIPS and not c.stored(f.meta) and not c.has(cells_name(f.raw)):
+        # The raw rows say which trips are shown, and what was counted there: they are read once for both.
+        rows = op.marked_rows(c[f.raw], f.keys, levels_of(f)[GROUP], f.value)
+        found = op.Sightings(rows, new_group_rows(c, f.new_groups), marked=True)
+        # Columns in the order of the map, with all trips.
+        return op.fill_gaps(ALL_TRIPS[f.meta](c).select(*meta.columns), f.key, "SampleTime_UTC", found, f.out)
     found = op.Sightings(op.sightings_of(cells(c, f, GROUP), f.keys, f.value).rows, new_group_rows(c, f.new_groups))
     return _publish(c, f, found, observed_only=True)
 

@@ -122,3 +122,45 @@ def test_pipeline_stores_products(spark, sf_dir, tmp_path):
     direct = catalog(spark, sf_dir)["nrs_derived_indices_data"]
     assert sorted(map(repr, built["nrs_derived_indices_data"].collect())) == sorted(map(repr, direct.collect()))
     assert not exists(spark, str(tmp_path / "nrs_depth_binned_ctd_map"))
+
+
+def zoop_catalog(spark, tmp_path):
+    t, old = dt.datetime(2014, 1, 1, 10), dt.datetime(2012, 1, 1, 10)
+    trips = spark.createDataFrame(
+        [("T1", t, "Z"), ("T1", t, "PZ"), ("T2", old, "Z"), ("T3", t, "Z"), ("T4", t, "Z"), ("T5", t, "P"), (None, t, "Z")],
+        "trip_code string, sampledateutc timestamp_ntz, sampletype string",
+    ).selectExpr(
+        "*", "'NRS' projectname", "'n' stationname", "'c' stationcode", "1D latitude", "2D longitude", "sampledateutc sampledatelocal",
+        "1D phytosampledepth_m", "1D zoopsampledepth_m", "1D biomass_mgm3", "1D ashfreebiomass_mgm3", "1D secchi_m",
+    )
+    # T2 has only rows that do not count, T3 none, T4 one without a group; keys repeat and may be NULL.
+    rows = [("T1", "a", "Copepod", 1.0), ("T1", "a", "Copepod", 2.0), ("T1", "b", "Ciliophora", None), ("T1", "c", "Other", 9.0),
+            ("T2", "c", "Other", 9.0), ("T4", "d", None, 4.0), ("T5", "a", "Copepod", 1.0), (None, "a", "Copepod", 1.0)]
+    path = str(tmp_path / "raw")
+    spark.createDataFrame(rows, "trip_code string, taxon_name string, taxon_group string, zoop_abundance_m3 double").write.parquet(path)
+    measured = "psal temp dox2 cphl turb cndc dens".split()
+    casts = spark.createDataFrame([("NRSc", 1, t)], "site_code string, file_id long, time_coverage_start timestamp_ntz")
+    levels = spark.createDataFrame([(1, 10.0)], "file_id long, depth double").selectExpr("*", *[x for m in measured for x in (f"3D {m}", f"'1' {m}_quality_control")])
+    return Catalog(spark, {"bgc_trip": trips, "bgc_zoop_raw": spark.read.parquet(path), "deployments": casts, "measurements": levels})
+
+
+def test_groups_read_raw_rows_once(spark, tmp_path):
+    c = zoop_catalog(spark, tmp_path)
+    out = c["bgc_zooplankton_abundance_htg_data"]
+    none, null = {"Ciliophora": 0.0, "Foraminifera": 0.0}, {"Ciliophora": None, "Foraminifera": None}
+    got = sorted(((r.TripCode, r.CTDSST_degC, r.abundances) for r in out.collect()), key=repr)
+    assert got == sorted([*2 * [("T1", 3.0, {**none, "Copepod": 3.0})], ("T2", None, null), ("T4", 3.0, none)], key=repr)
+    # The raw rows were read for the counts, and again for the trips that are shown.
+    assert out._jdf.queryExecution().optimizedPlan().toString().count(" parquet") == 1
+    assert "bgc_zooplankton_map" in c.reads("bgc_zooplankton_abundance_htg_data")
+
+
+def test_groups_read_a_stored_map(spark, tmp_path):
+    c = zoop_catalog(spark, tmp_path)
+    name, map_name = "bgc_zooplankton_abundance_htg_data", "bgc_zooplankton_map"
+    direct = c[name]
+    built = build(c, str(tmp_path / "out"), [name, map_name])
+    assert c.stored(map_name) and direct.columns == built[name].columns
+    assert sorted(map(repr, direct.collect())) == sorted(map(repr, built[name].collect()))
+    c.forget(map_name)
+    assert not c.stored(map_name)
