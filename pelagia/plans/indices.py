@@ -75,12 +75,16 @@ def pigment_means(pigments: DataFrame) -> DataFrame:
     )
 
 
+def of_a_trip(rows: DataFrame) -> DataFrame:
+    """Rows without a trip meet none. Said before they are used, it holds for all readers of the rows
+    alike, so that what lies below them is planned once."""
+    return rows.filter(F.col("trip_code").isNotNull())
+
+
 def profile_indices(c: Catalog) -> DataFrame:
     """Per trip: the picks below the reference level, and the surface means taken with that level."""
     names = ("trip_code", "SampleDepth_m", "Temperature_degC", "Salinity_psu", "Chla_mgm3")
-    # Rows without a trip meet none. Said here, it holds for both readers of the rows alike, so that
-    # what lies below them is planned once.
-    rows = c["nrs_depth_binned_ctd_data"].select(*names).filter(F.col("trip_code").isNotNull())
+    rows = of_a_trip(c["nrs_depth_binned_ctd_data"].select(*names))
     key, depth, temp, sal, chl = names
     levels = reference_level(
         rows,
@@ -100,11 +104,13 @@ def profile_indices(c: Catalog) -> DataFrame:
 
 Fact = Callable[[Catalog], DataFrame]
 
+# The trips are joined in this order. Whether zooplankton moves to meet its lengths is known once those are there,
+# so it does not come first: the trips would go to where it was planned to be, and then after it.
 NRS_FACTS: dict[str, Fact] = {
-    "nrs_zooplankton_fact": lambda c: zooplankton_indices(c["bgc_zoop_raw"], c["zoopinfo"], "trip_code"),
     "nrs_phytoplankton_fact": lambda c: phytoplankton_indices(
-        c["bgc_phyto_raw"], "trip_code", "cell_l", "biovolume_um3l", "PhytoBiomassCarbon_pgL", "PhytoAbundance_CellsL"
+        of_a_trip(c["bgc_phyto_raw"]), "trip_code", "cell_l", "biovolume_um3l", "PhytoBiomassCarbon_pgL", "PhytoAbundance_CellsL"
     ),
+    "nrs_zooplankton_fact": lambda c: zooplankton_indices(of_a_trip(c["bgc_zoop_raw"]), c["zoopinfo"], "trip_code"),
     "nrs_profile_fact": profile_indices,
     "nrs_chemistry_fact": lambda c: chemistry_means(c["bgc_chemistry"]),
     "nrs_pigment_fact": lambda c: pigment_means(c["bgc_pigments"]),

@@ -11,8 +11,15 @@ from pelagia.session import tune
 
 from .tables import BASE, TABLES, reads, trip
 
-# Laboratory tables turn each narrow line into dozens of values.
-PLACED_BY_TRIP = ("bgc_chemistry", "bgc_pigments", "bgc_tss", "bgc_tss_meta", "bgc_picoplankton", "bgc_picoplankton_meta")
+# Laboratory tables and profiles turn each narrow line into dozens of values. They are grouped, and read, by this key.
+PLACED = {
+    **dict.fromkeys(("bgc_chemistry", "bgc_pigments", "bgc_tss", "bgc_tss_meta", "bgc_picoplankton", "bgc_picoplankton_meta"), trip("l_orderkey")),
+    "measurements": "l_orderkey",
+}
+# Counts by trip read lines with the names of their parts; these are all columns that they read of both.
+COUNTS = ("bgc_phyto_raw", "bgc_zoop_raw")
+COUNTED = "{lineitem} JOIN {taxon} ON p_partkey = l_partkey"
+COUNTED_COLUMNS = ("l_orderkey", "l_suppkey", "l_linenumber", "l_linestatus", "l_quantity", "l_extendedprice", "taxon_name", "code", "genus", "species")
 
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,15 +37,35 @@ def derived(
         else:
             sql = TABLES[name]
             tables = {n: derived(spark, sf_dir, n, seen) for n in reads(sql)}
-            if name in PLACED_BY_TRIP:
-                # Lines are placed by trip while they are narrow; what is grouped by trip and depth,
-                # and joined to trips, then stays where it is. Parts are many, as rows grow tenfold in them.
-                parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-                tables["lineitem"] = tables["lineitem"].repartition(parts, F.expr(trip("l_orderkey")))
+            if name in PLACED:
+                tables["lineitem"] = placed(tables["lineitem"], PLACED[name])
+            elif name in COUNTS:
+                sql, tables = sql.replace(COUNTED, "{counted}"), {"counted": counted(**tables)}
             seen[name] = spark.sql(sql, **tables)
     return seen[name]
 
 
+def placed(lines: DataFrame, key: str) -> DataFrame:
+    """Lines placed by key while they are narrow.
+
+    What is grouped by the key and more, and joined by it, then stays where it is. Parts are many,
+    as rows grow tenfold in them.
+    """
+    parts = 4 * int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return lines.repartition(parts, F.expr(key))
+
+
+def counted(lineitem: DataFrame, taxon: DataFrame) -> DataFrame:
+    """Lines with the names of their parts, placed by trip, in one exchange for all counts.
+
+    Spark makes an exchange once if its readers ask for the same rows and columns. ``stack`` reads
+    all columns and is not filtered below, so they do, whatever they use.
+    """
+    lines = placed(lineitem.join(taxon, F.expr("p_partkey = l_partkey")).select(*COUNTED_COLUMNS), trip("l_orderkey"))
+    key, *others = COUNTED_COLUMNS
+    return lines.select(key, F.expr(f"stack(1, {', '.join(others)}) AS ({', '.join(others)})"))
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     """A catalog whose raw tables are the derived ones, each built when first used."""
     tune(spark)
